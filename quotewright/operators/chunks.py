@@ -101,9 +101,13 @@ def chunked(
     )
 
 
-def split_oversized(df: DataFrame, keys: Sequence[str], max_rows: int):
-    """(ordinary rows, rows of oversized keys or None, how many those are)."""
-    hot = oversized(df, keys, max_rows)
+def split_oversized(df: DataFrame, keys: Sequence[str], max_rows: int, sized_by: DataFrame | None = None):
+    """(ordinary rows, rows of oversized keys or None, how many those are at most).
+
+    ``sized_by`` names rows that are cheaper to count than ``df`` and at least as
+    many per key, such as the table ``df`` was filtered from.
+    """
+    hot = oversized(df if sized_by is None else sized_by, keys, max_rows)
     if hot is None:
         return df, None, 0
     side, rows = hot

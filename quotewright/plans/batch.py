@@ -27,9 +27,9 @@ class IndicatorTables:
 
 
 def save_indicators(prices: DataFrame, buckets: int | None = None) -> IndicatorTables:
-    """Compute the wide frame once and save prices and the three indicator tables.
+    """Save clean prices, compute the wide frame from them, save the three indicator tables.
 
-    The wide table is shuffled into its buckets once; the three projections keep
+    Each table is computed once, from the one saved before it.  The wide table is shuffled into its buckets once; the three projections keep
     that layout, so they are written without another shuffle.
     """
     spark = prices.sparkSession
@@ -39,9 +39,10 @@ def save_indicators(prices: DataFrame, buckets: int | None = None) -> IndicatorT
     def save(df: DataFrame, name: str, placed: bool = False) -> DataFrame:
         return writers.save_bucketed(df, f"{name}_{run}", fresh_path(spark, name), buckets, placed=placed)
 
-    wide = save(technical_frame(prices), "technical")
+    cleaned = save(s.conform(clean(prices), s.PRICES), "prices")
+    wide = save(technical_frame(cleaned), "technical")
     return IndicatorTables(
-        prices=save(s.conform(clean(prices), s.PRICES), "prices"),
+        prices=cleaned,
         averages=save(technical.moving_averages_of(wide), "moving_averages", placed=True),
         bands=save(technical.bands_of(wide), "bands", placed=True),
         strength=save(technical.rsi_of(wide), "relative_strength", placed=True),

@@ -12,7 +12,11 @@ from quotewright.operators.indicators import lookback, technical_columns
 
 
 def technical_frame(
-    prices: DataFrame, start: Bound = None, end: Bound = None, max_rows: int = MAX_ROWS
+    prices: DataFrame,
+    start: Bound = None,
+    end: Bound = None,
+    max_rows: int = MAX_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Clean, compute every indicator, then apply the closed date range.
 
@@ -20,10 +24,11 @@ def technical_frame(
     shuffled by ticker once: copies of a bar and the frames over them both live
     inside a ticker.  The partition count is explicit because the work per byte is
     high, and merging partitions by size would idle most of the cores.  Tickers too
-    big for a task are deduplicated by their finer key and computed in pieces.
+    big for a task are deduplicated by their finer key and computed in pieces;
+    ``sized_by`` may name a table that is cheaper to count and bounds ``prices``.
     """
     tasks = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole, hot, count = split_oversized(prices, s.TICKER, max_rows)
+    whole, hot, count = split_oversized(prices, s.TICKER, max_rows, sized_by)
     wide = technical_columns(clean(whole.repartition(tasks, *s.TICKER)), s.TICKER)
     if hot is not None:
         pieces = compute_in_pieces(clean(hot), count, technical_columns, lookback(), max_rows=max_rows)

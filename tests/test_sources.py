@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotewright import schemas as s
+from quotewright.sources import readers, writers
+
+
+def document(**quote):
+    stamps = [1577836800, 1577923199, 1578009600]  # two within 2020-01-01 and 01-02 UTC, one on 01-03
+    return json.dumps(
+        {"chart": {"result": [{"meta": {"x": 1}, "timestamp": stamps, "indicators": {"quote": [quote]}}]}}
+    )
+
+
+def test_chart_document(spark):
+    values = [1.005, None, 3.0]
+    text = document(low=values, open=values, high=values, close=values, volume=[10, None, 30])
+    docs = spark.createDataFrame([("1", "A", text)], "stock_id string, ticker_symbol string, chart_json string")
+    rows = readers.explode_chart_json(docs).orderBy("date").collect()
+    assert [r.date for r in rows] == [dt.date(2020, 1, 1), dt.date(2020, 1, 1), dt.date(2020, 1, 3)]
+    assert sorted((r.close is None, r.close) for r in rows[:2]) == [(False, 1.01), (True, None)]
+    assert rows[2].volume == 30 and rows[2].transaction_id == "1:2020-01-03"
+
+
+def test_broken_chart_document_gives_no_bars(spark):
+    docs = spark.createDataFrame(
+        [("1", "A", "{}"), ("2", "B", "not json")], "stock_id string, ticker_symbol string, chart_json string"
+    )
+    assert readers.explode_chart_json(docs).count() == 0
+
+
+def test_vendor_history(spark):
+    df = spark.createDataFrame(
+        [("1", "A", "2020-01-02", "1.005", "2", "0.5", "1.5", "12")],
+        "stock_id string, ticker_symbol string, Date string, Open string, High string, Low string, Close string, Volume string",
+    )
+    row = readers.normalize_history(df).first()
+    assert (row.date, row.open, row.high, row.low, row.close, row.volume) == (dt.date(2020, 1, 2), 1.01, 2.0, 0.5, 1.5, 12)
+    assert sorted(readers.normalize_history(df).columns) == sorted(s.PRICES.fieldNames())
+
+
+def test_company_sheet_header_and_defaults(spark, tmp_path):
+    sheet = tmp_path / "companies.csv"
+    sheet.write_text("Ticker,Name,Exchange,Category,Country\nAAA,Alpha,,Tech, \n,Beta,NYQ,,USA\n")
+    rows = readers.company_rows(readers.read_company_sheet(spark, str(sheet))).orderBy("company_name").collect()
+    assert [(r.ticker_symbol, r.exchange, r.category_name, r.country) for r in rows] == [
+        ("AAA", "UNKNOWN", "Tech", "UNKNOWN"),
+        ("UNKNOWN", "NYQ", "UNKNOWN", "USA"),
+    ]
+    assert all(len(r.stock_id) == 36 for r in rows)
+
+
+def test_rows_in_memory(spark):
+    rows = [("t1", "2020-01-02", 1.0, 2.0, 3.0, 4, 5.0)]
+    typed = readers.price_rows(spark, rows, "1", "A").first()
+    assert typed.date == dt.date(2020, 1, 2) and typed.volume == 4 and typed.stock_id == "1"
+    text = readers.price_rows(spark, [("t1", "2020-01-02", "1", "2", "3", "4", "5")], "1", "A", text=True)
+    assert text.first().close == "5"
+
+
+def test_conform(spark):
+    df = spark.createDataFrame([("x", "1", "A", "bad", "1", "1", "1", "9", "z")], ", ".join(f"{f} string" for f in s.PRICES.fieldNames()))
+    row = s.conform(df, s.PRICES, strict=False).first()
+    assert row.date is None and row.close is None and row.volume == 9
+    with pytest.raises(ValueError, match="volume"):
+        s.conform(df.drop("volume"), s.PRICES)
+
+
+def test_filters_reach_the_scan_through_the_layout(spark, series, tmp_path):
+    path = str(tmp_path / "prices")
+    writers.overwrite(series(a=[1.0, 2.0], b=[3.0]), path, s.PRICES)
+    read = readers.read_table(spark, path, s.PRICES).filter("stock_id = 'b'").select("close")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(stock_id,b)" in plan and "ReadSchema: struct<stock_id:string,close:double>" in plan
+    assert [r.close for r in read.collect()] == [3.0]
+
+
+def test_append_counts_rows(series, spark, tmp_path):
+    path = str(tmp_path / "prices")
+    assert writers.append(series(a=[1.0, 2.0]), path, s.PRICES) == 2
+    assert writers.append(series(b=[1.0]), path, s.PRICES) == 1
+    assert writers.append(series(c=[]), path, s.PRICES) == 0
+    assert readers.read_table(spark, path, s.PRICES).count() == 3
+
+
+def test_exports(series, spark, tmp_path):
+    bars = series(a=[1.0, 2.0, 3.0], b=[4.0])
+    writers.export_combined(bars, str(tmp_path / "all"))
+    first = next((tmp_path / "all").glob("*.csv")).read_text().splitlines()[0]
+    assert first == "transaction_id,stock_id,ticker_symbol,date,low,open,high,volume,close"
+    writers.export_per_ticker(bars, str(tmp_path / "each"))
+    assert sorted(p.name for p in (tmp_path / "each").glob("ticker_symbol=*")) == ["ticker_symbol=A", "ticker_symbol=B"]
+    back = writers.read_export_per_ticker(spark, str(tmp_path / "each"))
+    assert back.count() == 4 and back.filter("ticker_symbol = 'B'").first().close == 4.0
+
+
+def test_view_is_split_by_year_and_prunes(series, spark, tmp_path):
+    view = writers.save_view(series(a=[float(i) for i in range(500)]).select("stock_id", "date", "close"), str(tmp_path / "v"))
+    assert sorted(p.name for p in (tmp_path / "v").glob("year=*")) == ["year=2020", "year=2021"]
+    assert view.columns == ["stock_id", "date", "close"] and view.count() == 500
+
+
+def test_bucketed_tables_join_without_a_shuffle(series, spark, tmp_path):
+    bars = series(a=[1.0, 2.0], b=[3.0])
+    left = writers.save_bucketed(bars, "left_bars", str(tmp_path / "l"), 4)
+    right = writers.save_bucketed(bars.select("stock_id", "date", "low"), "right_bars", str(tmp_path / "r"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.drop("low").join(right, ["stock_id", "date"])
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        writers.drop_view(spark, "left_bars")
+        writers.drop_view(spark, "right_bars")
+    assert not spark.catalog.tableExists("left_bars")
+
+
+def test_symbol_lists(spark):
+    df = spark.createDataFrame([(1, " A ,B,  C")], "k int, ticker_symbols string")
+    assert [tuple(r) for r in readers.split_symbols(df, keep=["k"]).collect()] == [(1, 0, "A"), (1, 1, "B"), (1, 2, "C")]
