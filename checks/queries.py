@@ -47,12 +47,17 @@ def query(function: Query) -> Query:
     return run
 
 
-def stored(spark, sf_dir) -> DataFrame:
-    return fx.bars(spark, sf_dir).filter(F.col("date") < as_date(fx.STORED_BEFORE))
+def prices(spark, sf_dir) -> DataFrame:
+    """The bars as a saved price table, for queries that read them more than once."""
+    return writers.persisted(fx.bars(spark, sf_dir), "prices")
 
 
-def landed(spark, sf_dir) -> DataFrame:
-    return fx.bars(spark, sf_dir).filter(F.col("date") >= as_date(fx.LANDED_FROM))
+def stored(bars: DataFrame) -> DataFrame:
+    return bars.filter(F.col("date") < as_date(fx.STORED_BEFORE))
+
+
+def landed(bars: DataFrame) -> DataFrame:
+    return bars.filter(F.col("date") >= as_date(fx.LANDED_FROM))
 
 
 # --- sources ---
@@ -120,17 +125,17 @@ def request_symbols_split(spark, sf_dir):
 
 @query
 def overwrite_readback(spark, sf_dir):
-    path = fresh_path(spark, "prices")
-    writers.overwrite(stored(spark, sf_dir), path, s.PRICES)
-    writers.overwrite(fx.bars(spark, sf_dir), path, s.PRICES)
+    bars, path = prices(spark, sf_dir), fresh_path(spark, "prices")
+    writers.overwrite(stored(bars), path, s.PRICES)
+    writers.overwrite(bars, path, s.PRICES)
     return readers.read_table(spark, path, s.PRICES)
 
 
 @query
 def append_prices(spark, sf_dir):
-    path = fresh_path(spark, "prices")
-    writers.overwrite(stored(spark, sf_dir), path, s.PRICES)
-    writers.append(landed(spark, sf_dir), path, s.PRICES)
+    bars, path = prices(spark, sf_dir), fresh_path(spark, "prices")
+    writers.overwrite(stored(bars), path, s.PRICES)
+    writers.append(landed(bars), path, s.PRICES)
     return readers.read_table(spark, path, s.PRICES)
 
 
@@ -138,7 +143,7 @@ def append_prices(spark, sf_dir):
 def append_with_indicators(spark, sf_dir):
     """Prices and their indicators appended to four tables, then joined by row id."""
     paths = {name: fresh_path(spark, name) for name in ("prices", "averages", "bands", "strength")}
-    bars = fx.bars(spark, sf_dir)
+    bars = prices(spark, sf_dir)
     batch.append_indicators(wide_frame(bars), bars, paths)
     layouts = {"prices": s.PRICES, "averages": s.MOVING_AVERAGES, "bands": s.BANDS, "strength": s.RSI}
     tables = [readers.read_table(spark, paths[name], layout) for name, layout in layouts.items()]
@@ -189,7 +194,7 @@ def upsert_by_key(spark, sf_dir):
             F.min("date").alias("start_date"), F.max("date").alias("end_date")
         )
 
-    bars = fx.bars(spark, sf_dir)
+    bars = prices(spark, sf_dir)
     busy = bars.filter(in_range(F.col("date"), fx.START, fx.END) & (F.col("volume") > 120))
     return changes.upsert(covered(bars), covered(busy), ["view_name"])
 
@@ -415,7 +420,8 @@ def latest_per_ticker(spark, sf_dir):
 
 @query
 def union_tickers(spark, sf_dir):
-    return history.union_tickers(stored(spark, sf_dir), landed(spark, sf_dir))
+    bars = prices(spark, sf_dir)
+    return history.union_tickers(stored(bars), landed(bars))
 
 
 # --- indicators ---
@@ -578,12 +584,12 @@ def resolve_requests(spark, sf_dir):
     """Regions differ in what is stored: view, tables only, prices only, or nothing."""
     bars = fx.bars(spark, sf_dir).join(fx.companies(spark, sf_dir).select("stock_id", "region"), "stock_id")
     bars = writers.persisted(bars, "located_bars")
-    prices = s.conform(bars.filter("region <> 4"), s.PRICES)
+    stored_prices = s.conform(bars.filter("region <> 4"), s.PRICES)
     joined = writers.persisted(wide_frame(bars.filter("region <= 2")).select(*s.VIEW_COLUMNS), "joined")
     in_view = bars.filter("region <= 1").select("stock_id").distinct()
     view = joined.join(in_view, "stock_id", "left_semi").select(*s.VIEW_COLUMNS)
     done = resolving.resolve(
-        fx.requests(spark, sf_dir), fx.companies(spark, sf_dir), prices, joined, view, s.conform(bars, s.PRICES)
+        fx.requests(spark, sf_dir), fx.companies(spark, sf_dir), stored_prices, joined, view, s.conform(bars, s.PRICES)
     )
     return done.answers.withColumn("volume", F.col("volume").cast("double")).withColumn(
         "technical", F.col("technical").cast("int")
@@ -594,34 +600,38 @@ def resolve_requests(spark, sf_dir):
 def resolve_new_prices(spark, sf_dir):
     """What the landed history adds to the stored prices while answering."""
     bars = fx.bars(spark, sf_dir).join(fx.companies(spark, sf_dir).select("stock_id", "region"), "stock_id")
-    prices = s.conform(bars.filter("region <> 4"), s.PRICES)
+    bars = writers.persisted(bars, "located_bars")
+    stored_prices = s.conform(bars.filter("region <> 4"), s.PRICES)
     nothing = spark.createDataFrame([], T.StructType([T.StructField(c, T.DoubleType()) for c in s.WIDE_COLUMNS]))
-    empty = prices.filter("false").select("stock_id", "ticker_symbol", "date", "close").join(nothing, F.lit(True))
+    empty = stored_prices.filter("false").select("stock_id", "ticker_symbol", "date", "close").join(nothing, F.lit(True))
     done = resolving.resolve(
-        fx.requests(spark, sf_dir), fx.companies(spark, sf_dir), prices, empty, empty, s.conform(bars, s.PRICES)
+        fx.requests(spark, sf_dir), fx.companies(spark, sf_dir), stored_prices, empty, empty, s.conform(bars, s.PRICES)
     )
     return done.new_prices
 
 
 @query
 def daily_refresh(spark, sf_dir):
-    return refreshing.refresh(stored(spark, sf_dir), landed(spark, sf_dir))
+    bars = prices(spark, sf_dir)
+    return refreshing.refresh(stored(bars), landed(bars))
 
 
 @query
 def refresh_indicators(spark, sf_dir):
     """Indicators of the bars a refresh adds, from the history they depend on."""
-    kept = stored(spark, sf_dir)
-    new = refreshing.newer_bars(kept, landed(spark, sf_dir))
+    bars = prices(spark, sf_dir)
+    kept = stored(bars)
+    new = writers.persisted(refreshing.newer_bars(kept, landed(bars)), "new_bars")
     return refreshing.tail_indicators(kept.unionByName(new), new)
 
 
 @query
 def stream_ingest(spark, sf_dir):
     """Landed files, delivered twice, streamed into a table that already has the older bars."""
+    bars = prices(spark, sf_dir)
     landing, sink = fresh_path(spark, "landing"), fresh_path(spark, "prices")
-    ingest.create_sink(spark, sink, stored(spark, sf_dir))
+    ingest.create_sink(spark, sink, stored(bars))
     for _ in range(2):
-        s.conform(landed(spark, sf_dir), s.PRICES).write.mode("append").parquet(landing)
+        s.conform(landed(bars), s.PRICES).write.mode("append").parquet(landing)
     ingest.ingest_landed(spark, landing, sink, fresh_path(spark, "checkpoint"))
     return ingest.read_sink(spark, sink).select(*s.PRICES.fieldNames())

@@ -13,6 +13,7 @@ and values either way.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,19 +33,14 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def oversized(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[DataFrame, int] | None:
-    """Keys with more than ``max_rows`` rows as columns ``_key0..`` and the rows they hold.
+@dataclass(frozen=True)
+class Split:
+    """Rows of ordinary keys and, if there are any, of oversized ones, with row counts."""
 
-    None when there are none.  The table is at most ``total / max_rows`` rows; it is
-    broadcast only after counting it.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > max_rows)
-    found = counts.agg(F.count("*").alias("n"), F.sum("_rows").alias("rows")).first()
-    if not found["n"]:
-        return None
-    shared_dir(df.sparkSession)
-    named = counts.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).checkpoint()
-    return small_side(named, found["n"]), found["rows"]
+    whole: DataFrame
+    whole_rows: int
+    hot: DataFrame | None = None
+    hot_rows: int = 0
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -101,17 +97,31 @@ def chunked(
     )
 
 
-def split_oversized(df: DataFrame, keys: Sequence[str], max_rows: int, sized_by: DataFrame | None = None):
-    """(ordinary rows, rows of oversized keys or None, how many those are at most).
+def split_oversized(df: DataFrame, keys: Sequence[str], max_rows: int, sized_by: DataFrame | None = None) -> Split:
+    """Set apart the keys with more than ``max_rows`` rows.
 
     ``sized_by`` names rows that are cheaper to count than ``df`` and at least as
-    many per key, such as the table ``df`` was filtered from.
+    many per key, such as the table ``df`` was filtered from.  There are at most
+    ``total / max_rows`` oversized keys; they are broadcast only if that is few.
     """
-    hot = oversized(df if sized_by is None else sized_by, keys, max_rows)
-    if hot is None:
-        return df, None, 0
-    side, rows = hot
-    return df.join(side, _same_key(keys), "left_anti"), df.join(side, _same_key(keys), "left_semi"), rows
+    counts = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    is_hot = F.col("_rows") > max_rows
+    found = counts.agg(
+        F.count_if(is_hot).alias("keys"),
+        F.coalesce(F.sum(F.when(is_hot, F.col("_rows"))), F.lit(0)).alias("hot"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+    ).first()
+    if not found["keys"]:
+        return Split(df, found["rows"])
+    shared_dir(df.sparkSession)
+    hot_keys = counts.filter(is_hot).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    side = small_side(hot_keys.checkpoint(), found["keys"])
+    return Split(
+        whole=df.join(side, _same_key(keys), "left_anti"),
+        whole_rows=found["rows"] - found["hot"],
+        hot=df.join(side, _same_key(keys), "left_semi"),
+        hot_rows=found["hot"],
+    )
 
 
 def compute_in_pieces(
@@ -140,18 +150,19 @@ def per_ticker(
     ``compute`` must partition its windows by the keys it is given, order them by
     date and id, and keep one row per input row.
     """
-    whole, hot, count = split_oversized(df, TICKER, max_rows)
-    result = compute(whole, list(TICKER))
-    if hot is None:
+    split = split_oversized(df, TICKER, max_rows)
+    result = compute(split.whole, list(TICKER))
+    if split.hot is None:
         return result
-    return result.unionByName(compute_in_pieces(hot, count, compute, lookback, max_rows=max_rows))
+    return result.unionByName(compute_in_pieces(split.hot, split.hot_rows, compute, lookback, max_rows=max_rows))
 
 
 def pages(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
     """Add ``page``: 0 for ordinary keys, consecutive numbers for oversized ones."""
     keys, order = list(keys), list(order)
-    whole, hot, count = split_oversized(df, keys, max_rows)
-    whole = whole.withColumn("page", F.lit(0).cast("long"))
-    if hot is None:
+    split = split_oversized(df, keys, max_rows)
+    whole = split.whole.withColumn("page", F.lit(0).cast("long"))
+    if split.hot is None:
         return whole
-    return whole.unionByName(chunked(hot, count, keys, order, max_rows).withColumnRenamed(CHUNK, "page"))
+    pieces = chunked(split.hot, split.hot_rows, keys, order, max_rows)
+    return whole.unionByName(pieces.withColumnRenamed(CHUNK, "page"))

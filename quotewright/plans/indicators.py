@@ -22,16 +22,20 @@ def technical_frame(
 
     The frames read bars before ``start``, so the range is applied last.  Rows are
     shuffled by ticker once: copies of a bar and the frames over them both live
-    inside a ticker.  The partition count is explicit because the work per byte is
-    high, and merging partitions by size would idle most of the cores.  Tickers too
+    inside a ticker.  The partition count is explicit, as configured or as the row
+    count asks for, because the work per byte is high: partitions merged by size
+    would idle most of the cores, and too few would outgrow a task.  Tickers too
     big for a task are deduplicated by their finer key and computed in pieces;
     ``sized_by`` may name a table that is cheaper to count and bounds ``prices``.
     """
-    tasks = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole, hot, count = split_oversized(prices, s.TICKER, max_rows, sized_by)
-    wide = technical_columns(clean(whole.repartition(tasks, *s.TICKER)), s.TICKER)
-    if hot is not None:
-        pieces = compute_in_pieces(clean(hot), count, technical_columns, lookback(), max_rows=max_rows)
+    split = split_oversized(prices, s.TICKER, max_rows, sized_by)
+    configured = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(configured, -(-split.whole_rows // max_rows))
+    wide = technical_columns(clean(split.whole.repartition(tasks, *s.TICKER)), s.TICKER)
+    if split.hot is not None:
+        pieces = compute_in_pieces(
+            clean(split.hot), split.hot_rows, technical_columns, lookback(), max_rows=max_rows
+        )
         wide = wide.unionByName(pieces)
     wide = wide.withColumn("cal_id", F.col("transaction_id"))
     wide = wide.select(*s.KEYS, "close", *[f"`{c}`" for c in s.WIDE_COLUMNS])

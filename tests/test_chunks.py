@@ -38,22 +38,22 @@ def test_single_operators_in_pieces(skewed):
 
 
 def test_only_oversized_tickers_are_cut(skewed):
-    whole, hot, count = chunks.split_oversized(skewed, s.TICKER, 300)
-    assert {r.stock_id for r in hot.select("stock_id").distinct().collect()} == {"hot"}
-    assert count == 1500 and whole.count() == 266
-    whole, hot, _ = chunks.split_oversized(skewed, s.TICKER, 1500)
-    assert hot is None and whole is skewed
+    split = chunks.split_oversized(skewed, s.TICKER, 300)
+    assert {r.stock_id for r in split.hot.select("stock_id").distinct().collect()} == {"hot"}
+    assert split.hot_rows == 1500 and split.whole.count() == split.whole_rows == 266
+    split = chunks.split_oversized(skewed, s.TICKER, 1500)
+    assert split.hot is None and split.whole is skewed and split.whole_rows == 1766
 
 
 def test_pieces_are_full_and_carry_their_lookback(skewed):
-    _, hot, count = chunks.split_oversized(skewed, s.TICKER, 300)
-    placed = chunks.chunked(hot, count, s.TICKER, s.ORDER, 300, lookback=20).cache()
+    split = chunks.split_oversized(skewed, s.TICKER, 300)
+    placed = chunks.chunked(split.hot, split.hot_rows, s.TICKER, s.ORDER, 300, lookback=20).cache()
     sizes = placed.filter("not _warm").groupBy("_chunk").count().collect()
     assert {r["_chunk"]: r["count"] for r in sizes} == dict.fromkeys(range(5), 300)
     for row in placed.filter("_warm").groupBy("_chunk").count().collect():
         assert row["count"] == 20
     with pytest.raises(ValueError):
-        chunks.chunked(hot, count, s.TICKER, s.ORDER, 10, lookback=20)
+        chunks.chunked(split.hot, split.hot_rows, s.TICKER, s.ORDER, 10, lookback=20)
 
 
 def test_many_bars_on_one_day_are_cut_too(spark, series):
