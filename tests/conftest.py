@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 SMALL = "/root/testdata/sf0.001"
 
 
+def same(a, b) -> bool:
+    """Do both hold the same bag of rows, columns matched by name?"""
+    columns = [f"`{c}`" for c in a.columns]
+    found, expected = (Counter(map(tuple, df.select(*columns).collect())) for df in (a, b))
+    return sorted(a.columns) == sorted(b.columns) and found == expected
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from conftest import same
 from quotewright import schemas as s
 from quotewright.operators import chunks, history, indicators
 from quotewright.operators.changes import nested_watchlists
@@ -22,11 +23,7 @@ def skewed(series):
     return series(hot=walk(1500), a=walk(260), b=walk(5), c=walk(1))
 
 
-def same(a, b):
-    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-@pytest.mark.parametrize("max_rows", [200, 201, 333, 1499])
+@pytest.mark.parametrize("max_rows", [200, 333])
 def test_pieces_give_the_values_of_the_whole(skewed, max_rows):
     assert same(technical_frame(skewed), technical_frame(skewed, max_rows=max_rows))
 

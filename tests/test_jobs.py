@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import SMALL, same
 from quotewright import schemas as s
 from quotewright.operators.indicators import lookback
 from quotewright.plans import refresh
@@ -22,10 +22,6 @@ def values(n, seed=3):
     return [round(rng.uniform(10, 20), 2) for _ in range(n)]
 
 
-def same(a, b):
-    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def company(spark, *names):
     return spark.createDataFrame([(n, n.upper(), n, "X", "Y", "USA") for n in names], s.COMPANIES)
 
