@@ -602,8 +602,8 @@ def resolve_new_prices(spark, sf_dir):
     bars = fx.bars(spark, sf_dir).join(fx.companies(spark, sf_dir).select("stock_id", "region"), "stock_id")
     bars = writers.persisted(bars, "located_bars")
     stored_prices = s.conform(bars.filter("region <> 4"), s.PRICES)
-    nothing = spark.createDataFrame([], T.StructType([T.StructField(c, T.DoubleType()) for c in s.WIDE_COLUMNS]))
-    empty = stored_prices.filter("false").select("stock_id", "ticker_symbol", "date", "close").join(nothing, F.lit(True))
+    unknown = [F.lit(None).cast("double").alias(c) for c in s.WIDE_COLUMNS]
+    empty = stored_prices.filter("false").select("stock_id", "ticker_symbol", "date", "close", *unknown)
     done = resolving.resolve(
         fx.requests(spark, sf_dir), fx.companies(spark, sf_dir), stored_prices, empty, empty, s.conform(bars, s.PRICES)
     )

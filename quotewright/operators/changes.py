@@ -38,6 +38,11 @@ def update_coverage(coverage: DataFrame, view_name: str, start: Column, end: Col
     return upsert(coverage, row, ["view_name"])
 
 
+def coverage_of(coverage: DataFrame, view_name: str) -> DataFrame:
+    """The recorded interval of one view; no row if it was never built."""
+    return coverage.filter(F.col("view_name") == view_name).select("start_date", "end_date")
+
+
 # Watchlists: lists(watchlist_id, user_id, watchlist_name), members(watchlist_id, stock_id, ticker_symbol).
 
 LIST_KEY = ["watchlist_id"]

@@ -71,7 +71,8 @@ def test_coverage_is_replaced_by_key(spark):
     old = spark.createDataFrame([("v", dt.date(2000, 1, 1), dt.date(2001, 1, 1)), ("x", None, None)], s.COVERAGE)
     new = changes.update_coverage(old, "v", as_date("2010-01-01"), as_date("2020-01-01"))
     assert sorted(r.view_name for r in new.collect()) == ["v", "x"]
-    assert new.filter("view_name = 'v'").first().end_date == dt.date(2020, 1, 1)
+    assert rows(changes.coverage_of(new, "v")) == [(dt.date(2010, 1, 1), dt.date(2020, 1, 1))]
+    assert rows(changes.coverage_of(new, "unknown")) == []
     assert changes.update_coverage(new, "y", as_date("2010-01-01"), as_date("2020-01-01")).count() == 3
 
 

@@ -107,6 +107,17 @@ def test_pruned_history_gives_the_same_indicators(spark):
     assert kept.count() == new.count() + 200 * starts.count()
 
 
+def test_no_step_of_the_refresh_gathers_a_ticker(series, monkeypatch):
+    bars = series(a=values(300), b=values(10))
+    new = refresh.newer_bars(bars, bars)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("Window")
+    starts = bars.groupBy(*s.TICKER).agg(F.max("date").alias("start"))
+    broadcast = refresh.recent_history(bars, starts, 20)
+    monkeypatch.setattr(refresh, "MAX_BROADCAST_ROWS", 0)
+    assert same(refresh.recent_history(bars, starts, 20), broadcast) and broadcast.count() == 21 + 10
+
+
 def test_combined_append(spark, series, tmp_path):
     bars = series(a=values(4), b=values(3))
     paths = {name: str(tmp_path / name) for name in ("prices", "averages", "bands", "strength")}
