@@ -90,7 +90,8 @@ def chart_json_explode(spark, sf_dir):
         F.col("slots.ts").alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators")
     )
     chart = F.struct(F.struct(F.array(result).alias("result")).alias("chart"))
-    documents = slots.select("stock_id", "ticker_symbol", F.to_json(F.struct(chart["chart"].alias("chart"))).alias("chart_json"))
+    text = F.to_json(F.struct(chart["chart"].alias("chart")))
+    documents = slots.select("stock_id", "ticker_symbol", text.alias("chart_json"))
     return readers.explode_chart_json(documents)
 
 
@@ -116,7 +117,8 @@ def companies_default_unknown(spark, sf_dir):
 @query
 def request_symbols_split(spark, sf_dir):
     suppliers = fx.table(spark, sf_dir, "supplier")
-    lists = suppliers.select("s_suppkey", F.concat_ws(" , ", "s_name", F.concat(F.lit("X"), "s_suppkey")).alias("ticker_symbols"))
+    symbols = F.concat_ws(" , ", "s_name", F.concat(F.lit("X"), "s_suppkey"))
+    lists = suppliers.select("s_suppkey", symbols.alias("ticker_symbols"))
     return readers.split_symbols(lists, keep=["s_suppkey"])
 
 
@@ -400,7 +402,8 @@ def summary_stats(spark, sf_dir):
 def bars_nested(spark, sf_dir):
     nested = history.nested_bars(fx.bars(spark, sf_dir))
     texts = F.transform("bars", lambda b: F.concat_ws("@", b["transaction_id"], b["volume"].cast("string")))
-    return nested.select("stock_id", "ticker_symbol", "page", F.size("bars").alias("n"), F.array_join(texts, ",").alias("bars"))
+    shown = [F.size("bars").alias("n"), F.array_join(texts, ",").alias("bars")]
+    return nested.select("stock_id", "ticker_symbol", "page", *shown)
 
 
 @query
@@ -464,7 +467,8 @@ def rolling_stddev(spark, sf_dir):
 
 @query
 def price_change(spark, sf_dir):
-    return indicators.price_change(fx.bars(spark, sf_dir)).select("transaction_id", round2("price_change").alias("price_change"))
+    changed = indicators.price_change(fx.bars(spark, sf_dir))
+    return changed.select("transaction_id", round2("price_change").alias("price_change"))
 
 
 @query
@@ -524,9 +528,8 @@ def watchlist_find(spark, sf_dir):
 def watchlist_add(spark, sf_dir):
     """Every customer adds a stock to an old list and to a new one."""
     home = _home_stock(spark, sf_dir)
-    additions = home.select(
-        "user_id", F.explode(F.array(F.lit("1-URGENT"), F.lit("FAVOURITES"))).alias("watchlist_name"), *["stock_id", "ticker_symbol"]
-    ).withColumn("watchlist_id", F.concat_ws("-", F.col("user_id").cast("string"), "watchlist_name"))
+    names = F.explode(F.array(F.lit("1-URGENT"), F.lit("FAVOURITES"))).alias("watchlist_name")
+    additions = home.select("user_id", names, "stock_id", "ticker_symbol").withColumn("watchlist_id", F.concat_ws("-", F.col("user_id").cast("string"), "watchlist_name"))
     lists, members = changes.add_to_watchlists(fx.watchlists(spark, sf_dir), fx.members(spark, sf_dir), additions)
     return lists.join(members, "watchlist_id", "left")
 

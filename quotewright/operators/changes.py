@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotewright import schemas as s
 from quotewright.operators.chunks import pages
 
 

@@ -29,8 +29,9 @@ class IndicatorTables:
 def save_indicators(prices: DataFrame, buckets: int | None = None) -> IndicatorTables:
     """Save clean prices, compute the wide frame from them, save the three indicator tables.
 
-    Each table is computed once, from the one saved before it.  The wide table is shuffled into its buckets once; the three projections keep
-    that layout, so they are written without another shuffle.
+    Each table is computed once, from the one saved before it.  The wide table is
+    shuffled into its buckets once; the three projections keep that layout, so they
+    are written without another shuffle.
     """
     spark = prices.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from quotewright import schemas as s
 from quotewright.sources import readers, writers
