@@ -529,7 +529,8 @@ def watchlist_add(spark, sf_dir):
     """Every customer adds a stock to an old list and to a new one."""
     home = _home_stock(spark, sf_dir)
     names = F.explode(F.array(F.lit("1-URGENT"), F.lit("FAVOURITES"))).alias("watchlist_name")
-    additions = home.select("user_id", names, "stock_id", "ticker_symbol").withColumn("watchlist_id", F.concat_ws("-", F.col("user_id").cast("string"), "watchlist_name"))
+    new_id = F.concat_ws("-", F.col("user_id").cast("string"), "watchlist_name")
+    additions = home.select("user_id", names, "stock_id", "ticker_symbol").withColumn("watchlist_id", new_id)
     lists, members = changes.add_to_watchlists(fx.watchlists(spark, sf_dir), fx.members(spark, sf_dir), additions)
     return lists.join(members, "watchlist_id", "left")
 
