@@ -35,6 +35,8 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 CONTAINERS = frozenset("article body center dd details div dl figure html main ol section table tbody td th tr ul".split())
+PARTS = frozenset("dd dl li ol td th ul".split())
+ROWS = frozenset("tbody tfoot thead tr".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSES_P = BLOCKS - {"caption", "legend", "body", "html", "tbody", "tfoot", "thead", "tr"}
 #: An opening tag ends an open element of these kinds, as far up as the named border.
@@ -290,6 +292,8 @@ def _kept(nodes: list[Node]) -> list[Node]:
     while above is not None and above.tag not in ("article", "main"):
         above = above.parent
     best = above or best
+    while best.parent is not None and (best.tag in ROWS or (best.tag in PARTS and 2 * best.size <= best.parent.size)):
+        best = best.parent  # rows, and cells or items among others, are no containers of their own
     if best.parent is None or best.tag == "body":
         return [best]
     least = max(10.0, _worth(best) / 5)
