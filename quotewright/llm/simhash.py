@@ -160,7 +160,8 @@ def _large_lists(postings: DataFrame, large: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     as_left = dealt.filter("block <= other").select("key", F.col("block").alias("i"), F.col("other").alias("j"), "print")
     as_right = dealt.filter("other <= block").select("key", F.col("other").alias("i"), F.col("block").alias("j"), "print")
-    cells = as_left.groupBy("key", "i", "j").cogroup(as_right.groupBy("key", "i", "j"))
+    names = ("key", "i", "j", "print")
+    cells = as_left.toDF(*names).groupBy("key", "i", "j").cogroup(as_right.toDF(*names).groupBy("key", "i", "j"))
     return cells.applyInArrow(_block_pairs, "a long, b long")
 
 
