@@ -30,8 +30,9 @@ MAX_DUP_LINE_PERCENT = 30
 #: Verdict on hosts.
 BAD_RATE = 0.5
 BOUND_SD = 2.0
-#: Limits of the correlation within hosts that the prior is fitted to.
-MIN_RHO, MAX_RHO = 0.01, 0.95
+#: Limits of the correlation within groups that a prior is fitted to: it weighs as much as
+#: 4 to 99 observations, so that a document or two never decide.
+MIN_RHO, MAX_RHO = 0.01, 0.2
 
 SPACE = r"[\x20\x09-\x0D]+"
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -97,13 +98,26 @@ def beta_prior(groups: DataFrame, n: str, failed: str) -> tuple[float, float]:
         F.sum(F.col(n) * rate * rate).alias("npp"), F.count("*").alias("groups"),
     ).first()
     if not sums.n:
-        return 0.0, 1 / MIN_RHO - 1
+        return 0.0, _strength(0.0, 0.0)
     mean, own = sums.f / sums.n, sums.groups - 1
     spread = mean * (1 - mean)
-    free = sums.n - sums.nn / sums.n - own
-    rho = ((sums.npp - sums.n * mean * mean) / spread - own) / free if spread > 0 and free > 0 else MIN_RHO
-    rho = min(MAX_RHO, max(MIN_RHO, rho))
-    return mean, 1 / rho - 1
+    return mean, _strength(sums.npp - sums.n * mean * mean - own * spread, (sums.n - sums.nn / sums.n - own) * spread)
+
+
+def prior_strength(groups: DataFrame, n: str, failed: str, mean: str) -> float:
+    """The same strength where each group has an expected rate ``mean`` of its own."""
+    spread = F.col(mean) * (1 - F.col(mean))
+    off = F.col(failed) / F.col(n) - F.col(mean)
+    sums = groups.agg(
+        F.sum(F.col(n) * off * off - spread).alias("more"), F.sum((F.col(n) - 1) * spread).alias("most")
+    ).first()
+    return _strength(sums.more or 0.0, sums.most or 0.0)
+
+
+def _strength(more: float, most: float) -> float:
+    """From the spread of rates beyond chance, and the spread if groups were all or nothing."""
+    rho = more / most if most > 0 else 0.0
+    return 1 / min(MAX_RHO, max(MIN_RHO, rho)) - 1
 
 
 def host_verdicts(judged: DataFrame, host: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewright.llm.common import unused, written
-from quotewright.llm.quality import beta_prior
+from quotewright.llm.quality import beta_prior, prior_strength
 
 MAX_RULES = 1000
 BAD_RATE = 0.5
@@ -62,31 +62,26 @@ def rule_column(host: Column, path: Column, rules: list[tuple[str, str]]) -> Col
     return out
 
 
-def _level(hosts: DataFrame, name: str, above: str | None) -> tuple[DataFrame, float, float]:
-    """(name, above, n, bad) of a level, with its prior's mean and strength."""
-    keys = [name, above] if above else [name]
-    rows = written(hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), name)
-    return rows, *beta_prior(rows.filter("n > 0"), "n", "bad")
-
-
-def _shrunk(n: str, bad: str, mean: Column, strength: float) -> Column:
-    return (F.col(bad) + mean * strength) / (F.col(n) + strength)
+def _shrunk(mean: Column, strength: float) -> Column:
+    return (F.col("bad") + mean * strength) / (F.col("n") + strength)
 
 
 def reputations(outcomes: DataFrame) -> DataFrame:
     """(host, labelled, bad_rate, bad_bound, blocked) from (host, n, bad) of all hosts."""
     domain, suffix = domain_and_suffix(F.col("host"))
     hosts = outcomes.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad")
-    suffixes, mean, strength = _level(hosts, "suffix", None)
-    suffixes = suffixes.select("suffix", _shrunk("n", "bad", F.lit(mean), strength).alias("suffix_rate"))
-    domains, _, strength = _level(hosts, "domain", "suffix")
-    domains = domains.join(suffixes, "suffix")
-    domains = domains.select("domain", _shrunk("n", "bad", F.col("suffix_rate"), strength).alias("domain_rate"))
-    _, strength = beta_prior(hosts.filter("n > 0"), "n", "bad")
-    rows = hosts.join(domains, "domain")
-    rate = _shrunk("n", "bad", F.col("domain_rate"), strength)
+    counts = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    suffixes = written(hosts.groupBy("suffix").agg(*counts), "suffixes")
+    mean, strength = beta_prior(suffixes.filter("n > 0"), "n", "bad")
+    suffixes = suffixes.select("suffix", _shrunk(F.lit(mean), strength).alias("suffix_rate"))
+    domains = written(hosts.groupBy("domain", "suffix").agg(*counts).join(suffixes, "suffix"), "domains")
+    strength = prior_strength(domains.filter("n > 0"), "n", "bad", "suffix_rate")
+    domains = domains.select("domain", _shrunk(F.col("suffix_rate"), strength).alias("domain_rate"))
+    hosts = written(hosts.join(domains, "domain"), "hosts")
+    strength = prior_strength(hosts.filter("n > 0"), "n", "bad", "domain_rate")
+    rate = _shrunk(F.col("domain_rate"), strength)
     bound = rate - BOUND_SD * F.sqrt(rate * (1 - rate) / (F.col("n") + strength + 1))
-    return rows.select(
+    return hosts.select(
         "host", F.col("n").alias("labelled"), rate.alias("bad_rate"), bound.alias("bad_bound"), (bound > BAD_RATE).alias("blocked")
     )
 
