@@ -1,0 +1,103 @@
+"""Every stage of the pipeline on its own input, against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import __spark_entry__ as contract
+import corpus_pipeline
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+from test_llm_packing import PATH, expected_pieces, valid
+from test_llm_pii import base_by_definition
+from test_llm_quality import by_definition as signals_by_definition
+from test_llm_simhash import by_definition as print_by_definition
+from test_llm_simhash import groups_by_definition
+from tokenizers import Tokenizer
+
+from quotewright.llm import pii, quality
+from quotewright.llm.common import written
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The rows before and after each stage."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], SMALL), name))
+    return out
+
+
+def test_registered():
+    assert {f"op{k}" for k in range(1, 11)} <= {name.split("_")[0] for name in contract.queries()}
+    assert contract.queries()["pipeline"] is corpus_pipeline.run
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "personal_data", "packing"]
+
+
+def test_columns_of_documents(stages):
+    assert all(x.columns == stages[0].columns and x.dtypes == stages[0].dtypes for x in stages[1:4])
+
+
+def test_quality_rules(stages):
+    before, after = stages[0].collect(), stages[1].collect()
+    failed = {}
+    for r in before:
+        n_words, _, _, _, repeated = signals_by_definition(r.text)
+        failed[r.doc_id] = n_words < 50 or 100 * repeated > 50 * n_words
+    verdicts = {r.doc_id: r.kept for r in quality.judge(quality.add_signals(stages[0])).collect()}
+    assert not any(failed[r.doc_id] for r in after)
+    assert Counter(after) == Counter(r for r in before if verdicts[r.doc_id])
+
+
+def test_near_duplicates(stages):
+    before, after = stages[1].collect(), stages[2].collect()
+    prints = {r.doc_id: print_by_definition(r.text) for r in before}
+    root = groups_by_definition(prints.values())
+    groups = defaultdict(list)
+    for doc_id, value in prints.items():
+        groups[root[value]].append(doc_id)
+    assert sorted(r.doc_id for r in after) == sorted(map(min, groups.values()))
+    assert set(after) <= set(before)
+
+
+def test_personal_data(stages):
+    before = {r.doc_id: r for r in stages[2].collect()}
+    after = stages[3].collect()
+    assert sorted(before) == sorted(r.doc_id for r in after)
+    for r in after:
+        old = before[r.doc_id]
+        if pii.spans(old.text):
+            assert not base_by_definition(r.text) and r.n_chars == len(r.text)
+            assert (r.lang, r.source) == (old.lang, old.source)
+        else:
+            assert r == old
+
+
+def test_packing(stages):
+    library = Tokenizer.from_file(PATH)
+    found = defaultdict(list)
+    rows = stages[4].collect()
+    for r in rows:
+        found[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    assert {k: sorted(v) for k, v in found.items()} == {r.doc_id: expected_pieces(library, r.text) for r in stages[3].collect()}
+    valid(rows)
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(corpus_pipeline.run(spark, SMALL).select(columns).collect()) == Counter(stages[4].select(columns).collect())
+
+
+def test_stages_on_odd_documents(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(60))
+    mail = text + " to a@b.cc"
+    rows = [(1, text, "s"), (1, text, "s"), (None, text, None), (2, mail, "s"), (None, None, "s"), (3, "", None), (None, mail[:-3] + " x", "s")]
+    docs = spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for table in (docs, docs.limit(0), docs.withColumn("text", F.lit(None).cast("string"))):
+        for name, stage in corpus_pipeline.STAGES:
+            table = written(stage(spark, table, SMALL), name)
+        assert set(table.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+    kept = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    assert kept.count() == 5

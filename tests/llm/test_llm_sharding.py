@@ -1,0 +1,101 @@
+"""Exact shard sizes, whole rows, and an order without memory of the input."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SMALL
+
+from quotewright.llm import registry, sharding
+
+
+def test_op1_whole_table(spark):
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = registry.op1_hypergeometric_sharding(spark, SMALL).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all((r["size"], r.text_crc32) == (len(docs[r.doc_id]) + 8, zlib.crc32(docs[r.doc_id])) for r in rows)
+    assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+    check_shards(rows, 24, len(docs))
+
+
+def check_shards(rows, shards, total):
+    sizes = Counter(r.shard for r in rows)
+    assert sum(sizes.values()) == total
+    assert {sizes[k] for k in range(shards)} <= {total // shards, -(-total // shards)}
+    assert set(sizes) <= set(range(shards))
+    for shard, size in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(size))
+
+
+@pytest.fixture(scope="module")
+def saved(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("rows") / "table")
+    spark.range(5000).selectExpr("id", "id % 3 as shard", "cast(null as string) as slot", "id as key_").repartition(5).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_small_blocks_and_cells(spark, saved, monkeypatch):
+    """Many blocks and cells, columns of the same names, two runs alike."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 100)
+    rows = sharding.shuffle_to_shards(saved, 7, seed=3).collect()
+    check_shards(rows, 7, 5000)
+    assert sorted(r.id for r in rows) == list(range(5000)) == sorted(r.key_ for r in rows)
+    again = sharding.shuffle_to_shards(saved, 7, seed=3).collect()
+    place = lambda found: {(r.id, r.shard, r.slot) for r in found}
+    assert place(rows) == place(again)
+    assert place(rows) != place(sharding.shuffle_to_shards(saved, 7, seed=4).collect())
+
+
+def test_order_is_uniform(saved):
+    """Where an id lands hardly depends on the id (chi-square over a grid; 99.99 % bound)."""
+    rows = sharding.shuffle_to_shards(saved, 4, seed=11).collect()
+    grid = np.zeros((10, 10))
+    for r in rows:
+        grid[r.id // 500, (r.shard * 1250 + r.slot) // 500] += 1
+    assert ((grid - 50) ** 2 / 50).sum() < 140
+
+
+def test_odd_tables(spark, saved):
+    check_shards(sharding.shuffle_to_shards(saved.filter("id < 10"), 24).collect(), 24, 10)
+    check_shards(sharding.shuffle_to_shards(saved.filter("id % 2 = 0"), 3).collect(), 3, 2500)
+    assert sharding.shuffle_to_shards(saved.filter("id < 0"), 3).count() == 0
+    rows = spark.createDataFrame([(1, None)] * 40 + [(None, "")] * 7, "doc_id long, text string")
+    found = sharding.shuffle_to_shards(rows, 5).collect()
+    check_shards(found, 5, 47)
+    assert Counter((r.doc_id, r.text) for r in found) == {(1, None): 40, (None, ""): 7}
+
+
+def test_matrix_has_exact_margins():
+    sizes = np.array([5, 0, 17, 1, 100, 3, 3])
+    matrix = sharding.Matrix(sizes, 6, seed=1)
+    table = np.array([matrix.row(k) for k in range(len(sizes))])
+    assert table.sum(axis=1).tolist() == sizes.tolist()
+    assert table.sum(axis=0).tolist() == matrix.places.tolist() == [22, 22, 22, 21, 21, 21]
+    shard, _ = matrix.block(4)
+    assert np.bincount(shard, minlength=6).tolist() == table[4].tolist()
+
+
+def test_matrix_follows_the_hypergeometric_law():
+    counts = np.array([sharding.Matrix(np.array([30, 50, 20]), 4, seed).row(2)[0] for seed in range(3000)])
+    assert abs(counts.mean() - 5) < 0.15
+    assert abs(counts.var() - 20 * 0.25 * 0.75 * 80 / 99) < 0.4
+
+
+@pytest.mark.parametrize(("good", "bad", "draws"), [(400, 600, 50), (3, 10, 5), (7, 0, 4), (5000, 5000, 9999)])
+def test_rejection_agrees_with_numpy(monkeypatch, good, bad, draws):
+    rng = np.random.default_rng(2)
+    expected = rng.hypergeometric(good, bad, draws, 20_000)
+    monkeypatch.setattr(sharding, "NUMPY_LIMIT", 0)
+    found = np.array([sharding.hypergeometric(rng, good, bad, draws) for _ in range(20_000)])
+    assert abs(found.mean() - expected.mean()) <= 0.05 * max(1.0, expected.std())
+    assert abs(found.std() - expected.std()) <= 0.04 * max(1.0, expected.std())
+    assert found.min() >= max(0, draws - bad) and found.max() <= min(good, draws)
+
+
+def test_large_populations():
+    rng = np.random.default_rng(3)
+    found = np.array([sharding.hypergeometric(rng, 3 * 10**10, 5 * 10**10, 10**9) for _ in range(300)])
+    assert abs(found.mean() / 10**9 - 0.375) < 1e-5
