@@ -217,3 +217,14 @@ def test_rounding_breaks_ties_away_from_zero(spark):
     found = [r.y for r in df.select(round2("x").alias("y")).collect()]
     assert found == [1.01, 2.68, -1.01, 0.13, 0.0, 1234567.13, 0.0, None]
     assert math.copysign(1, found[4]) == 1
+
+
+def test_rounding_has_no_ceiling(spark):
+    from quotewright.functions.numeric import round2
+
+    same_value = [9e7, 1e15, 123456789012345.6, 9.3e16, 1e18, 1e300, math.inf, -math.inf, -4.5e13]
+    values = [89999999.995, 90000000.125, -90000000.125, 1234567890123.375, 44999999999999.625, *same_value, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r.y for r in df.select(round2("x").alias("y")).collect()]
+    assert found[:5] == [90000000.0, 90000000.13, -90000000.13, 1234567890123.38, 44999999999999.63]
+    assert found[5:-1] == same_value and math.isnan(found[-1])
