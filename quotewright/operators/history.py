@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quotewright import schemas as s
 from quotewright.functions.dates import Bound, as_date, in_range
-from quotewright.operators.chunks import pages
+from quotewright.operators.chunks import CHUNK, MAX_ROWS, chunked, pages, split_oversized
 
 
 def of_stocks(df: DataFrame, stocks: DataFrame | None, keys: Sequence[str] = s.TICKER) -> DataFrame:
@@ -64,9 +64,16 @@ def read_indicators(table: DataFrame, columns: Sequence[str], stocks: DataFrame
 def technical_from_view(
     view: DataFrame, stocks: DataFrame | None = None, start: Bound = None, end: Bound = None
 ) -> DataFrame:
-    """Indicator rows of the view inside the closed interval."""
-    wanted = of_stocks(view, stocks, ["stock_id"]).filter(in_range(F.col("date"), start, end))
-    return wanted.select(*s.VIEW_COLUMNS)
+    """Indicator rows of the view inside the closed interval.
+
+    A saved view is bounded by ``year`` too, so that other years' folders aren't opened.
+    """
+    inside = in_range(F.col("date"), start, end)
+    if "year" in view.columns:
+        years = [None if bound is None else F.year(as_date(bound)) for bound in (start, end)]
+        for bound, within in zip(years, (F.col("year").__ge__, F.col("year").__le__), strict=True):
+            inside = inside if bound is None else inside & within(bound)
+    return of_stocks(view.filter(inside), stocks, ["stock_id"]).select(*[f"`{c}`" for c in s.VIEW_COLUMNS])
 
 
 def present_in(stocks: DataFrame, table: DataFrame, keys: Sequence[str] = s.TICKER) -> DataFrame:
@@ -79,7 +86,30 @@ def distinct_stocks(prices: DataFrame) -> DataFrame:
 
 
 def latest_per_ticker(prices: DataFrame, n: int = 1) -> DataFrame:
-    """The newest ``n`` bars of every ticker; each task forwards at most ``n`` per ticker."""
+    """The newest ``n`` bars of every ticker.
+
+    Up to ``GROUP_LIMIT`` each task forwards at most ``n`` bars of a ticker.  Beyond it Spark
+    forwards all, so tickers with more than a million bars are cut into pieces of ``n``
+    by time first, and only their last two pieces are ranked.
+    """
+    if n <= GROUP_LIMIT:
+        return _newest(prices, n)
+    split = split_oversized(prices, ["ticker_symbol"], max(n, MAX_ROWS))
+    result = _newest(split.whole, n)
+    if split.hot is None:
+        return result
+    pieces = chunked(split.hot, split.hot_rows, ["ticker_symbol"], s.ORDER, n)
+    last = pieces.groupBy("ticker_symbol").agg(F.max(CHUNK).alias("_last"))
+    last = last.withColumnRenamed("ticker_symbol", "_ticker")
+    kept = pieces.join(last, F.col("ticker_symbol").eqNullSafe(F.col("_ticker")) & (F.col(CHUNK) >= F.col("_last") - 1))
+    return result.unionByName(_newest(kept.select(*prices.columns), n))
+
+
+# Spark's own threshold: up to this rank a window is cut before its rows are shuffled.
+GROUP_LIMIT = 1000
+
+
+def _newest(prices: DataFrame, n: int) -> DataFrame:
     newest = Window.partitionBy("ticker_symbol").orderBy(F.desc("date"), F.desc("transaction_id"))
     ranked = prices.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n)
     return ranked.drop("_rank")
@@ -100,8 +130,8 @@ def staleness(companies: DataFrame, prices: DataFrame, as_of: Bound) -> DataFram
 def nested_bars(prices: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """One row per ticker with its bars as a date-ordered array.
 
-    A ticker with more than ``max_rows`` bars spans several consecutive pages, so
-    that no row grows without bound.
+    ``page`` is part of the key: a bar's place in its ticker's order divided by
+    ``max_rows``, so no row grows without bound.
     """
     paged = pages(prices, s.TICKER, s.ORDER, max_rows)
     bar = F.struct("date", "transaction_id", "low", "open", "high", "volume", "close")

@@ -38,9 +38,9 @@ def technical_join(
 ) -> DataFrame:
     """Prices with all stored indicators, inner-joined on ``on``.
 
-    Prices may hold several rows per stock and date; then joining on
-    ``("transaction_id",)`` avoids pairing them all.  The range is applied to every
-    input, since each side is joined on the date it is filtered by.
+    Where prices may hold several rows per stock and date, ``on=ROW_KEY`` pairs each with
+    its own indicators only, and tables bucketed by that key still join in place.  The
+    range is applied to every input, since each side is joined on the date it is filtered by.
     """
     on = list(on)
     within = in_range(F.col("date"), start, end)
@@ -65,7 +65,12 @@ def view_range(as_of: Bound, days: int = s.VIEW_DAYS):
 def technical_view(
     prices: DataFrame, averages: DataFrame, bands: DataFrame, strength: DataFrame, as_of: Bound
 ) -> DataFrame:
-    """The join for all stocks over the view's horizon, bounds taken from ``as_of``."""
+    """The join of rows by their key over the view's horizon, bounds taken from ``as_of``."""
     start, end = view_range(as_of)
-    keyed = [t.withColumn("stock_id", F.col("stock_id").cast("string")) for t in (prices, averages, bands, strength)]
-    return technical_join(*keyed, start=start, end=end)
+    return technical_join(prices, averages, bands, strength, start=start, end=end, on=s.ROW_KEY)
+
+
+def view_of(wide: DataFrame, as_of: Bound) -> DataFrame:
+    """The same rows from the wide frame, which holds all of the view's columns."""
+    start, end = view_range(as_of)
+    return wide.filter(in_range(F.col("date"), start, end)).select(*[f"`{c}`" for c in s.VIEW_COLUMNS])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from quotewright import schemas as s
 from quotewright.functions.dates import Bound
 from quotewright.operators import changes, technical
+from quotewright.operators.chunks import MAX_ROWS
 from quotewright.operators.cleaning import clean
 from quotewright.plans.indicators import technical_frame
 from quotewright.sources import writers
@@ -18,42 +19,54 @@ from quotewright.sources.storage import fresh_path
 
 @dataclass(frozen=True)
 class IndicatorTables:
-    """Saved tables, all bucketed by stock and date so that they join in place."""
+    """Saved tables, all bucketed by their row key so that they join in place."""
 
     prices: DataFrame
+    wide: DataFrame
     averages: DataFrame
     bands: DataFrame
     strength: DataFrame
+    names: tuple[str, ...]
+
+    def drop(self) -> None:
+        """Take the tables out of the session's catalog; their files stay."""
+        for name in self.names:
+            writers.drop_view(self.prices.sparkSession, name)
 
 
 def save_indicators(prices: DataFrame, buckets: int | None = None) -> IndicatorTables:
     """Save clean prices, compute the wide frame from them, save the three indicator tables.
 
-    Each table is computed once, from the one saved before it.  The wide table is
-    shuffled into its buckets once; the three projections keep that layout, so they
-    are written without another shuffle.
+    Prices are cleaned once and counted from what was saved; the count sizes the buckets.
+    The wide table is shuffled into its buckets once; the three projections keep that
+    layout, so they are written without another shuffle.
     """
     spark = prices.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cleaned = writers.persisted(s.conform(clean(prices), s.PRICES), "clean_prices")
+    if buckets is None:
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cleaned.count() // MAX_ROWS))
     run = uuid.uuid4().hex[:12]
+    names = []
 
     def save(df: DataFrame, name: str, placed: bool = False) -> DataFrame:
-        return writers.save_bucketed(df, f"{name}_{run}", fresh_path(spark, name), buckets, placed=placed)
+        names.append(f"{name}_{run}")
+        return writers.save_bucketed(df, names[-1], fresh_path(spark, name), buckets, placed=placed)
 
-    cleaned = save(s.conform(clean(prices), s.PRICES), "prices")
-    wide = save(technical_frame(cleaned), "technical")
+    wide = save(technical_frame(cleaned, cleaned=True), "technical")
     return IndicatorTables(
-        prices=cleaned,
+        prices=save(cleaned, "prices"),
+        wide=wide,
         averages=save(technical.moving_averages_of(wide), "moving_averages", placed=True),
         bands=save(technical.bands_of(wide), "bands", placed=True),
         strength=save(technical.rsi_of(wide), "relative_strength", placed=True),
+        names=tuple(names),
     )
 
 
 def build_view(tables: IndicatorTables, as_of: Bound, path: str | None = None) -> DataFrame:
     """Rebuild the technical view for the horizon that ends at ``as_of``."""
-    joined = technical.technical_view(tables.prices, tables.averages, tables.bands, tables.strength, as_of)
-    return writers.save_view(joined, path or fresh_path(joined.sparkSession, "technical_view"))
+    view = technical.view_of(tables.wide, as_of)
+    return writers.save_view(view, path or fresh_path(view.sparkSession, "technical_view"))
 
 
 def run_batch(

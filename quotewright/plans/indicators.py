@@ -17,6 +17,7 @@ def technical_frame(
     end: Bound = None,
     max_rows: int = MAX_ROWS,
     sized_by: DataFrame | None = None,
+    cleaned: bool = False,
 ) -> DataFrame:
     """Clean, compute every indicator, then apply the closed date range.
 
@@ -26,15 +27,17 @@ def technical_frame(
     count asks for, because the work per byte is high: partitions merged by size
     would idle most of the cores, and too few would outgrow a task.  Tickers too
     big for a task are deduplicated by their finer key and computed in pieces;
-    ``sized_by`` may name a table that is cheaper to count and bounds ``prices``.
+    ``sized_by`` may name a table that is cheaper to count and bounds ``prices``;
+    ``cleaned`` says that ``prices`` are clean already.
     """
+    tidy = (lambda rows: rows) if cleaned else clean
     split = split_oversized(prices, s.TICKER, max_rows, sized_by)
     configured = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(configured, -(-split.whole_rows // max_rows))
-    wide = technical_columns(clean(split.whole.repartition(tasks, *s.TICKER)), s.TICKER)
+    wide = technical_columns(tidy(split.whole.repartition(tasks, *s.TICKER)), s.TICKER)
     if split.hot is not None:
         pieces = compute_in_pieces(
-            clean(split.hot), split.hot_rows, technical_columns, lookback(), max_rows=max_rows
+            tidy(split.hot), split.hot_rows, technical_columns, lookback(), max_rows=max_rows
         )
         wide = wide.unionByName(pieces)
     wide = wide.withColumn("cal_id", F.col("transaction_id"))

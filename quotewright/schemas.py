@@ -19,6 +19,8 @@ UNKNOWN = "UNKNOWN"
 # One time series is one (stock_id, ticker_symbol); ids break ties within a date.
 TICKER = ["stock_id", "ticker_symbol"]
 ORDER = ["date", "transaction_id"]
+# What tells stored rows apart and places them: the id is unique, the others spread and prune.
+ROW_KEY = ["stock_id", "date", "transaction_id"]
 
 STRING, DATE, DOUBLE, LONG = T.StringType(), T.DateType(), T.DoubleType(), T.LongType()
 
@@ -90,6 +92,11 @@ WIDE_MA = {c: f"ma_{c}" for c in MA_COLUMNS}
 WIDE_BANDS = {c: f"bb_{c}" for c in BAND_COLUMNS}
 WIDE_COLUMNS = list(WIDE_MA.values()) + list(WIDE_BANDS.values()) + RSI_COLUMNS
 VIEW_COLUMNS = ["stock_id", "ticker_symbol", "date", "close", *WIDE_COLUMNS]
+# The stored view also has the row's id, by which late bars replace rows.
+VIEW = _schema(
+    ("transaction_id", STRING), ("stock_id", STRING), ("ticker_symbol", STRING), ("date", DATE), ("close", DOUBLE),
+    *[(c, DOUBLE) for c in WIDE_COLUMNS],
+)
 
 
 def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:

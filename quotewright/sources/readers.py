@@ -45,8 +45,11 @@ def read_jdbc(
 
 
 def read_price_csv(spark: SparkSession, path: str, schema: T.StructType = s.BARS) -> DataFrame:
-    """Price files with a header row; the schema is declared, not inferred."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Price files with a header row; the schema is declared, not inferred.
+
+    A value that doesn't parse fails the read instead of turning into NULL.
+    """
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def price_rows(
@@ -81,14 +84,20 @@ def explode_chart_json(documents: DataFrame, json_column: str = "chart_json") ->
 
     Epoch seconds become UTC dates and prices are rounded to cents.  A slot without
     a value stays NULL.  Sessions run in UTC, which is what makes the date a UTC date.
+    Every result and every quote of a document is read.  A document that isn't JSON fails
+    the read; one without bars (``chart_rejects``) has none.
     """
-    result = F.get(F.from_json(F.col(json_column), CHART_SCHEMA)["chart"]["result"], F.lit(0))
-    quote = F.get(result["indicators"]["quote"], F.lit(0))
+    parsed = F.from_json(F.col(json_column), CHART_SCHEMA, {"mode": "FAILFAST"})
+    results = documents.select("stock_id", "ticker_symbol", F.explode(parsed["chart"]["result"]).alias("_result"))
+    result = F.col("_result")
+    quotes = results.select(
+        "stock_id", "ticker_symbol", result["timestamp"].alias("_ts"), F.explode(result["indicators"]["quote"]).alias("_quote")
+    )
     slots = F.arrays_zip(
-        result["timestamp"].alias("ts"),
-        *[quote[name].alias(name) for name in ("low", "open", "high", "volume", "close")],
+        F.col("_ts").alias("ts"),
+        *[F.col("_quote")[name].alias(name) for name in ("low", "open", "high", "volume", "close")],
     )
-    bars = documents.select("stock_id", "ticker_symbol", F.inline(slots))
+    bars = quotes.select("stock_id", "ticker_symbol", F.inline(slots))
     day = F.timestamp_seconds("ts").cast("date")
     return bars.select(
         price_id(F.col("stock_id"), day).alias("transaction_id"),
@@ -101,6 +110,14 @@ def explode_chart_json(documents: DataFrame, json_column: str = "chart_json") ->
     )
 
 
+def chart_rejects(documents: DataFrame, json_column: str = "chart_json") -> DataFrame:
+    """Documents that hold no bars: missing, not JSON, or without a result's timestamps."""
+    parsed = F.from_json(F.col(json_column), CHART_SCHEMA)
+    bars = F.transform(parsed["chart"]["result"], lambda r: F.greatest(F.size(r["timestamp"]), F.lit(0)))
+    count = F.aggregate(bars, F.lit(0), lambda total, n: total + n)
+    return documents.filter(F.coalesce(count, F.lit(0)) == 0)
+
+
 # Column names of vendor history files and ours.
 HISTORY_COLUMNS = {"Low": "low", "Open": "open", "High": "high", "Volume": "volume", "Close": "close"}
 
@@ -123,18 +140,22 @@ def normalize_history(history: DataFrame, date_column: str = "Date") -> DataFram
 
 def read_company_sheet(spark: SparkSession, path: str) -> DataFrame:
     """The first five columns of a company listing; its header row is not data."""
-    return spark.read.schema(s.COMPANY_SHEET).option("header", True).option("enforceSchema", True).csv(path)
+    listing = spark.read.schema(s.COMPANY_SHEET).option("header", True).option("enforceSchema", True)
+    return listing.option("mode", "FAILFAST").csv(path)
 
 
 def company_rows(sheet: DataFrame, stock_id: Column | None = None) -> DataFrame:
     """Companies with missing or empty text replaced and an id per row.
 
-    Ids are random UUIDs unless an expression for a reproducible id is given.
+    The id is derived from the ticker and country, so a repeated read or task repeats it;
+    another expression may be given.
     """
     texts = s.COMPANY_SHEET.fieldNames()
     filled = [F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.lit(s.UNKNOWN)).alias(c) for c in texts]
-    new_id = F.uuid() if stock_id is None else stock_id
-    return sheet.select(new_id.alias("stock_id"), *filled).select(*s.COMPANIES.fieldNames())
+    rows = sheet.select(*([] if stock_id is None else [stock_id.alias("stock_id")]), *filled)
+    if stock_id is None:
+        rows = rows.withColumn("stock_id", F.md5(F.concat_ws("|", "ticker_symbol", "country")))
+    return rows.select(*s.COMPANIES.fieldNames())
 
 
 def split_symbols(requests: DataFrame, column: str = "ticker_symbols", keep: Sequence[str] = ()) -> DataFrame:

@@ -43,7 +43,7 @@ def save_bucketed(
     table: str,
     path: str,
     buckets: int,
-    on: Sequence[str] = ("stock_id", "date"),
+    on: Sequence[str] = tuple(s.ROW_KEY),
     placed: bool = False,
 ) -> DataFrame:
     """Save as a table bucketed and sorted by the join keys.
@@ -67,7 +67,8 @@ def save_view(view: DataFrame, path: str) -> DataFrame:
     """Save the technical view for lookups by stock and by date.
 
     Files are split by year for pruning by date; within a year rows are ranged by
-    stock, so the files' minima and maxima exclude most of them for one stock.
+    stock, so the files' minima and maxima exclude most of them for one stock.  The
+    result keeps the column ``year``: reads that also bound it open only those folders.
     """
     yearly = view.withColumn("year", F.year("date"))
     (
@@ -77,15 +78,55 @@ def save_view(view: DataFrame, path: str) -> DataFrame:
         .partitionBy("year")
         .parquet(path)
     )
-    return view.sparkSession.read.schema(yearly.schema).parquet(path).select(*view.columns)
+    return view.sparkSession.read.schema(yearly.schema).parquet(path)
 
 
-def drop_view(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+def _by_year(df: DataFrame) -> DataFrame:
+    """Rows with their year, those of a year near each other."""
+    return df.withColumn("year", F.year("date")).repartitionByRange("year", "stock_id", "date")
+
+
+def create_by_year(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """An empty table split by year."""
+    empty = spark.createDataFrame([], schema).withColumn("year", F.year("date"))
+    empty.write.mode("ignore").partitionBy("year").parquet(path)
+
+
+def read_by_year(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table split by year, with the column ``year`` last."""
+    return spark.read.schema(T.StructType([*schema, T.StructField("year", T.IntegerType())])).parquet(path)
+
 
+def append_by_year(df: DataFrame, path: str) -> int:
+    """Append rows to a table split by year; the rows written."""
+    written = Observation("appended")
+    _by_year(df).observe(written, F.count("*").alias("rows")).write.mode("append").partitionBy("year").parquet(path)
+    return written.get["rows"]
+
+
+def upsert_by_year(df: DataFrame, path: str, key: str) -> int:
+    """Insert rows into a table split by year, replacing those with the same key; the rows
+    given.  Only years that hold such rows are written anew, the others are appended to."""
+    spark = df.sparkSession
+    rows = persisted(df.withColumn("year", F.year("date")), "changes")
+    stored = spark.read.schema(rows.schema).parquet(path)
+    touched = rows.select("year").distinct()
+    known = stored.join(F.broadcast(touched), "year", "left_semi")  # a few years
+    replaced = known.join(rows.select(key), key, "left_semi").select("year").distinct()
+    replaced = [r["year"] for r in replaced.collect()]  # a few years
+    old = rows.filter(F.col("year").isin(*replaced)) if replaced else rows.filter("false")
+    fresh = rows.filter(~F.col("year").isin(*replaced)) if replaced else rows
+    if replaced:
+        kept = stored.filter(F.col("year").isin(*replaced)).join(rows.select(key), key, "left_anti")
+        whole = persisted(kept.select(*[f"`{c}`" for c in rows.columns]).unionByName(old), "years")
+        ranged = whole.repartitionByRange("year", "stock_id", "date")
+        ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    fresh.repartitionByRange("year", "stock_id", "date").write.mode("append").partitionBy("year").parquet(path)
+    return rows.count()
 
-# Column order of price exports.
-EXPORT_COLUMNS = ["transaction_id", "stock_id", "ticker_symbol", "date", "low", "open", "high", "volume", "close"]
+
+def drop_view(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def export_per_ticker(prices: DataFrame, path: str, max_rows_per_file: int = 1_000_000) -> None:
@@ -109,17 +150,17 @@ def export_per_ticker(prices: DataFrame, path: str, max_rows_per_file: int = 1_0
 
 def export_combined(prices: DataFrame, path: str) -> None:
     """All tickers as CSV with header, in the fixed column order."""
-    prices.select(*EXPORT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    prices.select(*s.PRICES.fieldNames()).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_export_combined(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(s.PRICES).option("header", True).csv(path)
+    return spark.read.schema(s.PRICES).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def read_export_per_ticker(spark: SparkSession, path: str) -> DataFrame:
     """The per-ticker files read back; the ticker comes from the folder name."""
     fields = [f for f in s.PRICES if f.name not in ("stock_id", "ticker_symbol")]
     schema = T.StructType([*fields, T.StructField("ticker_symbol", s.STRING)])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 

@@ -86,6 +86,18 @@ def test_join_on_ids_does_not_pair_bars_of_one_day(series):
     tables = technical.moving_averages_of(wide), technical.bands_of(wide), technical.rsi_of(wide)
     assert technical.technical_join(bars, *tables).count() == 16
     assert technical.technical_join(bars, *tables, on=["transaction_id"]).count() == 2
+    assert technical.technical_join(bars, *tables, on=s.ROW_KEY).count() == 2
+    assert technical.technical_view(bars, *tables, as_of="2020-01-01").count() == 2
+    assert technical.view_of(wide, "2020-01-01").count() == 2
+
+
+def test_more_bars_than_the_group_limit(series, monkeypatch):
+    bars = series(a=[float(i) for i in range(60)], b=[1.0])
+    monkeypatch.setattr(history, "GROUP_LIMIT", 3)
+    plain = sorted((r.stock_id, r.close) for r in history.latest_per_ticker(bars, 7).collect())
+    monkeypatch.setattr(history, "MAX_ROWS", 10)
+    found = history.latest_per_ticker(bars, 7)
+    assert sorted((r.stock_id, r.close) for r in found.collect()) == plain == [*[("a", float(i)) for i in range(53, 60)], ("b", 1.0)]
 
 
 def test_view_bounds_come_from_the_given_day(spark, series):

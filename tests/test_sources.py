@@ -4,8 +4,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotewright import schemas as s
+from quotewright.operators import history
+from quotewright.plans.indicators import technical_frame
 from quotewright.sources import readers, writers
 
 
@@ -26,11 +29,30 @@ def test_chart_document(spark):
     assert rows[2].volume == 30 and rows[2].transaction_id == "1:2020-01-03"
 
 
-def test_broken_chart_document_gives_no_bars(spark):
-    docs = spark.createDataFrame(
-        [("1", "A", "{}"), ("2", "B", "not json")], "stock_id string, ticker_symbol string, chart_json string"
-    )
-    assert readers.explode_chart_json(docs).count() == 0
+CHARTS = "stock_id string, ticker_symbol string, chart_json string"
+
+
+def test_broken_chart_documents_fail_and_are_reported(spark):
+    good = document(low=[1.0], open=[1.0], high=[1.0], close=[1.0], volume=[1])
+    docs = spark.createDataFrame([("1", "A", "{}"), ("2", "B", "not json"), ("3", "C", None), ("4", "D", good[:50]), ("5", "E", good)], CHARTS)
+    assert sorted(r.stock_id for r in readers.chart_rejects(docs).collect()) == ["1", "2", "3", "4"]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.explode_chart_json(docs).collect()
+    assert readers.explode_chart_json(docs.filter("stock_id = 5")).count() == 3
+
+
+def test_every_result_and_quote_is_read(spark):
+    quote = {"low": [1.0], "open": [1.0], "high": [1.0], "close": [1.0], "volume": [1]}
+    results = [{"timestamp": [1577836800], "indicators": {"quote": [quote, quote]}}, {"timestamp": [1577923200], "indicators": {"quote": [quote]}}]
+    docs = spark.createDataFrame([("1", "A", json.dumps({"chart": {"result": results}}))], CHARTS)
+    assert sorted(str(r.date) for r in readers.explode_chart_json(docs).collect()) == ["2020-01-01", "2020-01-01", "2020-01-02"]
+
+
+def test_bad_fields_of_csv_fail(spark, tmp_path):
+    file = tmp_path / "prices.csv"
+    file.write_text("date,low,open,high,volume,close\n2020-01-01,1,1,1,5,1\n2020-13-01,x,1,1,5,1\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.read_price_csv(spark, str(file)).collect()
 
 
 def test_vendor_history(spark):
@@ -51,7 +73,9 @@ def test_company_sheet_header_and_defaults(spark, tmp_path):
         ("AAA", "UNKNOWN", "Tech", "UNKNOWN"),
         ("UNKNOWN", "NYQ", "UNKNOWN", "USA"),
     ]
-    assert all(len(r.stock_id) == 36 for r in rows)
+    assert len({r.stock_id for r in rows}) == 2
+    again = readers.company_rows(readers.read_company_sheet(spark, str(sheet))).collect()
+    assert {r.stock_id for r in again} == {r.stock_id for r in rows}
 
 
 def test_rows_in_memory(spark):
@@ -101,16 +125,40 @@ def test_exports(series, spark, tmp_path):
 def test_view_is_split_by_year_and_prunes(series, spark, tmp_path):
     view = writers.save_view(series(a=[float(i) for i in range(500)]).select("stock_id", "date", "close"), str(tmp_path / "v"))
     assert sorted(p.name for p in (tmp_path / "v").glob("year=*")) == ["year=2020", "year=2021"]
-    assert view.columns == ["stock_id", "date", "close"] and view.count() == 500
+    assert view.columns == ["stock_id", "date", "close", "year"] and view.count() == 500
+
+
+def test_reads_of_a_view_open_only_the_years_asked_for(series, spark, tmp_path):
+    wide = technical_frame(series(a=[float(i) for i in range(800)]))
+    view = writers.save_view(wide.select(*[f"`{c}`" for c in s.VIEW_COLUMNS]), str(tmp_path / "v"))
+    found = history.technical_from_view(view, None, "2021-02-01", "2021-03-01")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan and "2021" in plan
+    assert found.count() == 29 and found.columns == s.VIEW_COLUMNS
+    assert history.technical_from_view(view, None, "2021-12-31").count() == 800 - 730
+
+
+def test_upsert_by_year_replaces_only_what_it_must(series, spark, tmp_path):
+    path = str(tmp_path / "prices")
+    writers.create_by_year(spark, s.PRICES, path)
+    bars = series(a=[float(i) for i in range(500)])
+    assert writers.append_by_year(bars, path) == 500
+    old = {p.name for p in (tmp_path / "prices" / "year=2020").glob("*.parquet")}
+    changed = bars.filter("date >= date'2021-02-01'").withColumn("close", F.lit(-1.0))
+    more = series(b=[7.0]).withColumn("date", F.lit("2022-05-05").cast("date"))
+    assert writers.upsert_by_year(changed.unionByName(more), path, "transaction_id") == 104
+    stored = writers.read_by_year(spark, path, s.PRICES)
+    assert stored.count() == 501 and stored.filter("close = -1").count() == 103
+    assert {p.name for p in (tmp_path / "prices" / "year=2020").glob("*.parquet")} == old
 
 
 def test_bucketed_tables_join_without_a_shuffle(series, spark, tmp_path):
     bars = series(a=[1.0, 2.0], b=[3.0])
     left = writers.save_bucketed(bars, "left_bars", str(tmp_path / "l"), 4)
-    right = writers.save_bucketed(bars.select("stock_id", "date", "low"), "right_bars", str(tmp_path / "r"), 4)
+    right = writers.save_bucketed(bars.select(*s.ROW_KEY, "low"), "right_bars", str(tmp_path / "r"), 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = left.drop("low").join(right, ["stock_id", "date"])
+        joined = left.drop("low").join(right, s.ROW_KEY)
         assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.count() == 3
     finally:
