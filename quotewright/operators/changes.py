@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from quotewright import schemas as s
 from quotewright.operators.chunks import pages
+from quotewright.sources import writers
 
 
 def remove(table: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -14,14 +17,21 @@ def remove(table: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return table.join(keys.select(*on), list(on), "left_anti").select(*[f"`{c}`" for c in table.columns])
 
 
+def one_each(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per key: the first in the order of the remaining columns, nulls first."""
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in on]
+    rank = F.row_number().over(Window.partitionBy(*on).orderBy(*(rest or [F.lit(0)])))
+    return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
 def upsert(table: DataFrame, changes: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Insert new keys and replace the rows of known ones."""
-    return remove(table, changes, on).unionByName(changes.select(*table.columns))
+    """Insert new keys and replace the rows of known ones; a key given twice counts once."""
+    return remove(table, changes, on).unionByName(one_each(changes.select(*table.columns), on))
 
 
 def add_new(table: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
     """Append those ``rows`` whose key is not there yet; known keys stay untouched."""
-    return table.unionByName(remove(rows.select(*table.columns), table, on).dropDuplicates(list(on)))
+    return table.unionByName(one_each(remove(rows.select(*table.columns), table, on), on))
 
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, on: Sequence[str] = ("transaction_id",)) -> DataFrame:
@@ -37,6 +47,21 @@ def update_coverage(coverage: DataFrame, view_name: str, start: Column, end: Col
     return upsert(coverage, row, ["view_name"])
 
 
+def read_coverage(spark: SparkSession, path: str) -> DataFrame:
+    """The saved record; empty before its first save."""
+    try:
+        return spark.read.schema(s.COVERAGE).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], s.COVERAGE)
+
+
+def save_coverage(coverage: DataFrame, path: str) -> None:
+    """Replace the saved record, which the new one may have been made from."""
+    writers.overwrite(writers.persisted(coverage, "coverage"), path, s.COVERAGE)
+
+
 def coverage_of(coverage: DataFrame, view_name: str) -> DataFrame:
     """The recorded interval of one view; no row if it was never built."""
     return coverage.filter(F.col("view_name") == view_name).select("start_date", "end_date")
@@ -51,8 +76,8 @@ MEMBER_KEY = ["watchlist_id", "stock_id"]
 def nested_watchlists(lists: DataFrame, members: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Lists with their stocks as an array; empty for a list without members.
 
-    A list with more than ``max_rows`` members spans several pages, so that no row
-    grows without bound.
+    ``page`` is part of the key: a member's place in its list's order divided by
+    ``max_rows``, so no row grows without bound.
     """
     order = [c for c in members.columns if c not in LIST_KEY]
     paged = pages(members, LIST_KEY, order, max_rows)
@@ -108,8 +133,16 @@ def rename_watchlists(lists: DataFrame, changes: DataFrame) -> DataFrame:
     return renamed.withColumn("watchlist_name", F.coalesce("new_name", "watchlist_name")).select(*lists.columns)
 
 
-def replace_members(members: DataFrame, ids: DataFrame, replacement: DataFrame) -> DataFrame:
-    """Replace all members of the lists in ``ids``; a list without new rows ends up empty."""
+def replace_members(
+    members: DataFrame, ids: DataFrame, replacement: DataFrame, lists: DataFrame | None = None
+) -> DataFrame:
+    """Replace all members of the lists in ``ids``; a list without new rows ends up empty.
+
+    With ``lists``, ``ids`` also name the requesting user_id, and only lists that this user
+    owns change.  A member given twice is stored once.
+    """
+    if lists is not None:
+        ids = owned_changes(lists, ids)
     kept = remove(members, ids, LIST_KEY)
     added = replacement.join(ids.select(*LIST_KEY), LIST_KEY, "left_semi")
-    return kept.unionByName(added.select(*members.columns))
+    return kept.unionByName(one_each(added.select(*members.columns), MEMBER_KEY))

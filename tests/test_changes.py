@@ -67,6 +67,35 @@ def test_replace(spark, members):
     assert rows(changes.replace_members(members, ids, new)) == [("w2", "9", "Z"), ("w3", "1", "A")]
 
 
+def test_only_owners_replace_and_members_are_stored_once(spark, lists, members):
+    ids = spark.createDataFrame([("w1", 1), ("w3", 1)], "watchlist_id string, user_id bigint")
+    new = spark.createDataFrame([("w1", "9", "Z"), ("w1", "9", "Z"), ("w3", "9", "Z")], s.MEMBERS)
+    assert rows(changes.replace_members(members, ids, new, lists)) == [("w1", "9", "Z"), ("w3", "1", "A")]
+
+
+def test_a_key_given_twice_is_stored_once(spark):
+    table = spark.createDataFrame([("a", 1)], "k string, v int")
+    given = spark.createDataFrame([("a", 3), ("a", 2), ("b", 5), ("b", 5)], "k string, v int")
+    assert rows(changes.upsert(table, given, ["k"])) == [("a", 2), ("b", 5)]
+    assert rows(changes.add_new(table, given, ["k"])) == [("a", 1), ("b", 5)]
+
+
+def test_pages_are_part_of_the_key(spark, lists):
+    many = spark.createDataFrame([("w1", str(k), "T") for k in range(7)], s.MEMBERS)
+    nested = changes.nested_watchlists(lists, many, max_rows=3).collect()
+    assert sorted((r.watchlist_id, r.page, [m.stock_id for m in r.stocks]) for r in nested) == [
+        ("w1", 0, ["0", "1", "2"]), ("w1", 1, ["3", "4", "5"]), ("w1", 2, ["6"]), ("w2", 0, []), ("w3", 0, []),
+    ]
+
+
+def test_coverage_is_saved_and_read(spark, tmp_path):
+    path = str(tmp_path / "coverage")
+    for name in ("v", "v", "w"):
+        record = changes.update_coverage(changes.read_coverage(spark, path), name, as_date("2010-01-01"), as_date("2020-01-01"))
+        changes.save_coverage(record, path)
+    assert sorted(r.view_name for r in changes.read_coverage(spark, path).collect()) == ["v", "w"]
+
+
 def test_coverage_is_replaced_by_key(spark):
     old = spark.createDataFrame([("v", dt.date(2000, 1, 1), dt.date(2001, 1, 1)), ("x", None, None)], s.COVERAGE)
     new = changes.update_coverage(old, "v", as_date("2010-01-01"), as_date("2020-01-01"))
