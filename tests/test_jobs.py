@@ -94,6 +94,44 @@ def test_refresh_adds_newer_bars_once(series):
     assert same(refresh.refresh(once, landed), once)
 
 
+def test_refresh_fills_gaps_and_keeps_null_keys_once(spark, series):
+    full = series(a=values(30))
+    odd = spark.createDataFrame([("x", None, None, None, 1.0, 1.0, 1.0, 1, 1.0)], s.PRICES)
+    stored = full.filter("date <> date'2020-01-05'")
+    once = refresh.refresh(stored, full.unionByName(odd))
+    assert same(once, full.unionByName(odd))
+    assert same(refresh.refresh(once, full.unionByName(odd)), once)
+
+
+def test_a_late_bar_corrects_the_bars_behind_it(series):
+    full = series(a=values(500), b=values(300, 4))
+    late = full.filter("stock_id = 'a' and date = date'2020-03-01'")
+    found = refresh.tail_indicators(full, late)
+    expected = technical_frame(full).filter("stock_id = 'a' and date between date'2020-03-01' and date'2020-09-17'")
+    assert expected.count() == 201
+    assert same(found, expected)
+
+
+def test_refresh_job_writes_once_and_heals(spark, series, tmp_path):
+    full = series(a=values(420), b=values(300, 4), new=values(3))
+    stored = full.filter("stock_id <> 'new' and date <> date'2020-02-02' and date < date'2021-01-20'")
+    store = refresh.create_store(stored, str(tmp_path / "store"))
+    first = refresh.run_refresh(spark, store, full)
+    assert first["prices"] == full.count() - stored.count()
+    layouts = {"averages": s.MOVING_AVERAGES, "bands": s.BANDS, "strength": s.RSI}
+    wide = technical_frame(full)
+    for name, layout in layouts.items():
+        assert store.read(spark, name).count() == full.count(), name
+    view = store.read(spark, "view").select(*[f"`{c}`" for c in s.VIEW_COLUMNS])
+    assert same(view, wide.select(*[f"`{c}`" for c in s.VIEW_COLUMNS]))
+    assert set(refresh.run_refresh(spark, store, full).values()) == {0}
+    # a run that stopped after the prices were appended is completed by the next
+    extra = series(c=values(5))
+    writers.append_by_year(extra, store.prices)
+    assert refresh.run_refresh(spark, store, full)["strength"] == 5
+    assert store.read(spark, "view").filter("stock_id = 'c'").count() == 5
+
+
 def test_pruned_history_gives_the_same_indicators(spark):
     from checks import fixtures as fx
 
@@ -109,7 +147,7 @@ def test_pruned_history_gives_the_same_indicators(spark):
 
 def test_no_step_of_the_refresh_gathers_a_ticker(series, monkeypatch):
     bars = series(a=values(300), b=values(10))
-    new = refresh.newer_bars(bars, bars)
+    new = refresh.missing_bars(bars, bars)
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Join") < plan.index("Window")
     starts = bars.groupBy(*s.TICKER).agg(F.max("date").alias("start"))
@@ -160,6 +198,34 @@ def test_replayed_batch_adds_nothing(spark, series, folders):
     ingest.append_new(bars.filter("false"), folders["sink"])
 
 
+def test_bars_without_a_key_are_rejected_visibly(spark, series, folders):
+    ingest.create_sink(spark, folders["sink"])
+    good = series(a=values(3))
+    bad = good.limit(1).withColumn("date", F.lit(None).cast("date"))
+    for batch in (good.unionByName(bad), bad):
+        with pytest.raises(ValueError, match="1 bars lack"):
+            ingest.append_new(batch, folders["sink"])
+    for _ in range(2):  # a replay
+        ingest.append_new(good.unionByName(bad), folders["sink"], rejects=folders["landing"])
+        ingest.append_new(bad, folders["sink"], rejects=folders["landing"] + "2")
+    assert ingest.read_sink(spark, folders["sink"]).count() == 3
+    assert spark.read.parquet(folders["landing"]).count() == 1 == spark.read.parquet(folders["landing"] + "2").count()
+
+
+def test_open_ranges_and_tickers_of_several_companies(spark, series):
+    from quotewright.plans.resolve import bulk_load, request_prices
+
+    bars = series(a=values(5), b=values(3))
+    both = company(spark, "a", "b").withColumn("ticker_symbol", F.lit("A"))
+    asked = spark.createDataFrame(
+        [("A", "USA", None, None, False), ("A", "USA", dt.date(2020, 1, 3), None, False), ("A", "USA", None, dt.date(2020, 1, 1), False)],
+        s.REQUESTS,
+    )
+    found = request_prices(asked, both, bars).groupBy("stock_id").count().collect()
+    assert {r.stock_id: r["count"] for r in found} == {"a": 5 + 3 + 1, "b": 3 + 1 + 1}
+    assert bulk_load(both, bars, bars.filter("stock_id = 'a'")).count() == 3
+
+
 def test_saved_copy_is_read_back(spark, series):
     bars = series(a=values(3))
     copy = writers.persisted(bars, "copy")
