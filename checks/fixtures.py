@@ -47,6 +47,27 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chart_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chart document per ticker and year, from its bars."""
+    names = ["low", "open", "high", "close", "volume"]
+    slot = F.struct(F.unix_timestamp(F.col("date").cast("timestamp")).alias("ts"), *names)
+    yearly = bars(spark, sf_dir).groupBy("stock_id", "ticker_symbol", F.year("date").alias("year"))
+    slots = yearly.agg(F.sort_array(F.collect_list(slot)).alias("slots"))
+    quote = F.struct(*[F.col(f"slots.{n}").alias(n) for n in names])
+    result = F.struct(
+        F.col("slots.ts").alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators")
+    )
+    chart = F.struct(F.struct(F.array(result).alias("result")).alias("chart"))
+    text = F.to_json(F.struct(chart["chart"].alias("chart")))
+    return slots.select("stock_id", "ticker_symbol", text.alias("chart_json"))
+
+
+def tick_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as price rows: several closes of a stock on one day."""
+    rows = ticks(spark, sf_dir)
+    return rows.withColumns({name: F.col("close") for name in ("low", "open", "high")})
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty prices: one row per line item, with repeated closes and missing volumes."""
     items = table(spark, sf_dir, "lineitem")
@@ -127,3 +148,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(END).cast("date").alias("end_date"),
         "technical",
     )
+
+
+def open_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per company: by region closed, open at either side or both, or empty."""
+    asked = companies(spark, sf_dir)
+    start = F.when(F.col("region").isin(0, 2, 4), F.make_date(F.lit(1996) + F.col("region"), F.lit(3), F.lit(1)))
+    end = F.when(F.col("region").isin(1, 2), F.make_date(F.lit(1997) + F.col("region"), F.lit(7), F.lit(31)))
+    return asked.select("ticker_symbol", "country", start.alias("start_date"), end.alias("end_date"), "technical")

@@ -50,10 +50,19 @@ VIEWS = {
     "newest": "select stock_id, max(date) as newest from stored group by stock_id",
     "refreshed": """
         select * from stored union all
-        select landed.* from landed left join newest on landed.stock_id = newest.stock_id
-        where newest is null or date > newest""",
+        select landed.* from landed where (stock_id, date) not in (select stock_id, date from stored)""",
+    "gapped": f"select * from stored where day(date) <> 15 or date >= date '{START}'",
     "moves": """
-        select *, close - lag(close) over (partition by stock_id order by date) as delta from bars""",
+        select *, close - lag(close) over (partition by stock_id order by date, transaction_id) as delta from bars""",
+    "tick_moves": """
+        select *, close - lag(close) over (partition by stock_id order by date, transaction_id) as delta
+        from (select * from ticks
+              qualify row_number() over (partition by stock_id, ticker_symbol, date, close order by transaction_id) = 1)""",
+    "open_requests": """
+        select ticker_symbol, country, technical, stock_id, region,
+               case when region in (0, 2, 4) then make_date(1996 + region, 3, 1) end as start_date,
+               case when region in (1, 2) then make_date(1997 + region, 7, 31) end as end_date
+        from companies""",
     "home": """
         select c_custkey as user_id, c_acctbal, cast(k as varchar) as stock_id, s_name as ticker_symbol
         from customer join (select s_nationkey as n, min(s_suppkey) as k from supplier group by 1) on c_nationkey = n
@@ -61,12 +70,12 @@ VIEWS = {
 }
 
 
-def _frames() -> str:
+def _frames(moves: str = "moves") -> str:
     parts = ["transaction_id, stock_id, ticker_symbol, date, close"]
     windows = []
     for p in sorted({*s.MA_PERIODS, *s.BAND_PERIODS, *s.RSI_PERIODS}):
         windows.append(
-            f"w{p} as (partition by stock_id order by date rows between {p - 1} preceding and current row)"
+            f"w{p} as (partition by stock_id order by date, transaction_id rows between {p - 1} preceding and current row)"
         )
         parts += [
             f"avg(close) over w{p} as sma_{p}",
@@ -75,7 +84,7 @@ def _frames() -> str:
             f"avg(case when delta > 0 then delta else 0e0 end) over w{p} as gain_{p}",
             f"avg(case when delta < 0 then -delta else 0e0 end) over w{p} as loss_{p}",
         ]
-    return f"select {', '.join(parts)} from moves window {', '.join(windows)}"
+    return f"select {', '.join(parts)} from {moves} window {', '.join(windows)}"
 
 
 def _ema(p: int, seed: str = "newest") -> str:
@@ -114,6 +123,7 @@ def _rsi_columns(lossless=""):
 
 
 VIEWS["frames"] = _frames()
+VIEWS["tick_frames"] = _frames("tick_moves")
 _WIDE = [*_sma_columns("ma_"), *_ema_columns("ma_"), *_band_columns("bb_"), *_rsi_columns()]
 VIEWS["tech"] = f"""
     select transaction_id as cal_id, transaction_id, stock_id, ticker_symbol, date, close, {', '.join(_WIDE)}
@@ -125,7 +135,11 @@ READS = {
     "stored": ["bars"],
     "landed": ["bars"],
     "newest": ["stored"],
-    "refreshed": ["stored", "landed", "newest"],
+    "refreshed": ["stored", "landed"],
+    "gapped": ["stored"],
+    "tick_moves": ["ticks"],
+    "tick_frames": ["tick_moves"],
+    "open_requests": ["companies"],
     "moves": ["bars"],
     "frames": ["moves"],
     "tech": ["frames"],
@@ -483,3 +497,113 @@ oracle(
     f"select {PRICES} from bars where stock_id in (select stock_id from companies where region = 4)",
     "date",
 )
+
+_OPEN = "(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"
+oracle(
+    "view_of_ticks",
+    "tick_frames",
+    f"""select stock_id, ticker_symbol, date, close, {r2("sma_20")} as "ma_20_days_sma",
+               {r2(f"{r2(_ema(20))} + 2 * dev_20")} as "bb_20_upper_band", {r2(_rsi(20))} as "20_days_rsi"
+        from tick_frames where {_HORIZON}""",
+    "date",
+)
+oracle(
+    "view_horizon",
+    "tech",
+    f"select {VIEW} from tech where date between date '{END}' - {s.VIEW_DAYS} and date '{END}' and date >= date '{START}'",
+    "date",
+)
+oracle(
+    "batch_coverage",
+    "bars",
+    f"""select unnest(['prices', 'averages', 'bands', 'strength', 'view']) as part, count(*) as rows,
+               date '{AS_OF}' - {s.VIEW_DAYS} as start_date, date '{AS_OF}' as end_date from bars""",
+    "start_date end_date",
+)
+oracle(
+    "refresh_gaps",
+    "tech gapped",
+    f"""select {KEYS}, close, {quoted(s.WIDE_COLUMNS)} from (
+            select *, max(added) over (partition by stock_id order by date rows between 200 preceding and current row) as reached
+            from (select tech.*, cast(gapped.transaction_id is null as bigint) as added
+                  from tech left join gapped using (transaction_id)
+                  where tech.date < date '{STORED_BEFORE}'))
+        where reached = 1""",
+    "date",
+)
+oracle(
+    "refresh_store",
+    "tech gapped bars",
+    f"""select transaction_id, {VIEW},
+               (select count(*) from bars) - (select count(*) from gapped) as first_prices,
+               cast(0 as bigint) as second_prices, cast(0 as bigint) as second_strength from tech""",
+    "date",
+)
+oracle(
+    "bulk_load",
+    "bars gapped",
+    f"select {PRICES} from bars where transaction_id not in (select transaction_id from gapped)",
+    "date",
+)
+oracle(
+    "open_requests",
+    "bars open_requests",
+    f"""select ticker_symbol, country, start_date, end_date, transaction_id, date, close
+        from bars join open_requests using (stock_id, ticker_symbol) where {_OPEN}""",
+    "start_date end_date date",
+)
+oracle(
+    "resolve_open_requests",
+    "tech open_requests",
+    f"""select stock_id, start_date, end_date, case when region <> 4 then 'stored' when technical then 'computed'
+                                                    else 'landed' end as source, date, close,
+               case when region = 4 and technical then "ma_20_days_sma" end as "ma_20_days_sma"
+        from tech join open_requests using (stock_id, ticker_symbol) where {_OPEN}""",
+    "start_date end_date date",
+)
+_CENTS = ", ".join(f"cast(cast(round({c} * 100) as bigint) as varchar)" for c in ("low", "open", "high", "volume", "close"))
+oracle(
+    "bars_pages",
+    "bars",
+    f"""select stock_id, page, count(*) as n, string_agg(text, ',' order by place) as bars
+        from (select stock_id, place, place // 100 as page,
+                     concat_ws('@', transaction_id, cast(date as varchar), {_CENTS}) as text
+              from (select *, row_number() over (partition by stock_id order by date, transaction_id) - 1 as place from bars))
+        group by stock_id, page""",
+)
+oracle(
+    "rounded_large",
+    "bars",
+    f"""select transaction_id, place, case when abs(x) >= 4.5e13 then x else {r2("if(abs(x) >= 4.5e13, 0, x)")} end as rounded
+        from (select transaction_id, cast(unnest(range(8)) as bigint) as place, unnest([close * 1e0, close * 1e5, close * 1e7,
+              close * 1e12, close * 1e15, close * 1e100, 'inf'::double, '-inf'::double]) as x from bars)""",
+)
+oracle(
+    "latest_n_deep",
+    "bars",
+    f"select {PRICES} from bars qualify row_number() over (partition by ticker_symbol order by date desc) <= 1500",
+    "date",
+)
+oracle(
+    "watchlist_pages",
+    "watchlists members",
+    """select watchlist_id, user_id, watchlist_name, coalesce(page, 0) as page, coalesce(stocks, '') as stocks
+       from watchlists left join (
+           select watchlist_id, page, string_agg(stock_id || '@' || ticker_symbol, ',' order by stock_id, ticker_symbol) as stocks
+           from (select *, (row_number() over (partition by watchlist_id order by stock_id, ticker_symbol) - 1) // 3 as page
+                 from members) group by 1, 2) using (watchlist_id)""",
+)
+oracle(
+    "watchlist_replace_owned",
+    "watchlists members home",
+    """with replaced as (select * from watchlists where watchlist_name = '3-MEDIUM')
+       select * from members where watchlist_id not in (select watchlist_id from replaced)
+       union all
+       select watchlist_id, stock_id, ticker_symbol from home join replaced using (user_id)""",
+)
+oracle(
+    "chart_rejects",
+    "bars",
+    """select stock_id, ticker_symbol, case when cast(stock_id as bigint) % 5 in (0, 4) then count(*) end as bars
+       from bars group by 1, 2""",
+)

@@ -6,6 +6,7 @@ nested values as text), so that they compare by value with the SQL twins.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from functools import wraps
 
@@ -80,19 +81,23 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def chart_json_explode(spark, sf_dir):
-    """One chart document per ticker and year, taken apart into bars again."""
-    names = ["low", "open", "high", "close", "volume"]
-    slot = F.struct(F.unix_timestamp(F.col("date").cast("timestamp")).alias("ts"), *names)
-    yearly = fx.bars(spark, sf_dir).groupBy("stock_id", "ticker_symbol", F.year("date").alias("year"))
-    slots = yearly.agg(F.sort_array(F.collect_list(slot)).alias("slots"))
-    quote = F.struct(*[F.col(f"slots.{n}").alias(n) for n in names])
-    result = F.struct(
-        F.col("slots.ts").alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators")
+    """Chart documents taken apart into bars again."""
+    return readers.explode_chart_json(fx.chart_documents(spark, sf_dir))
+
+
+@query
+def chart_rejects(spark, sf_dir):
+    """Documents of some stocks are broken off, emptied or missing; these are reported."""
+    broken = F.expr(
+        """case stock_id % 5 when 1 then left(chart_json, 40) when 2 then '{"chart":{"result":[]}}'
+           when 3 then null else chart_json end"""
     )
-    chart = F.struct(F.struct(F.array(result).alias("result")).alias("chart"))
-    text = F.to_json(F.struct(chart["chart"].alias("chart")))
-    documents = slots.select("stock_id", "ticker_symbol", text.alias("chart_json"))
-    return readers.explode_chart_json(documents)
+    documents = fx.chart_documents(spark, sf_dir).withColumn("chart_json", broken)
+    rejected = readers.chart_rejects(documents).select("stock_id", "ticker_symbol").withColumn("bars", F.lit(None).cast("bigint"))
+    rejected = rejected.distinct()
+    whole = writers.persisted(documents.join(rejected.select("stock_id"), "stock_id", "left_anti"), "documents")
+    read = readers.explode_chart_json(whole)
+    return rejected.unionByName(read.groupBy("stock_id", "ticker_symbol").agg(F.count("*").alias("bars")))
 
 
 @query
@@ -406,6 +411,31 @@ def bars_nested(spark, sf_dir):
     return nested.select("stock_id", "ticker_symbol", "page", *shown)
 
 
+@query
+def bars_pages(spark, sf_dir):
+    """Nested bars in pages of 100: all fields, the page being part of the key."""
+    nested = history.nested_bars(fx.bars(spark, sf_dir), max_rows=100)
+    numbers = ["low", "open", "high", "volume", "close"]
+    cents = lambda b: [F.round(b[n] * 100).cast("bigint").cast("string") for n in numbers]
+    row = lambda b: F.concat_ws("@", b["transaction_id"], b["date"].cast("string"), *cents(b))
+    return nested.select("stock_id", "page", F.size("bars").alias("n"), F.array_join(F.transform("bars", row), ",").alias("bars"))
+
+
+@query
+def rounded_large(spark, sf_dir):
+    """Rounding far beyond whole cents: closes times powers of ten, and infinity."""
+    scaled = [F.col("close") * 10.0**k for k in (0, 5, 7, 12, 15, 100)]
+    special = [F.lit(float("inf")), F.lit(float("-inf"))]
+    rows = fx.bars(spark, sf_dir).select("transaction_id", F.posexplode(F.array(*scaled, *special)).alias("place", "x"))
+    return rows.select("transaction_id", "place", round2("x").alias("rounded"))
+
+
+@query
+def latest_n_deep(spark, sf_dir):
+    """More bars than Spark's own group limit allows."""
+    return history.latest_per_ticker(fx.bars(spark, sf_dir), 1500)
+
+
 @query
 def latest_n(spark, sf_dir):
     return history.latest_n(fx.bars(spark, sf_dir))
@@ -516,6 +546,27 @@ def watchlist_nested(spark, sf_dir):
     return nested.withColumn("stocks", F.array_join(texts, ","))
 
 
+@query
+def watchlist_pages(spark, sf_dir):
+    """Nested watchlists in pages of three members."""
+    nested = changes.nested_watchlists(fx.watchlists(spark, sf_dir), fx.members(spark, sf_dir), max_rows=3)
+    texts = F.transform("stocks", lambda m: F.concat_ws("@", m["stock_id"], m["ticker_symbol"]))
+    return nested.withColumn("stocks", F.array_join(texts, ","))
+
+
+@query
+def watchlist_replace_owned(spark, sf_dir):
+    """Owners replace the members of one list, giving each twice; strangers replace nothing."""
+    lists = fx.watchlists(spark, sf_dir)
+    own = lists.filter("watchlist_name = '3-MEDIUM'").select("watchlist_id", "user_id")
+    foreign = lists.filter("watchlist_name = '2-HIGH'").select("watchlist_id", (F.col("user_id") + 1).alias("user_id"))
+    home = _home_stock(spark, sf_dir)
+    names = F.explode(F.array(F.lit("3-MEDIUM"), F.lit("3-MEDIUM"), F.lit("2-HIGH"))).alias("name")
+    given = home.select("user_id", names, "stock_id", "ticker_symbol")
+    given = given.withColumn("watchlist_id", F.concat_ws("-", F.col("user_id").cast("string"), "name"))
+    return changes.replace_members(fx.members(spark, sf_dir), own.unionByName(foreign), given, lists)
+
+
 @query
 def watchlist_find(spark, sf_dir):
     wanted = fx.table(spark, sf_dir, "customer").select(
@@ -579,8 +630,38 @@ def technical_range(spark, sf_dir):
 @query
 def batch_view(spark, sf_dir):
     coverage = spark.createDataFrame([], s.COVERAGE)
-    _, view, _ = batch.run_batch(fx.bars(spark, sf_dir), fx.AS_OF, coverage)
-    return view
+    tables, view, _ = batch.run_batch(fx.bars(spark, sf_dir), fx.AS_OF, coverage)
+    tables.drop()
+    return view.select(*[f"`{c}`" for c in s.VIEW_COLUMNS])
+
+
+@query
+def batch_coverage(spark, sf_dir):
+    """The saved record of what the view covers, read back, and the rows of each table."""
+    path = fresh_path(spark, "coverage")
+    tables, view, coverage = batch.run_batch(fx.bars(spark, sf_dir), fx.AS_OF, changes.read_coverage(spark, path))
+    changes.save_coverage(coverage, path)
+    saved = changes.coverage_of(changes.read_coverage(spark, path), "technical_view")
+    parts = {"prices": tables.prices, "averages": tables.averages, "bands": tables.bands, "strength": tables.strength, "view": view}
+    counted = [df.agg(F.count("*").alias("rows")).withColumn("part", F.lit(name)) for name, df in parts.items()]
+    return functools.reduce(DataFrame.unionByName, counted).join(F.broadcast(saved))  # one row
+
+
+@query
+def view_of_ticks(spark, sf_dir):
+    """The view where a stock has several rows a day, from tables joined by the row key."""
+    tables = batch.save_indicators(fx.tick_prices(spark, sf_dir))
+    view = technical.technical_view(tables.prices, tables.averages, tables.bands, tables.strength, fx.AS_OF)
+    return view.select("stock_id", "ticker_symbol", "date", "close", "ma_20_days_sma", "bb_20_upper_band", "20_days_rsi")
+
+
+@query
+def view_horizon(spark, sf_dir):
+    """A saved view whose horizon excludes most rows, read by stock and date."""
+    tables = batch.save_indicators(fx.bars(spark, sf_dir))
+    view = batch.build_view(tables, fx.END)
+    tables.drop()
+    return history.technical_from_view(view, fx.companies(spark, sf_dir), fx.START, fx.AS_OF)
 
 
 @query
@@ -614,6 +695,60 @@ def resolve_new_prices(spark, sf_dir):
     return done.new_prices
 
 
+def with_gaps(bars: DataFrame) -> DataFrame:
+    """What is stored: older bars, of which the 15th of each early month is missing."""
+    return stored(bars).filter((F.dayofmonth("date") != 15) | (F.col("date") >= as_date(fx.START)))
+
+
+@query
+def refresh_gaps(spark, sf_dir):
+    """Indicators of bars that fill gaps, and of the later bars that these change."""
+    bars = prices(spark, sf_dir)
+    new = writers.persisted(refreshing.missing_bars(with_gaps(bars), stored(bars)), "new_bars")
+    return refreshing.tail_indicators(with_gaps(bars).unionByName(new), new)
+
+
+@query
+def refresh_store(spark, sf_dir):
+    """A store with gaps after two refreshes with all bars: its view, and what each wrote."""
+    bars = prices(spark, sf_dir)
+    store = refreshing.create_store(with_gaps(bars), fresh_path(spark, "store"))
+    first = refreshing.run_refresh(spark, store, bars)
+    second = refreshing.run_refresh(spark, store, bars)
+    view = store.read(spark, "view").drop("year")
+    added = {"first_prices": first["prices"], "second_prices": second["prices"], "second_strength": second["strength"]}
+    return view.withColumns({name: F.lit(number) for name, number in added.items()})
+
+
+@query
+def bulk_load(spark, sf_dir):
+    """Whole histories of all companies, without dates, less what is stored."""
+    bars = prices(spark, sf_dir)
+    return resolving.bulk_load(fx.companies(spark, sf_dir), bars, with_gaps(bars))
+
+
+@query
+def open_requests(spark, sf_dir):
+    """Ranges that differ by request, open on either or both sides."""
+    found = resolving.request_prices(
+        fx.open_requests(spark, sf_dir), fx.companies(spark, sf_dir), fx.bars(spark, sf_dir)
+    )
+    return found.select("ticker_symbol", "country", "start_date", "end_date", "transaction_id", "date", "close")
+
+
+@query
+def resolve_open_requests(spark, sf_dir):
+    """The same ranges resolved; prices are stored for some regions only."""
+    bars = fx.bars(spark, sf_dir).join(fx.companies(spark, sf_dir).select("stock_id", "region"), "stock_id")
+    bars = writers.persisted(bars, "located_bars")
+    stored_prices = s.conform(bars.filter("region <> 4"), s.PRICES)
+    unknown = [F.lit(None).cast("double").alias(c) for c in s.WIDE_COLUMNS]
+    empty = stored_prices.filter("false").select("stock_id", "ticker_symbol", "date", "close", *unknown)
+    asked = fx.open_requests(spark, sf_dir)
+    done = resolving.resolve(asked, fx.companies(spark, sf_dir), stored_prices, empty, empty, s.conform(bars, s.PRICES))
+    return done.answers.select("stock_id", "start_date", "end_date", "source", "date", "close", "ma_20_days_sma")
+
+
 @query
 def daily_refresh(spark, sf_dir):
     bars = prices(spark, sf_dir)
@@ -625,7 +760,7 @@ def refresh_indicators(spark, sf_dir):
     """Indicators of the bars a refresh adds, from the history they depend on."""
     bars = prices(spark, sf_dir)
     kept = stored(bars)
-    new = writers.persisted(refreshing.newer_bars(kept, landed(bars)), "new_bars")
+    new = writers.persisted(refreshing.missing_bars(kept, landed(bars)), "new_bars")
     return refreshing.tail_indicators(kept.unionByName(new), new)
 
 

@@ -1,10 +1,10 @@
-"""Time alternative plans for the same indicators on saved bars.
+"""Time alternative plans for the same measures on saved bars.
 
     python -m checks.variants [sf_dir]
 
-Compares moving frames that Spark re-reads per row (ascending and descending, with a
-built-in fold or a row-at-a-time Python function for the exponential average) with the
-merged frames of this library, and a bucketed with a plain join of the stored tables.
+Compares Spark's own moving frames (averages, deviations, mean gains and losses), which
+are read anew for every row, with the merged frames of this library, and a bucketed with
+a plain join of the stored tables.
 """
 
 from __future__ import annotations
@@ -12,56 +12,31 @@ from __future__ import annotations
 import sys
 import time
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from bench import session
 from checks import fixtures as fx
 from quotewright import schemas as s
+from quotewright.functions.rolling import gain_sql, loss_sql
 from quotewright.operators import indicators, technical
 from quotewright.plans.batch import save_indicators
 from quotewright.plans.indicators import technical_frame
 from quotewright.sources import writers
 
 
-def frame(p: int, descending: bool):
-    if descending:
-        return Window.partitionBy(*s.TICKER).orderBy(F.desc("date")).rowsBetween(0, p - 1)
-    return Window.partitionBy(*s.TICKER).orderBy(*s.ORDER).rowsBetween(1 - p, 0)
-
-
-def fold_rows(values, alpha):
-    result = values[0]
-    for value in values[1:]:
-        result = alpha * value + (1 - alpha) * result
-    return result
-
-
-def moving_ema(bars, how: str, descending: bool):
-    columns = {}
-    per_row = F.udf(fold_rows, "double")
-    for p in s.MA_PERIODS:
-        values = F.collect_list("close").over(frame(p, descending))
-        values = values if descending else F.reverse(values)
-        alpha = 2 / (p + 1)
-        if how == "python":
-            columns[s.ema_name(p)] = F.round(per_row(values, F.lit(alpha)), 2)
-        else:
-            fold = F.aggregate(F.slice(values, 2, p), F.get(values, F.lit(0)), lambda e, x: x * alpha + e * (1 - alpha))
-            columns[s.ema_name(p)] = F.round(fold, 2)
-    return bars.withColumns(columns)
-
-
-def moving_rest(bars, descending: bool):
-    """Simple averages, deviations and mean gains and losses by moving frames."""
-    before = Window.partitionBy(*s.TICKER).orderBy("date")
-    moves = bars.withColumn("delta", F.col("close") - F.lag("close").over(before))
-    up = F.when(F.col("delta") > 0, F.col("delta")).otherwise(0.0)
-    down = F.when(F.col("delta") < 0, -F.col("delta")).otherwise(0.0)
-    columns = {f"mean_{p}": F.round(F.avg("close").over(frame(p, descending)), 2) for p in s.MA_PERIODS}
-    columns |= {f"dev_{p}": F.stddev("close").over(frame(p, descending)) for p in s.BAND_PERIODS}
-    columns |= {f"up_{p}": F.avg(up).over(frame(p, descending)) for p in s.RSI_PERIODS}
-    columns |= {f"down_{p}": F.avg(down).over(frame(p, descending)) for p in s.RSI_PERIODS}
-    return moves.withColumns(columns)
+def moving_frames(bars: DataFrame) -> DataFrame:
+    """The plain means and deviations of every period with ``rows between``."""
+    series = Window.partitionBy(*s.TICKER).orderBy(*s.ORDER)
+    moves = bars.withColumn("delta", F.col("close") - F.lag("close").over(series))
+    measures = {
+        "mean": (s.MA_PERIODS, F.avg("close")),
+        "deviation": (s.BAND_PERIODS, F.stddev_samp("close")),
+        "gain": (s.RSI_PERIODS, F.avg(F.expr(gain_sql("delta")))),
+        "loss": (s.RSI_PERIODS, F.avg(F.expr(loss_sql("delta")))),
+    }
+    return moves.withColumns(
+        {f"{name}_{p}": value.over(series.rowsBetween(1 - p, 0)) for name, (periods, value) in measures.items() for p in periods}
+    )
 
 
 def main() -> None:
@@ -78,18 +53,9 @@ def main() -> None:
             best = min(best, time.perf_counter() - start)
         print(f"| {label} | {best:.1f} s |", flush=True)
 
-    clock("ema: merged frames", lambda: indicators.ema(spread))
-    clock("ema: moving frames, built-in fold", lambda: moving_ema(spread, "fold", False))
-    clock("ema: moving frames, Python function per row", lambda: moving_ema(spread, "python", True))
-    clock("all indicators: merged frames", lambda: technical_frame(bars))
-    clock(
-        "all indicators: moving frames, ascending, built-in fold",
-        lambda: moving_rest(moving_ema(spread, "fold", False), False),
-    )
-    clock(
-        "all indicators: moving frames, descending, Python function per row",
-        lambda: moving_rest(moving_ema(spread, "python", True), True),
-    )
+    clock("simple averages: merged frames", lambda: indicators.sma(spread))
+    clock("means, deviations, gains and losses: moving frames", lambda: moving_frames(spread))
+    clock("all indicators (with exponential averages, cleaning, rounding): merged frames", lambda: technical_frame(bars))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     t = save_indicators(bars)
 
