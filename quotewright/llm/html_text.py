@@ -51,12 +51,17 @@ SIBLINGS = {
 }
 #: Words of a class or id that mark what isn't main text.
 UNLIKELY = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted "
-    "related remark remarks replies reply respond rss share sharing sidebar signup skyscraper social sponsor sponsored "
-    "subscribe toolbar tweet widget".split()
+    "ad ads adv advert adverts advertisement advertising adsense announcement banner breadcrumb breadcrumbs comment commentlist "
+    "comments consent cookie cookies copyright discussion disqus disclaimer footer gdpr legal login masthead menu modal nav navbar "
+    "navigation newsletter notice notices pager pagination popup privacy promo promoted recommendations recommended related "
+    "remark remarks replies reply respond responses rss share sharing sidebar signup sitemap skyscraper social sponsor "
+    "sponsored subnav subscribe toolbar topbar trending tweet widget".split()
 )
 UNLIKELY_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
+#: Words of wrappers, which may name a part of what they hold ("has-sidebar").
+WRAPPERS = frozenset("container grid has layout page row site with without wrap wrapper".split())
+#: Names under which a header is the article's own.
+ARTICLES = frozenset("article entry post story".split())
 LIKELY = frozenset("article body content entry main page post story text".split())
 PRIOR = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "td": 3.0, "ol": -3.0, "ul": -3.0, "dl": -3.0}
 
@@ -166,7 +171,7 @@ def _words(node: Node) -> set[str]:
 def _unlikely(node: Node, in_article: bool) -> bool:
     """Whether an element can't be main text."""
     tag, attributes = node.tag, node.attributes
-    if tag in NEVER or (tag == "header" and not in_article):
+    if tag in NEVER or (tag == "header" and not in_article and not _words(node) & ARTICLES):
         return True
     if not attributes:
         return False
@@ -181,6 +186,8 @@ def _unlikely(node: Node, in_article: bool) -> bool:
     words = _words(node)
     if tag in ("article", "main"):
         return bool(words & {"comment", "comments", "reply", "ad", "advert", "promo", "related"})
+    if words & WRAPPERS and any(x.tag in ("article", "h1", "main") for x in _in_order(node)):
+        return False
     return bool(words & UNLIKELY) or ("header" in words and not in_article and tag not in HEADINGS)
 
 
@@ -188,7 +195,7 @@ def _prune(root: Node) -> None:
     work = [(root, False)]
     while work:
         node, inside = work.pop()
-        inside = inside or node.tag in ("article", "main")
+        inside = inside or node.tag in ("article", "main") or bool(node.attributes and _words(node) & ARTICLES)
         node.children = [x for x in node.children if isinstance(x, str) or not _unlikely(x, inside)]
         work += [(x, inside) for x in node.children if not isinstance(x, str)]
 

@@ -54,6 +54,13 @@ def test_noise_inside_the_article():
     assert main_text(f"<body><article><p>{PROSE}</p>{inside}<p>{MORE}</p></article></body>") == f"{PROSE}\n{MORE}"
 
 
+def test_wrappers_and_own_headers_are_no_noise():
+    page = f"""<body class="with-sidebar"><div id="page"><header><h2>Site</h2></header><div class="content-sidebar-wrap">
+        <div class="post"><header class="entry-header"><h1>Title</h1></header><p>{PROSE}</p><p>{MORE}</p></div>
+        <div class="sidebar widget-area"><p>{PROSE[::-1]}</p></div></div></div></body>"""
+    assert main_text(page) == f"Title\n{PROSE}\n{MORE}"
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
