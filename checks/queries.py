@@ -478,14 +478,15 @@ def ema_oldest_seed(spark, sf_dir):
 
 @query
 def bollinger(spark, sf_dir):
-    bands = indicators.bollinger(indicators.ema(fx.bars(spark, sf_dir)))
+    bars = prices(spark, sf_dir)
+    bands = indicators.bollinger(indicators.ema(bars), sized_by=bars)
     return bands.select("transaction_id", *s.BAND_COLUMNS)
 
 
 @query
 def bollinger_sma(spark, sf_dir):
-    averages = indicators.sma(fx.bars(spark, sf_dir), [20])
-    bands = indicators.bollinger(averages, [20], center="sma", round_std=True)
+    bars = prices(spark, sf_dir)
+    bands = indicators.bollinger(indicators.sma(bars, [20]), [20], center="sma", round_std=True, sized_by=bars)
     return bands.select("transaction_id", "20_days_sma", "20_upper_band", "20_lower_band")
 
 

@@ -144,13 +144,15 @@ def per_ticker(
     compute: Callable[[DataFrame, list[str]], DataFrame],
     lookback: int,
     max_rows: int = MAX_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``compute(rows, keys)``, whose frames reach ``lookback`` >= 1 bars back.
 
+    ``sized_by`` names rows that are cheaper to count, as for ``split_oversized``.
     ``compute`` must partition its windows by the keys it is given, order them by
     date and id, and keep one row per input row.
     """
-    split = split_oversized(df, TICKER, max_rows)
+    split = split_oversized(df, TICKER, max_rows, sized_by)
     result = compute(split.whole, list(TICKER))
     if split.hot is None:
         return result

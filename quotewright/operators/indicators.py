@@ -92,11 +92,13 @@ def bollinger(
     center: str = "ema",
     round_std: bool = False,
     max_rows: int = MAX_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Bands ``center +/- 2 * stddev``; ``center`` names existing average columns.
 
     ``round_std`` rounds the deviation before it is doubled.  A frame of one row
-    has no deviation, hence NULL bands.
+    has no deviation, hence NULL bands.  ``sized_by`` may name the bars that ``df`` was
+    computed from: they are counted instead of computing the averages for a count.
     """
     name = {"ema": s.ema_name, "sma": s.sma_name}.get(center)
     if name is None:
@@ -116,7 +118,7 @@ def bollinger(
         framed = r.with_frames(rows, r.window_sql(keys), {p: r.spread("close") for p in periods}, finish)
         return _in_order(framed, [name for p in periods for name in bands[p]], rows.columns)
 
-    return per_ticker(df, compute, max(periods), max_rows=max_rows)
+    return per_ticker(df, compute, max(periods), max_rows=max_rows, sized_by=sized_by)
 
 
 def price_change(df: DataFrame, first: float | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
