@@ -22,6 +22,8 @@ from quotewright.sources.storage import shared_dir
 
 # Bars of one series that one task windows over comfortably (minutes, not hours).
 MAX_ROWS = 1_000_000
+# Shorter pieces share a task.
+MIN_TASK_ROWS = 100_000
 # Largest key or offset table handed to every executor, in rows (well under 100 MB).
 MAX_BROADCAST_ROWS = 200_000
 
@@ -64,7 +66,7 @@ def chunked(
     if lookback > max_rows:
         raise ValueError("a piece must be at least as long as the look-back")
     shared_dir(df.sparkSession)
-    tasks = max(1, -(-rows // max_rows))
+    tasks = max(1, -(-rows // max(max_rows, MIN_TASK_ROWS)))
     ranged = (
         df.repartitionByRange(tasks, *keys, *order)
         .sortWithinPartitions(*keys, *order)

@@ -12,6 +12,12 @@ from quotewright.plans.indicators import technical_frame
 from quotewright.sources.storage import fresh_path, shared_dir
 
 
+@pytest.fixture(autouse=True)
+def many_tasks(monkeypatch):
+    """Short pieces in tasks of their own, so that they meet at borders."""
+    monkeypatch.setattr(chunks, "MIN_TASK_ROWS", 1)
+
+
 @pytest.fixture
 def skewed(series):
     """One ticker with many times the bars of the others."""
