@@ -62,7 +62,7 @@ named as (select page_id, html, translate(regexp_extract(rest, '^[^/?#]*', 0), '
     regexp_extract(html, '(?s)</h1>\s*<p>(?:<b>)?(.*?)</?(?:br|p)\b', 1) as paragraph from parsed),
 rated as (select doc_id, max((toxic = 1 or quality = 0)::int) as bad from labels
     where (toxic = 1 or quality = 0) is not null group by doc_id),
-lines as (select trim(split_part(text, chr(10), 1)) as line, max(bad) as bad
+lines as (select trim(split_part(text, chr(10), 1)) as line, (avg(bad) > 0.5)::int as bad
     from documents join rated using (doc_id) group by 1 having line <> ''),
 outcomes as (select host, count(bad) as n, coalesce(sum(bad), 0) as b
     from named left join lines on trim({_UNESCAPED}) = line group by host),

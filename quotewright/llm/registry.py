@@ -96,7 +96,7 @@ def _first_paragraph(html: Column) -> Column:
 
 
 def op9_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes: a page is bad if a labelled document that begins with its first paragraph is."""
+    """Outcomes: a page is bad if most labelled documents that begin with its first paragraph are."""
     pages = table(spark, sf_dir, "pages")
     host, _ = url_reputation.host_and_path(F.col("url"))
     contents = pages.select(host.alias("host"), F.md5(_first_paragraph(F.col("html"))).alias("key"))

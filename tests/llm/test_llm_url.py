@@ -85,7 +85,7 @@ def test_no_labels_block_nobody(spark):
 
 def test_outcomes_are_counted_by_content(spark):
     pages = spark.createDataFrame([("a", "k1"), ("a", "k1"), ("a", "k2"), ("b", "k3"), ("", None)], "host string, key string")
-    labels = spark.createDataFrame([("k1", 1), ("k1", 0), ("k2", 0), ("zz", 1)], "key string, bad int")
+    labels = spark.createDataFrame([("k1", 1), ("k1", 1), ("k1", 0), ("k2", 0), ("k2", 1), ("zz", 1)], "key string, bad int")
     assert {tuple(r) for r in ur.host_outcomes(pages, labels).collect()} == {("a", 3, 2), ("b", 0, 0), ("", 0, 0)}
 
 
