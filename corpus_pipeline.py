@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm import packing, pii, quality, simhash
-from quotewright.llm.common import table, written
+from quotewright.llm.common import table, unused, written
 from quotewright.llm.registry import vocabulary
 
 #: The tokenizer's merges and the fingerprints' hash can't be expressed in SQL.
@@ -22,8 +22,10 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(quality.add_signals(docs))
-    return judged.filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    clashing = [c for c in docs.columns if c.lower() in (*quality.SIGNALS, *quality.VERDICTS)]
+    aside = dict(zip(clashing, unused(docs, *clashing), strict=True))  # the documents' own columns of these names
+    judged = quality.judge(quality.add_signals(docs.withColumnsRenamed(aside)))
+    return judged.filter("kept").select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

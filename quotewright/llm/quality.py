@@ -35,6 +35,8 @@ BOUND_SD = 2.0
 MIN_RHO, MAX_RHO = 0.01, 0.2
 
 SPACE = r"[\x20\x09-\x0D]+"
+#: Columns that the operator adds.
+VERDICTS = ("base_failed", "soft_failed", "host_rate", "host_bad", "kept")
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -63,7 +65,7 @@ def _covered(windows: Column, placed: Column) -> Column:
 
 
 def add_signals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the five signals, base_failed and soft_failed."""
+    """Add the five signals, base_failed and soft_failed, replacing columns of these names."""
     body, words, windows, placed, lines, count = unused(docs, "body_", "words_", "windows_", "placed_", "lines_", "count_")
     content = F.coalesce(docs[text], F.lit(""))
     trimmed = F.btrim(content, F.lit(" \t\n\x0b\x0c\r"))

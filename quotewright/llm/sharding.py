@@ -132,8 +132,11 @@ def _placed(rows: DataFrame, file: str, row: str) -> DataFrame | None:
 
 
 def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 0, shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """All columns, then the shard from 0 and the slot in it from 0, without gaps."""
-    file, row, deal_to, cell, key, first = unused(rows, "file_", "row_", "deal_", "cell_", "key_", "first_")
+    """All columns, then the shard from 0 and the slot in it from 0, without gaps; columns
+    of those two names are replaced."""
+    file, row, deal_to, cell, key, first, to, of = unused(
+        rows, "file_", "row_", "deal_", "cell_", "key_", "first_", "to_", "of_"
+    )
     if (placed := _placed(rows, file, row)) is None:
         rows = written(rows, "unsharded")
         placed = _placed(rows, file, row)
@@ -168,10 +171,10 @@ def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 0, shard: str =
 
     numbers = assigned(placed.select(file, row)).groupBy(deal_to, cell).count()
     before = F.sum("count").over(Window.partitionBy(deal_to).orderBy(cell)) - F.col("count")
-    offsets = written(numbers.select(F.col(deal_to).alias("to"), F.col(cell).alias("of"), before.alias(first)), "cells")
+    offsets = written(numbers.select(F.col(deal_to).alias(to), F.col(cell).alias(of), before.alias(first)), "cells")
     order = Window.partitionBy(deal_to, cell).orderBy(key, file, row)
     moved = assigned(placed).repartition(deal_to, cell).withColumn(row, F.row_number().over(order) - 1)
-    joined = moved.join(offsets, (F.col(deal_to) == F.col("to")) & (F.col(cell) == F.col("of")))
+    joined = moved.join(offsets, (F.col(deal_to) == F.col(to)) & (F.col(cell) == F.col(of)))
     kept = [f"`{c}`" for c in rows.columns if c not in (shard, slot)]
     return joined.select(*kept, F.col(deal_to).alias(shard), (F.col(first) + F.col(row)).alias(slot))
 

@@ -100,7 +100,8 @@ def host_outcomes(pages: DataFrame, labels: DataFrame, host: str = "host", key:
 
 
 def judge_urls(pages: DataFrame, hosts: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
-    """All columns, then host, path, rule, verdict, bad_rate and bad_bound.
+    """All columns, then host, path, rule, verdict, bad_rate and bad_bound, which replace
+    columns of the same names.
 
     ``hosts``: what ``reputations`` gives; a host that it lacks is allowed.
     """

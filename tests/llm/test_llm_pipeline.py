@@ -99,5 +99,10 @@ def test_stages_on_odd_documents(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             table = written(stage(spark, table, SMALL), name)
         assert set(table.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
-    kept = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    clashing = docs.withColumns({"kept": F.lit("k"), "n_words": F.lit("w"), "own_print": F.lit("p"), "masked_text": F.lit("m")})
+    kept = corpus_pipeline.quality_rules(spark, clashing, SMALL)
     assert kept.count() == 5
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.personal_data):
+        kept = stage(spark, written(kept, "kept"), SMALL)
+    assert kept.columns == clashing.columns
+    assert {tuple(r) for r in kept.select("kept", "n_words", "own_print", "masked_text").collect()} == {("k", "w", "p", "m")}

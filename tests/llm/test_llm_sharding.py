@@ -33,7 +33,7 @@ def check_shards(rows, shards, total):
 @pytest.fixture(scope="module")
 def saved(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("rows") / "table")
-    spark.range(5000).selectExpr("id", "id % 3 as shard", "cast(null as string) as slot", "id as key_").repartition(5).write.parquet(path)
+    spark.range(5000).selectExpr("id", "id % 3 as shard", "cast(null as string) as slot", "id as key_", "1 as to_", "2 as of_").repartition(5).write.parquet(path)
     return spark.read.parquet(path)
 
 
