@@ -145,6 +145,18 @@ def test_pruned_history_gives_the_same_indicators(spark):
     assert kept.count() == new.count() + 200 * starts.count()
 
 
+def test_history_of_tables_split_by_year_reads_few_years(spark, series, tmp_path):
+    bars = series(a=values(1500), b=values(1300, 4), young=values(1250, 5))
+    bars = bars.filter("stock_id <> 'young' or date > date'2023-05-01' or date < date'2020-06-01'")
+    writers.create_by_year(spark, s.PRICES, str(tmp_path / "p"))
+    writers.append_by_year(bars, str(tmp_path / "p"))
+    table = writers.read_by_year(spark, str(tmp_path / "p"), s.PRICES)
+    starts = bars.groupBy(*s.TICKER).agg(F.max("date").alias("start"))
+    kept = refresh.recent_history(table, starts, 120)
+    assert same(kept, refresh.recent_history(bars, starts, 120).select(*kept.columns))
+    assert {r.stock_id: r["count"] for r in kept.groupBy("stock_id").count().collect()} == {"a": 121, "b": 121, "young": 121}
+
+
 def test_no_step_of_the_refresh_gathers_a_ticker(series, monkeypatch):
     bars = series(a=values(300), b=values(10))
     new = refresh.missing_bars(bars, bars)
