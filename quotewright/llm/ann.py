@@ -36,8 +36,6 @@ ROW_BLOCK = 8192
 QUERY_BLOCK = 2048
 #: Queries of a block whose estimates are in memory at once.
 AT_ONCE = 64
-#: Pairs that are reranked at once.
-PAIRS = 1 << 15
 
 
 @lru_cache(maxsize=4)
@@ -100,14 +98,15 @@ def search_block(
         exact = np.einsum("qd,qkd->qk", own, vectors[lead])
         exact[own_ids[:, None] == ids[lead]] = -np.inf
         reach = exact.min(axis=1, keepdims=True)
-        q, row = np.nonzero((guess + error >= reach) & (guess > -np.inf))
-        parts = [slice(x, x + PAIRS) for x in range(0, len(q), PAIRS)]
-        exact = np.concatenate([np.einsum("ij,ij->i", own[q[x]], vectors[row[x]]) for x in parts] or [np.zeros(0)])
-        order = np.lexsort((ids[row], -exact, q))
-        q, row, exact = q[order], row[order], exact[order]
-        first = np.searchsorted(q, np.arange(len(own)))
-        kept = np.arange(len(q)) - first[q] < k
-        yield own_ids[q[kept]], ids[row[kept]], exact[kept]
+        chosen = (guess + error >= reach) & (guess > -np.inf)
+        for place, query in enumerate(own):
+            row = np.flatnonzero(chosen[place])
+            scores = np.einsum("ij,j->i", vectors[row], query)
+            if len(row) > k:  # ties with the last one stay for the order by id
+                worst = np.partition(scores, len(row) - k)[len(row) - k]
+                row, scores = row[scores >= worst], scores[scores >= worst]
+            order = np.lexsort((ids[row], -scores))[:k]
+            yield np.repeat(own_ids[place], len(order)), ids[row[order]], scores[order]
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
