@@ -24,7 +24,9 @@ import pyarrow as pa
 #: Words beyond this many bytes are merged exactly without speculation.
 LONG_WORD = 2048
 #: Bytes of text that are encoded at once; a longer text is encoded alone.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
+#: Ids that are decoded at once; a longer sequence is decoded alone.
+CHUNK_IDS = 1 << 20
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = range(1, 6)
 
@@ -383,10 +385,15 @@ class ByteBpe:
 
     def decode(self, first: np.ndarray, ids: np.ndarray) -> Iterator[bytes]:
         """The text of each sequence in UTF-8; bytes that aren't UTF-8 become U+FFFD."""
-        buffers = self.token_bytes.take(pa.array(ids)).buffers()
-        data, offsets = memoryview(buffers[2] or b""), np.frombuffer(buffers[1], np.int64, len(ids) + 1)
-        for a, b in zip(offsets[first[:-1]].tolist(), offsets[first[1:]].tolist(), strict=True):
-            yield str(data[a:b], "utf-8", "replace").encode()
+        k = 0
+        while k < len(first) - 1:
+            end = max(k + 1, int(np.searchsorted(first, first[k] + CHUNK_IDS, side="right")) - 1)
+            buffers = self.token_bytes.take(pa.array(ids[first[k] : first[end]])).buffers()
+            data = memoryview(buffers[2] or b"")
+            offsets = np.frombuffer(buffers[1], np.int64, int(first[end] - first[k]) + 1)[first[k : end + 1] - first[k]]
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                yield str(data[a:b], "utf-8", "replace").encode()
+            k = end
 
 
 def chunks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
