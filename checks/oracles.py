@@ -607,3 +607,15 @@ oracle(
     """select stock_id, ticker_symbol, case when cast(stock_id as bigint) % 5 in (0, 4) then count(*) end as bars
        from bars group by 1, 2""",
 )
+oracle(
+    "stored_market",
+    "tech companies",
+    f"""select attempt, ticker_symbol, source, count(*) as rows, max(close) as highest,
+               case when source in ('view', 'computed') then max("ma_20_days_ema") end as average
+        from (select attempt, ticker_symbol, close, "ma_20_days_ema",
+                     case when region <= 2 or attempt = 2 then case when technical then 'view' else 'stored' end
+                          when technical then 'computed' else 'landed' end as source
+              from tech join companies using (stock_id, ticker_symbol), (values (cast(1 as bigint)), (cast(2 as bigint))) as tries(attempt)
+              where {IN_RANGE})
+        group by 1, 2, 3""",
+)

@@ -17,7 +17,7 @@ from quotewright import schemas as s
 from quotewright.functions.dates import as_date, in_range, overlaps
 from quotewright.functions.numeric import round2
 from quotewright.operators import changes, cleaning, history, indicators, quality, technical
-from quotewright.plans import batch, refresh as refreshing, resolve as resolving
+from quotewright.plans import batch, bootstrap, refresh as refreshing, resolve as resolving
 from quotewright.plans.indicators import technical_frame as wide_frame
 from quotewright.sources import readers, writers
 from quotewright.sources.storage import fresh_path
@@ -721,6 +721,25 @@ def refresh_store(spark, sf_dir):
     return view.withColumns({name: F.lit(number) for name, number in added.items()})
 
 
+@query
+def stored_market(spark, sf_dir):
+    """From a company sheet and a sample of prices: the same requests twice, by source."""
+    known = fx.companies(spark, sf_dir)
+    sheet = fresh_path(spark, "sheet")
+    columns = ["ticker_symbol", F.col("ticker_symbol").alias("name"), "exchange", "category_name", "country"]
+    known.select(*columns).write.option("header", True).csv(sheet)
+    loaded = bootstrap.load_companies(spark, sheet)
+    named = loaded.select("ticker_symbol", F.col("stock_id").alias("id")).join(known.select("ticker_symbol", "region"), "ticker_symbol")
+    landed_bars = fx.bars(spark, sf_dir).join(named, "ticker_symbol").withColumn("stock_id", F.col("id"))
+    landed_bars = writers.persisted(landed_bars, "landed")
+    sample = s.conform(landed_bars.filter("region <= 2"), s.PRICES)
+    market = bootstrap.open_stored_market(loaded, sample, s.conform(landed_bars, s.PRICES), fresh_path(spark, "market"))
+    asked = fx.requests(spark, sf_dir)
+    answers = [market.answer(asked).withColumn("attempt", F.lit(k)) for k in (1, 2)]
+    counted = answers[0].unionByName(answers[1]).groupBy("attempt", "ticker_symbol", "source")
+    return counted.agg(F.count("*").alias("rows"), F.max("close").alias("highest"), F.max("ma_20_days_ema").alias("average"))
+
+
 @query
 def bulk_load(spark, sf_dir):
     """Whole histories of all companies, without dates, less what is stored."""
