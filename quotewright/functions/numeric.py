@@ -11,16 +11,11 @@ def round2_sql(value: str) -> str:
     Summation order changes the last bits of a double; the snap keeps those bits
     from deciding which way a half cent goes.  Plain arithmetic stays small in
     generated code, where a decimal per value would not; adding 0 clears ``-0``.
-    From 9e7 on a double has fewer than 8 decimals, so there is nothing to snap and only
-    the part after the point is rounded; from 4.5e13 on it has no half cents, so the
-    value (also NaN and infinity) is the result.
+    From 9e7 on a double has fewer than 8 decimals, so there is nothing to snap, and
+    Spark's own rounding has no ceiling (NaN and infinity stay as they are).
     """
-    size, cents = f"abs({value})", "floor((rint(abs({0}) * 1e8D) + 500000D) / 1000000D)".format(value)
-    return (
-        f"case when {size} < 9e7D then signum({value}) * {cents} / 100D + 0D "
-        f"when {size} < 4.5e13D then signum({value}) * "
-        f"(floor({size}) + floor(({size} - floor({size})) * 100D + 0.5D) / 100D) else {value} end"
-    )
+    snapped = f"signum({value}) * floor((rint(abs({value}) * 1e8D) + 500000D) / 1000000D) / 100D + 0D"
+    return f"if(abs({value}) < 9e7D, {snapped}, round({value}, 2))"
 
 
 def round2(value: str) -> Column:
