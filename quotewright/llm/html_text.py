@@ -327,15 +327,24 @@ def _ends(node: Node) -> bool:
     return _own_text(node)[0].endswith((".", "!", "?", "…", "。"))
 
 
-def main_text(page: str | None) -> str:
-    """The main text of one page."""
+def title_and_body(page: str | None) -> tuple[str, str]:
+    """The main text of one page: an h1 that it begins with, and the rest."""
     if not page:
-        return ""
+        return "", ""
     root = parse(page)
     _prune(root)
     nodes = _in_order(root)
     _score(nodes)
-    return "\n".join(_blocks(_kept(nodes)))
+    kept = _kept(nodes)
+    blocks = _blocks(kept)
+    title = _blocks([x for node in kept for x in _in_order(node) if x.tag == "h1"][:1])
+    cut = len(title) if blocks[: len(title)] == title else 0
+    return "\n".join(blocks[:cut]), "\n".join(blocks[cut:])
+
+
+def main_text(page: str | None) -> str:
+    """The main text of one page."""
+    return "\n".join(filter(None, title_and_body(page)))
 
 
 def text_column(page: Column) -> Column:
@@ -346,6 +355,17 @@ def text_column(page: Column) -> Column:
     return extract(page)
 
 
+def title_and_body_column(page: Column) -> Column:
+    """The main text in two parts, struct<title, body>."""
+
+    @F.arrow_udf("struct<title:string,body:string>")
+    def extract(pages: pa.Array) -> pa.Array:
+        rows = [dict(zip(("title", "body"), title_and_body(x.as_py()), strict=True)) for x in pages]
+        return pa.array(rows, pa.struct([("title", pa.string()), ("body", pa.string())]))
+
+    return extract(page)
+
+
 def extract_text(pages: DataFrame, html_column: str = "html", into: str = "text") -> DataFrame:
     """Add the main text of every page."""
     return pages.withColumn(into, text_column(pages[html_column]))

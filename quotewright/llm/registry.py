@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm import ann, html_text, packing, pii, quality, sharding, simhash, token_counts, tokens, url_reputation
-from quotewright.llm.common import table
+from quotewright.llm.common import table, written
 from quotewright.llm.oracles import ORACLES as ORACLES
 from quotewright.sources.storage import fresh_path
 
@@ -87,25 +87,42 @@ def op8_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-def _first_paragraph(html: Column) -> Column:
-    """The first paragraph below a page's heading, without markup, as its document has it."""
-    raw = F.regexp_extract(html, r"(?s)</h1>\s*<p>(?:<b>)?(.*?)</?(?:br|p)\b", 1)
-    for mark, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        raw = F.replace(raw, F.lit(mark), F.lit(character))
-    return F.trim(raw)
+#: What Python's ``split`` takes for white space, as extracted texts are made with it.
+_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 
 
-def op9_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes: a page is bad if most labelled documents that begin with its first paragraph are."""
-    pages = table(spark, sf_dir, "pages")
+def _text_digest(text: Column) -> Column:
+    """A digest of the whole text, whatever its white space; null if there is no text."""
+    plain = F.trim(F.regexp_replace(text, _SPACE, " "))
+    return F.when(plain != "", F.sha2(plain, 256))
+
+
+def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(host, n, bad) of every host: a page has the label of the documents whose whole text it shows.
+
+    A document may hold the page's title or not: the text with it comes first.
+    """
     host, _ = url_reputation.host_and_path(F.col("url"))
-    contents = pages.select(host.alias("host"), F.md5(_first_paragraph(F.col("html"))).alias("key"))
+    shown = pages.select(host.alias("host"), html_text.title_and_body_column(F.col("html")).alias("shown"))
+    whole, body = F.concat_ws(" ", "shown.title", "shown.body"), F.col("shown.body")
+    shown = shown.select("host", _text_digest(whole).alias("whole"), _text_digest(body).alias("body"))
+    shown = written(shown.groupBy("host", "whole", "body").agg(F.count("*").alias("times")), "shown")
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
-    labels = table(spark, sf_dir, "labels").filter(bad.isNotNull()).groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.trim(F.substring_index("text", "\n", 1)).alias("line"))
-    labelled = lines.filter("line <> ''").select("doc_id", F.md5("line").alias("key")).join(labels, "doc_id")
-    hosts = url_reputation.reputations(url_reputation.host_outcomes(contents, labelled))
-    judged = url_reputation.judge_urls(pages.select("page_id", "url"), hosts, RULES)
+    rated = labels.filter(bad.isNotNull()).groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
+    texts = docs.select("doc_id", _text_digest(F.col("text")).alias("key")).filter("key is not null")
+    texts = written(texts.join(rated, "doc_id", "left").groupBy("key").agg(F.sum("bad").alias("bad"), F.count("bad").alias("n")), "texts")
+    titled = texts.select(F.col("key").alias("whole"), F.lit(True).alias("titled"))
+    key = F.when(F.col("titled"), F.col("whole")).otherwise(F.col("body"))
+    contents = shown.join(titled, "whole", "left").select("host", key.alias("key"), "times")
+    known = texts.filter("n > 0").select("key", (2 * F.col("bad") > F.col("n")).cast("int").alias("bad"))
+    return url_reputation.host_outcomes(contents, known)
+
+
+def op9_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes: a page is bad if most labelled documents of its whole text are."""
+    pages = table(spark, sf_dir, "pages")
+    outcomes = page_outcomes(pages, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = url_reputation.judge_urls(pages.select("page_id", "url"), url_reputation.reputations(outcomes), RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

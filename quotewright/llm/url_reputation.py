@@ -89,9 +89,11 @@ def reputations(outcomes: DataFrame) -> DataFrame:
 def host_outcomes(pages: DataFrame, labels: DataFrame, host: str = "host", key: str = "key") -> DataFrame:
     """(host, n, bad) of every host in pages, from (key, bad) labels of page contents.
 
-    A content with several labels is bad if most of them are.
+    Rows of pages count as often as ``times`` says, if they have it.  A content with several
+    labels is bad if most of them are.
     """
-    counted = written(pages.groupBy(F.col(host).alias("host"), F.col(key).alias("key")).agg(F.count("*").alias("times")), "contents")
+    times = F.sum("times") if "times" in pages.columns else F.count("*")
+    counted = written(pages.groupBy(F.col(host).alias("host"), F.col(key).alias("key")).agg(times.alias("times")), "contents")
     known = labels.groupBy(F.col("key").alias("label_key")).agg((F.avg(F.col("bad").cast("int")) > 0.5).cast("int").alias("bad"))
     rows = counted.join(known, F.col("key") == F.col("label_key"), "left")
     labelled = F.when(F.col("bad").isNotNull(), F.col("times")).otherwise(0)

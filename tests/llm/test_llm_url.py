@@ -101,3 +101,25 @@ def test_op9_whole_table(spark):
         assert r.verdict in ("allow", "block") and verdict in (None, r.verdict)
         verdicts[(r.host, r.rule is None, r.verdict)] += 1
     assert all((h, True, "block") not in verdicts for h, free, v in verdicts if free and v == "allow")
+
+
+def test_a_page_takes_the_label_of_its_whole_text_only(spark, tmp_path):
+    """Texts that begin alike are different texts; a label of one says nothing about the others."""
+    rest = " ".join(f"word{k}, said" for k in range(60))
+    texts = {1: f"Same opening.\nBad {rest}", 2: f"Same opening.\nOther  {rest}", 3: f"Same opening.\nGood\t{rest}", 4: f"Own title\nLast {rest}"}
+    good = {f"good{k}.net": ("A title", 3) for k in range(6)}
+    shown = {**good, "borrows.net": ("A title", 2), "bad.net": ("A title", 1), "titled.net": ("Own title", 4)}
+    pages = []
+    for host, (title, doc_id) in shown.items():
+        body = "".join(f"<p>{x}</p>" for x in texts[doc_id].removeprefix("Own title\n").split("\n"))
+        page = f"<html><body><nav><a href='/'>home</a></nav><article class='post'><h1 id='t'>{title}</h1>\n<!-- x --><p> </p>{body}</article></body></html>"
+        pages += [(f"https://{host}/{k}", page) for k in range(100)]
+    spark.createDataFrame([(k, *r) for k, r in enumerate(pages)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(1, 0, 1), (3, 1, 0), (4, 0, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    tables = [spark.read.parquet(f"{tmp_path}/{x}.parquet") for x in ("pages", "documents", "labels")]
+    verdicts = {(r.host, r.verdict) for r in registry.op9_host_reputation(spark, str(tmp_path)).collect()}
+    assert verdicts == {*((h, "allow") for h in good), ("borrows.net", "allow"), ("bad.net", "block"), ("titled.net", "block")}
+    outcomes = {tuple(r) for r in registry.page_outcomes(*tables).collect()}
+    assert outcomes == {*((h, 100, 0) for h in good), ("borrows.net", 0, 0), ("bad.net", 100, 100), ("titled.net", 100, 100)}
