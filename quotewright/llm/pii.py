@@ -2,7 +2,7 @@
 
 Four base kinds (email, ip, card, phone) are fixed by their patterns and checks, leftmost
 and without overlap within a kind, and always stay.  The others (iban, ssn, local_phone)
-are proposed by a pattern, confirmed by a checksum or a check of their parts, and stay if
+are proposed by a pattern, confirmed by a checksum or a check of their parts (ibans end where their country's length says), and stay if
 their score, raised by words of their own kind and lowered by words of other numbers in
 the 40 characters around, reaches ``ACCEPT``, unless they overlap a base span.
 
@@ -35,12 +35,26 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+_TOKEN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
 
+#: Characters of a bank account number by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 #: The score of a confirmed span of each kind without any context.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.7, "ssn": 0.35, "local_phone": 0.35}
 RAISE, LOWER = 0.3, 0.3
@@ -104,10 +118,20 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for found in _IBAN.finditer(text):
-        number = found[0].replace(" ", "")
-        if 15 <= len(number) <= 34 and mod97(number):
-            yield found.span()
+    """Ends are those of words; a country without a known length takes the longest that fits."""
+    free = 0
+    for head in _IBAN_HEAD.finditer(text):
+        rest = _IBAN_REST.match(text, head.end()) if head.start() >= free else None
+        if not rest:
+            continue
+        length = IBAN_LENGTHS.get(head[0][:2])
+        ends = [x.start() for x in _TOKEN_END.finditer(text, head.end(), rest.end() + 1) if x.start() <= rest.end()]
+        for end in reversed(ends):
+            number = text[head.start() : end].replace(" ", "")
+            if (len(number) == length if length else len(number) >= 15) and mod97(number):
+                yield head.start(), end
+                free = end
+                break
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

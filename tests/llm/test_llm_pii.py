@@ -84,6 +84,23 @@ def test_checksums_and_context_decide_on_added_kinds():
     assert pii.score("pay by card 4111111111111111", "card", 12, 28) > pii.score("order 4111111111111111", "card", 6, 22)
 
 
+@pytest.mark.parametrize("behind", [" BIC COBADEFF", " EUR 500", " I wrote", " It", " USD", " 12 34", ", X", "\nA1", ""])
+@pytest.mark.parametrize("number", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+def test_ibans_end_where_their_country_says(number, behind):
+    ibans = lambda text: [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"]
+    assert ibans(f"to {number}{behind}") == [number]
+    assert ibans(f"A {number} GB82 WEST 1234 5698 7654 32{behind}") == [number, "GB82 WEST 1234 5698 7654 32"]
+    assert ibans(f"AB12 3456 {number}{behind}")[-1:] == [number]
+    assert ibans(f"to {number}x{behind}") == []
+
+
+def test_ibans_take_linear_time():
+    begun = time.time()
+    for text in ("DE89 " * 80_000, "DE893704 " * 40_000, "DE89" * 100_000, "AA11 A " * 60_000):
+        pii.spans(text)
+    assert time.time() - begun < 30
+
+
 def test_op6_whole_table(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = registry.op6_pii(spark, SMALL).collect()
