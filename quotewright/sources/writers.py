@@ -111,13 +111,14 @@ def upsert_by_year(df: DataFrame, path: str, key: str) -> int:
     rows = persisted(df.withColumn("year", F.year("date")), "changes")
     stored = spark.read.schema(rows.schema).parquet(path)
     touched = rows.select("year").distinct()
-    known = stored.join(F.broadcast(touched), "year", "left_semi")  # a few years
+    known = stored.join(F.broadcast(touched), stored["year"].eqNullSafe(touched["year"]), "left_semi")  # a few years
     replaced = known.join(rows.select(key), key, "left_semi").select("year").distinct()
     replaced = [r["year"] for r in replaced.collect()]  # a few years
-    old = rows.filter(F.col("year").isin(*replaced)) if replaced else rows.filter("false")
-    fresh = rows.filter(~F.col("year").isin(*replaced)) if replaced else rows
+    years = F.col("year").isin([y for y in replaced if y is not None])
+    anew = F.when(F.col("year").isNull(), F.lit(None in replaced)).otherwise(years)
+    old, fresh = rows.filter(anew), rows.filter(~anew)
     if replaced:
-        kept = stored.filter(F.col("year").isin(*replaced)).join(rows.select(key), key, "left_anti")
+        kept = stored.filter(anew).join(rows.select(key), key, "left_anti")
         whole = persisted(kept.select(*[f"`{c}`" for c in rows.columns]).unionByName(old), "years")
         ranged = whole.repartitionByRange("year", "stock_id", "date")
         ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)

@@ -132,6 +132,36 @@ def test_refresh_job_writes_once_and_heals(spark, series, tmp_path):
     assert store.read(spark, "view").filter("stock_id = 'c'").count() == 5
 
 
+def test_refresh_job_computes_bars_without_a_key(spark, series, tmp_path):
+    """Whatever of stock, ticker and date is missing, the tables hold what a new store would."""
+    without = lambda c: lambda rows: rows.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
+    bars = series(a=values(700))
+    for name, column in (("x", "ticker_symbol"), ("y", "stock_id")):
+        bars = bars.unionByName(without(column)(series(**{name: values(700)})))
+    full = bars.unionByName(without("date")(series(a=values(1)).withColumn("transaction_id", F.lit("a:late"))))
+    stored = bars.filter("date <= date'2021-11-20'")
+    store = refresh.create_store(stored, str(tmp_path / "store"))
+    for landed in (bars, full):
+        added = landed.count() - stored.count()
+        counts = refresh.run_refresh(spark, store, landed)
+        assert counts["prices"] == added and counts["strength"] >= added
+        whole = refresh.create_store(landed, str(tmp_path / f"whole{added}"))
+        for name in ("prices", "averages", "bands", "strength", "view"):
+            assert same(store.read(spark, name), whole.read(spark, name)), name
+        assert set(refresh.run_refresh(spark, store, landed).values()) == {0}
+        stored = landed
+
+
+def test_upsert_replaces_rows_without_a_date(spark, series, tmp_path):
+    path = str(tmp_path / "p")
+    undated = series(a=[1.0, 2.0]).withColumn("date", F.lit(None).cast("date"))
+    writers.create_by_year(spark, s.PRICES, path)
+    for rows in (undated, undated.withColumn("close", F.lit(5.0)), series(b=[3.0]).unionByName(undated)):
+        assert writers.upsert_by_year(rows, path, "transaction_id") == rows.count()
+        held = writers.read_by_year(spark, path, s.PRICES).drop("year")
+        assert same(held, rows)
+
+
 def test_pruned_history_gives_the_same_indicators(spark):
     from checks import fixtures as fx
 
