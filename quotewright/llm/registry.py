@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.llm import ann, html_text, lexical, odd_sketch, packing, pii, quality, sharding, simhash, token_counts, tokens, url_reputation
+from quotewright.llm import ann, html_text, lexical, odd_sketch, packing, pii, quality, sharding, simhash, token_counts, tokens, url_reputation, whitening
 from quotewright.llm.common import table, written
 from quotewright.llm.oracles import ORACLES as ORACLES
 from quotewright.sources.storage import fresh_path
@@ -136,6 +136,10 @@ def op11_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -154,6 +158,7 @@ QUERIES = {
         op9_host_reputation,
         op10_host_rules,
         op11_geometric_blocks,
+        op12_bidiagonal_whitening,
         op13_odd_sketches,
     )
 }
