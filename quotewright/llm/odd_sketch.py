@@ -131,7 +131,7 @@ def near_duplicates(
     )
     classes = written(classes.withColumn("node", node_column(F.col("smallest"), F.col("digest"))), "classes")
     rule = Rule(shingle, percent, most_bits(percent), list_rows=list_rows)
-    found = verified.component_of(classes, source.select("text"), rule)
+    found = verified.component_of(classes, F.col("keys"), source.select("text"), rule)
     named = classes.join(found, "node", "left").select(
         "digest", "rows", node_id(F.coalesce("component", "node")).alias("component_id")
     )

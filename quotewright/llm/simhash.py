@@ -20,6 +20,7 @@ verified by their bits.  Distinct fingerprints only are indexed, so copies cost
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import unused, written
+from quotewright.llm import verified
+from quotewright.llm.common import shipped, unused, written
 from quotewright.llm.components import components, local_forest
 
 SHINGLE = 4
@@ -200,25 +202,110 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return rows.join(found, "print").select("doc_id", hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that remain when every component keeps one: that with its smallest id, ids
-    before nulls; of several rows with that id, the one with the smallest content hash."""
-    own, id_, print_, times, place = unused(docs, "own_print", "kept_id", "kept_print", "kept_times", "kept_place")
-    held = written(docs.withColumn(own, fingerprint_column(docs[text])), "fingerprinted")
-    found = cluster(held, doc_id, own)
-    members = held.select(F.col(doc_id).alias("id"), F.col(own).alias("print")).join(found, "print")
-    first = members.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "print")).alias("first")
+# One document of each group of similar texts
+
+
+#: Similar texts share so many percent of their distinct shingles of so many words.
+SIMILAR_SHINGLE, SIMILAR_PERCENT = 5, 80
+#: Words of the shingles behind a wide fingerprint, and its 64-bit words.
+WIDE_SHINGLE, WIDE_WORDS = 2, 8
+#: Posting lists of a wide fingerprint, and the equal bytes that each is keyed by.
+WIDE_LISTS, WIDE_KEY = 128, 3
+#: What similar texts' wide fingerprints hardly ever fall short of.
+WIDE_BITS, WIDE_SHARED = 118, 6
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int = WIDE_WORDS) -> bytes:
+    """The majority of every bit over a set of shingle hashes, each spread to ``words`` 64-bit words."""
+    salt = verified.mixed(np.arange(1, words + 1, dtype=np.uint64))
+    votes = np.zeros(64 * words, np.int64)
+    for k in range(0, len(hashes), COUNTED // 64):
+        spread = verified.mixed(hashes[k : k + COUNTED // 64, None] ^ salt)
+        bits = np.unpackbits(spread.view(np.uint8), axis=1, bitorder="little")
+        votes += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > len(hashes), bitorder="little").tobytes()
+
+
+@lru_cache(maxsize=1)
+def wide_positions() -> np.ndarray:
+    """The byte positions that each posting list is keyed by."""
+    rng = np.random.default_rng(SEED)
+    return np.stack([rng.choice(8 * WIDE_WORDS, WIDE_KEY, replace=False) for _ in range(WIDE_LISTS)])
+
+
+def wide_keys(code: Column) -> Column:
+    @F.arrow_udf("array<long>")
+    def keys(codes: pa.Array) -> pa.Array:
+        held = codes.drop_null().to_pylist()
+        matrix = np.frombuffer(b"".join(held), np.uint8).reshape(len(held), -1) if held else np.zeros((0, 8 * WIDE_WORDS), np.uint8)
+        key = np.zeros((len(held), WIDE_LISTS), np.int64)
+        for at in wide_positions().T:
+            key = key << 8 | matrix[:, at]
+        key = key * WIDE_LISTS + np.arange(WIDE_LISTS)
+        rows = iter(key)
+        return pa.array([next(rows) if x else None for x in codes.is_valid().to_pylist()], pa.list_(pa.int64()))
+
+    return keys(code)
+
+
+SIGNED = "struct<size:long,digest:binary,code:binary>"
+
+
+def similar_signature(text: Column, shingle: int) -> Column:
+    @F.arrow_udf(SIGNED)
+    def signatures(texts: pa.Array) -> pa.Array:
+        sizes, digests, codes = [], [], []
+        for x in texts:
+            hashes = verified.shingle_set(x.as_py(), shingle)
+            sizes.append(len(hashes))
+            digests.append(verified.set_digest(hashes))
+            codes.append(wide_fingerprint(verified.shingle_set(x.as_py(), WIDE_SHINGLE)) if len(hashes) else None)
+        columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(codes, pa.binary())]
+        return pa.StructArray.from_arrays(columns, names=["size", "digest", "code"])
+
+    return signatures(text)
+
+
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, percent: int = SIMILAR_PERCENT
+) -> DataFrame:
+    """The rows that remain when every group of similar texts keeps one.
+
+    Texts are linked if they share at least ``percent`` percent of their distinct shingles of
+    ``shingle`` words, and groups are what links connect.  Candidates come from wide
+    fingerprints: a posting list for each of ``WIDE_LISTS`` sets of byte positions,
+    pairs with fewer shared bytes or more differing bits than similar texts have are
+    dropped, the others are confirmed on the texts' full sets.  64 bits do not
+    suffice here, as texts at the threshold differ in a seventh of them.  Texts
+    without a word are copies of each other.
+
+    That row stays that has the smallest id, ids before nulls; of several rows with that
+    id in its group of equal sets, the one with the smallest content hash.
+    """
+    shipped(docs.sparkSession)
+    own, digest, smallest, times, place = unused(docs, "own_class", "kept_digest", "kept_id", "kept_times", "kept_place")
+    signed = docs.withColumn(own, similar_signature(docs[text], shingle))
+    mine = F.struct(f"{own}.*", verified.text_key(F.col(text)).alias("text_key"), F.col(doc_id).cast("long").alias("id"))
+    held = written(signed.withColumn(own, mine), "signed")
+    classes = held.select(f"{own}.*").groupBy("digest").agg(
+        F.min("id").alias("smallest"),
+        F.min("text_key").alias("text_key"),
+        F.first("size").alias("size"),
+        F.first("code").alias("code"),
     )
-    first = first.select(F.col("first.id").alias(id_), F.col("first.print").alias(print_))
-    match = (F.col(own) == F.col(print_)) & F.col(doc_id).eqNullSafe(F.col(id_))
-    counted = held.select(own, doc_id).join(first, match).groupBy(id_, print_).agg(F.count("*").alias(times))
+    classes = written(classes.withColumn("node", verified.node_column(F.col("smallest"), F.col("digest"))), "classes")
+    rule = verified.Rule(shingle, percent, WIDE_BITS, WIDE_SHARED)
+    found = verified.component_of(classes, wide_keys(F.col("code")), held.select(F.col(text).alias("text")), rule)
+    first = classes.join(found, "node", "left").filter("component is null or component = node")
+    first = first.select(F.col("digest").alias(digest), F.col("smallest").alias(smallest))
+    match = (F.col(f"{own}.digest") == F.col(digest)) & F.col(f"{own}.id").eqNullSafe(F.col(smallest))
+    counted = held.select(own).join(first, match).groupBy(digest, smallest).agg(F.count("*").alias(times))
     counted = written(counted, "kept")
     columns = [f"`{c}`" for c in docs.columns]
     kept = held.join(counted, match)
     out = kept.filter(F.col(times) == 1).select(*columns)
     if not counted.filter(F.col(times) > 1).isEmpty():
-        order = Window.partitionBy(print_, id_).orderBy(F.xxhash64(*columns))
+        order = Window.partitionBy(digest, smallest).orderBy(F.xxhash64(*columns))
         repeated = kept.filter(F.col(times) > 1).withColumn(place, F.row_number().over(order))
         out = out.unionByName(repeated.filter(F.col(place) == 1).select(*columns))
     return out

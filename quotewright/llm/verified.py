@@ -6,11 +6,12 @@ share a key lie in one posting list.  In a list the codes are compared; pairs wh
 and sizes can still belong to linked sets are candidates.  No list writes out all of its
 candidates: it passes on a spanning forest of them, nearest codes first.  Those are
 confirmed on full sets.  A list of whose forest every pair is confirmed is done, as all
-its candidates are connected.  Of the others the candidates between different components
-are asked for again, without the refused ones, in ever more forests at once, until none
-is left.  So every candidate is either confirmed, refused, or inside a component already.
+its candidates are connected.  Of the others the nearest candidates between different
+components are asked for again, ``MORE`` a member, then ``MORE`` times as many, until a list has passed
+on all that it has.  So every candidate is confirmed, refused, or inside a component already.
 
-A list over ``LIST_ROWS`` is dealt into blocks, and each pair of blocks is a list of its own.
+A list over ``LIST_ROWS`` is cut into blocks that pass on forests of their own; then the members
+outside its largest component are compared with all, block by block.
 """
 
 from __future__ import annotations
@@ -21,16 +22,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotewright.llm.common import written
 from quotewright.llm.components import components
+from quotewright.operators.chunks import small_side
 
 #: Classes compared with each other in one piece.
 LIST_ROWS = 2048
-#: Forests that an unfinished list may pass on in a round, as a multiple of the round before.
+#: Pairs a member that an unfinished list passes on, as a multiple of the round before.
 MORE = 8
 #: Distinct words whose hashes a worker keeps.
 WORDS_KEPT = 1 << 20
@@ -38,7 +41,11 @@ WORDS_KEPT = 1 << 20
 HOT_ROWS = 100_000
 HOT_KEYS = 100_000
 
-_FAR = np.int32(1 << 30)
+#: Lists whose distances are held all at once, and distances held at once of longer ones.
+TABLE_ROWS = 256
+CELLS_AT_ONCE = 1 << 18
+
+_FAR, _DONE = np.int32(1 << 30), np.int32((1 << 30) + 1)
 
 
 class Rule(NamedTuple):
@@ -109,103 +116,142 @@ def text_key(text: Column) -> Column:
 # Lists
 
 
-def _distances(words: np.ndarray, v: int, rule: Rule) -> np.ndarray:
-    apart = words ^ words[v]
-    bits = np.bitwise_count(apart).sum(axis=1, dtype=np.int32)
-    far = bits > rule.most_bits
-    if rule.shared_bytes:
-        far |= (apart.view(np.uint8) == 0).sum(axis=1, dtype=np.int32) < rule.shared_bytes
-    bits[far] = _FAR
+class Members(NamedTuple):
+    """The members of a list in order of their nodes."""
+
+    words: np.ndarray
+    sizes: np.ndarray
+    groups: np.ndarray
+    #: Who asks and who is asked; none where those outside the largest group ask all.
+    asks: np.ndarray | None = None
+    asked: np.ndarray | None = None
+
+
+def distances(m: Members, rows: np.ndarray, rule: Rule) -> np.ndarray:
+    """Differing bits of some members' codes from all members', ``_FAR`` where no link is possible."""
+    bits = np.zeros((len(rows), len(m.words)), np.int32)
+    shared = np.zeros((len(rows), len(m.words)), np.int32)
+    for w in range(m.words.shape[1]):
+        apart = m.words[rows, w, None] ^ m.words[None, :, w]
+        bits += np.bitwise_count(apart)
+        if rule.shared_bytes:
+            shared += (apart.view(np.uint8).reshape(*apart.shape, 8) == 0).sum(axis=2, dtype=np.int32)
+    own = m.sizes[rows, None]
+    far = (bits > rule.most_bits) | (100 * np.minimum(own, m.sizes) < rule.percent * np.maximum(own, m.sizes))
+    bits[far | (shared < rule.shared_bytes)] = _FAR
     return bits
 
 
-def forests(
-    words: np.ndarray, sizes: np.ndarray, groups: np.ndarray, sides: np.ndarray | None, refused: np.ndarray, count: int, rule: Rule
-) -> list[tuple[int, int]]:
-    """Pairs (places) of up to ``count`` successive spanning forests of a list's candidates,
-    nearest codes first (Prim's rule).  Members of one group are connected already;
-    with ``sides`` (0 and 1) only pairs between them are new; ``refused`` pairs are out.
+def forest(m: Members, rule: Rule) -> np.ndarray:
+    """Pairs of a spanning forest of a list's candidates, nearest codes first (Prim's rule)."""
+    count = len(m.words)
+    every = np.arange(count)
+    table = distances(m, every, rule) if count <= TABLE_ROWS else None
+    near = np.full(count, _FAR)
+    parent = np.zeros(count, np.int64)
+    edges = []
+    v = 0
+    for _ in range(count - 1):
+        near[v] = _DONE
+        reach = distances(m, every[v : v + 1], rule)[0] if table is None else table[v]
+        closer = reach < near
+        closer &= near < _DONE
+        near[closer], parent[closer] = reach[closer], v
+        v = int(near.argmin())
+        if near[v] < _FAR:
+            edges.append((parent[v], v))
+    return np.sort(np.array(edges, np.int64).reshape(-1, 2), axis=1)
+
+
+def nearest_pairs(m: Members, most: int, rule: Rule) -> tuple[np.ndarray, bool]:
+    """The ``most`` nearest candidates between members of different groups; whether there are more.
+
+    In a whole list the members outside the largest group ask all: every such pair has one of them.
     """
-    barred: dict[int, list[int]] = {}
-    for a, b in refused.tolist():
-        barred.setdefault(a, []).append(b)
-        barred.setdefault(b, []).append(a)
-    out: list[tuple[int, int]] = []
-    for _ in range(count):
-        near = np.full(len(words), _FAR)
-        parent = np.zeros(len(words), np.int64)
-        open_ = np.ones(len(words), bool)
-        edges = []
-        for _ in range(len(words)):
-            v = int(np.argmin(np.where(open_, near, _FAR + 1)))
-            if 0 <= near[v] < _FAR:
-                edges.append((int(parent[v]), v))
-            open_[v] = False
-            if not open_.any():
-                break
-            reach = _distances(words, v, rule)
-            reach[100 * np.minimum(sizes, sizes[v]) < rule.percent * np.maximum(sizes, sizes[v])] = _FAR
-            if sides is not None:
-                reach[sides == sides[v]] = _FAR
-            if v in barred:
-                reach[barred[v]] = _FAR
-            reach[groups == groups[v]] = -1
-            closer = open_ & (reach < near)
-            near[closer], parent[closer] = reach[closer], v
-        if not edges:
-            break
-        out += edges
-        for a, b in edges:
-            barred.setdefault(a, []).append(b)
-            barred.setdefault(b, []).append(a)
-    return out
-
-
-#: kind: 0 and 1 are members of the left and right block, 2 a refused pair.
-CELL = "key long, i int, j int, kind int, node binary, other binary, size long, code binary, component binary"
-FOUND = "key long, i int, j int, a binary, b binary, large boolean"
-_FOUND_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
-
-
-def _found(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    names = ("key", "i", "j", "a", "b", "large")
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _FOUND_TYPES, strict=True)], names=names)
-
-
-def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    asks = m.groups != np.bincount(m.groups).argmax() if m.asks is None else m.asks
+    asked = np.ones(len(asks), bool) if m.asked is None else m.asked
+    asking = np.flatnonzero(asks)
+    pairs, far, cut = np.zeros((0, 2), np.int64), np.zeros(0, np.int32), False
+    step = max(1, CELLS_AT_ONCE // len(m.words))
+    for k in range(0, len(asking), step):
+        rows = asking[k : k + step]
+        bits = distances(m, rows, rule)
+        bits[m.groups[rows, None] == m.groups] = _FAR
+        other_way = asks & asked[rows, None] & (np.arange(len(asks)) < rows[:, None])
+        bits[~asked | other_way] = _FAR
+        a, b = np.nonzero(bits < _FAR)
+        pairs = np.concatenate([pairs, np.stack([rows[a], b], axis=1)])
+        far = np.concatenate([far, bits[a, b]])
+        if len(far) > most:
+            best = np.argpartition(far, most - 1)[:most]
+            pairs, far, cut = pairs[best], far[best], True
+    return np.sort(pairs, axis=1), cut
+
+
+CELL = ["key", "i", "j", "side", "node", "size", "code", "component"]
+#: what: 0 a pair, 1 a list too large for one piece, 2 a list with more candidates.
+FOUND = "key long, a binary, b binary, what int"
+_PAIR, _LARGE, _MORE = 0, 1, 2
+
+
+def _found(keys: pa.Array, a: pa.Array, b: pa.Array, what: int) -> pa.RecordBatch:
+    kind = pa.array(np.full(len(keys), what, np.int32))
+    return pa.RecordBatch.from_arrays([keys, a, b, kind], names=["key", "a", "b", "what"])
+
+
+def _marked(key: int, what: int) -> pa.RecordBatch:
+    nothing = pa.nulls(1, pa.binary())
+    return _found(pa.array([key], pa.int64()), nothing, nothing, what)
+
+
+def _codes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
 
 
-def _cell(cell: pa.Table, count: int, rule: Rule) -> list[tuple]:
-    kinds = cell.column("kind").to_numpy()
-    members = cell.filter(pa.array(kinds < 2))
-    nodes = members.column("node").to_pylist()
-    if len(nodes) < 2:
-        return []
-    place = {node: k for k, node in enumerate(nodes)}
-    pairs = cell.filter(pa.array(kinds == 2))
-    refused = [(place[a], place[b]) for a, b in zip(pairs.column("node").to_pylist(), pairs.column("other").to_pylist(), strict=True)]
-    sides = members.column("kind").to_numpy()
+def _cell(cell: pa.Table, most: int | None, rule: Rule) -> Iterator[pa.RecordBatch]:
+    """What one list passes on: a forest, or its ``most`` nearest candidates a member."""
+    cell = cell.sort_by([("node", "ascending"), ("side", "ascending")])
+    sides = cell.column("side").to_numpy()
+    asks = asked = None
+    if sides.any():  # a member that asks and is asked is there twice
+        names = cell.column("node").to_pylist()
+        first = np.array([k for k in range(len(names)) if not k or names[k] != names[k - 1]])
+        asks, asked = np.maximum.reduceat(sides, first) == 1, sides[first] == 0
+        cell = cell.take(pa.array(first))
     labels: dict[bytes, int] = {}
-    groups = np.array([labels.setdefault(x, len(labels)) for x in members.column("component").to_pylist()])
+    groups = np.array([labels.setdefault(x, len(labels)) for x in cell.column("component").to_pylist()])
     if len(labels) < 2:
-        return []
-    edges = forests(
-        _codes(members.column("code")),
-        members.column("size").to_numpy(),
-        groups,
-        sides if sides.any() else None,
-        np.array(refused, np.int64).reshape(-1, 2),
-        count,
-        rule,
-    )
-    key, i, j = (cell.column(c)[0].as_py() for c in ("key", "i", "j"))
-    return [(key, i, j, min(nodes[a], nodes[b]), max(nodes[a], nodes[b]), False) for a, b in edges]
-
-
-def _cells(count: int, rule: Rule):
-    """Cells in order of their key, one after another; of an undealt list that is too large
+        return
+    members = Members(_codes(cell.column("code")), cell.column("size").to_numpy(), groups, asks, asked)
+    key, nodes = cell.column("key")[0].as_py(), cell.column("node").combine_chunks()
+    if most is None:
+        pairs, cut = forest(members, rule), False
+    else:
+        pairs, cut = nearest_pairs(members, most * len(groups), rule)
+    a, b = (nodes.take(pa.array(x)) for x in pairs.T)
+    yield _found(pa.array(np.full(len(pairs), key, np.int64)), a, b, _PAIR)
+    if cut:
+        yield _marked(key, _MORE)
+
+
+def _twos(table: pa.Table, at: np.ndarray, rule: Rule) -> pa.RecordBatch:
+    """The candidates of lists of two members, which most lists are, all at once."""
+    first, second = table.take(pa.array(at)), table.take(pa.array(at + 1))
+    words = _codes(first.column("code")) ^ _codes(second.column("code"))
+    n, m = first.column("size").to_numpy(), second.column("size").to_numpy()
+    near = np.bitwise_count(words).sum(axis=1, dtype=np.int32) <= rule.most_bits
+    near &= (words.view(np.uint8) == 0).sum(axis=1) >= rule.shared_bytes
+    near &= 100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m)
+    apart = pc.not_equal(first.column("component"), second.column("component"))
+    keep = pc.and_(pa.array(near), apart.combine_chunks() if isinstance(apart, pa.ChunkedArray) else apart)
+    first, second = (x.filter(keep).combine_chunks() for x in (first, second))
+    a, b = first.column("node").combine_chunks(), second.column("node").combine_chunks()
+    ahead = pc.less(a, b)
+    return _found(first.column("key").combine_chunks(), pc.if_else(ahead, a, b), pc.if_else(ahead, b, a), _PAIR)
+
+
+def _lists(most: int | None, rule: Rule):
+    """Lists in order of their keys, one after another; of an undealt list that is too large
     no more is held than shows that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,14 +260,14 @@ def _cells(count: int, rule: Rule):
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
             edges = _edges(table)
-            yield _found(_compare(table, edges[:-1], count, rule))
+            yield from _compared(table, edges[:-1], most, rule)
             rest = table.slice(edges[-2])
             if rest.num_rows > rule.list_rows and rest.column("i")[0].as_py() < 0:
                 rest = rest.slice(0, rule.list_rows + 1)
         if rest is not None:
-            yield _found(_compare(rest, _edges(rest), count, rule))
+            yield from _compared(rest, _edges(rest), most, rule)
 
     return run
 
@@ -232,72 +278,81 @@ def _edges(table: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(new) + 1, [table.num_rows]])
 
 
-def _compare(table: pa.Table, edges: np.ndarray, count: int, rule: Rule) -> list[tuple]:
+def _compared(table: pa.Table, edges: np.ndarray, most: int | None, rule: Rule) -> Iterator[pa.RecordBatch]:
     starts, sizes = edges[:-1], np.diff(edges)
-    out: list[tuple] = []
-    twos = starts[sizes == 2]
-    if len(twos):  # most lists hold two classes: all of them at once
-        pair = table.take(pa.array(np.stack([twos, twos + 1], axis=1).ravel()))
-        kinds, n = pair.column("kind").to_numpy().reshape(-1, 2), pair.column("size").to_numpy().reshape(-1, 2)
-        words = _codes(pair.column("code"))
-        apart = words[::2] ^ words[1::2]
-        near = np.bitwise_count(apart).sum(axis=1, dtype=np.int32) <= rule.most_bits
-        near &= (apart.view(np.uint8) == 0).sum(axis=1) >= rule.shared_bytes
-        near &= (100 * n.min(axis=1) >= rule.percent * n.max(axis=1)) & (kinds < 2).all(axis=1)
-        if near.any():
-            good = pair.take(pa.array(np.flatnonzero(np.repeat(near, 2)))).select(["key", "i", "j", "node", "component"]).to_pydict()
-            for k in range(0, len(good["key"]), 2):
-                a, b = good["node"][k : k + 2]
-                if good["component"][k] != good["component"][k + 1]:
-                    out.append((good["key"][k], good["i"][k], good["j"][k], min(a, b), max(a, b), False))
-    for at, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-        if size > 2:
-            if size > rule.list_rows and table.column("i")[at].as_py() < 0:
-                out.append((table.column("key")[at].as_py(), -1, -1, None, None, True))
-            else:
-                out += _cell(table.slice(at, size).combine_chunks(), count, rule)
-    return out
-
-
-def _search(cells: DataFrame, count: int, rule: Rule, name: str) -> DataFrame:
-    together = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return written(together.mapInArrow(_cells(count, rule), FOUND), name)
-
-
-def _dealt(postings: DataFrame, large: DataFrame, list_rows: int) -> DataFrame:
-    """The members of large lists in cells: every pair of blocks is one."""
-    members = postings.join(large, "key")
+    undealt = table.column("i").to_numpy()[starts] < 0
+    two = (sizes == 2) & undealt
+    if two.any():
+        yield _twos(table, starts[two], rule)
+    for at, size, whole in zip(starts[~two].tolist(), sizes[~two].tolist(), undealt[~two].tolist(), strict=True):
+        if size > rule.list_rows and whole:
+            yield _marked(table.column("key")[at].as_py(), _LARGE)
+        elif size > 1:
+            yield from _cell(table.slice(at, size).combine_chunks(), most, rule)
+
+
+def _search(cells: DataFrame, most: int | None, rule: Rule, name: str) -> DataFrame:
+    together = cells.select(*CELL).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return written(together.mapInArrow(_lists(most, rule), FOUND), name)
+
+
+def shared_keys(classes: DataFrame, keys: Column) -> DataFrame:
+    """(key, short) of the keys that several classes have, saved.
+
+    Most keys belong to one class: these are dropped before codes are moved, by a sort of
+    two numbers a key and a look at the neighbours.
+    """
+    each = classes.select(F.explode(keys).alias("key"), F.xxhash64("node").alias("short"))
+    beside = Window.partitionBy("key").orderBy("short")
+    near = [F.lag(F.lit(True)).over(beside).alias("before"), F.lead(F.lit(True)).over(beside).alias("behind")]
+    return written(each.select("key", "short", *near).filter("before or behind").select("key", "short"), "shared_keys")
+
+
+def _members(shared: DataFrame, classes: DataFrame, joined: DataFrame | None = None) -> DataFrame:
+    """Members of lists with their component so far; two classes of one short name only make
+    members that no confirmation links."""
+    coded = classes.select(F.xxhash64("node").alias("short"), "node", "size", "code")
+    members = shared.join(coded, "short").select("key", "node", "size", "code")
+    if joined is None:
+        return members.withColumn("component", F.col("node"))
+    members = members.join(joined.select("node", "component"), "node", "left")
+    return members.withColumn("component", F.coalesce("component", "node"))
+
+
+def _undealt(members: DataFrame) -> DataFrame:
+    return members.select("*", F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"))
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("node", "key"), F.col(blocks)).cast("int")
+
+
+def _diagonal(members: DataFrame, list_rows: int) -> DataFrame:
+    """Large lists cut into blocks, each a list of its own."""
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / (list_rows // 2)).cast("int").alias("blocks"))
-    members = members.join(written(blocks, "blocks"), "key")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return members.select(
+    dealt = members.join(written(blocks, "blocks"), "key")
+    return dealt.select("*", _block("blocks").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+
+
+def _asked(members: DataFrame, list_rows: int) -> DataFrame:
+    """Large lists as cells: a block of the members outside the list's largest component (side 1)
+    with a block of all members.  A list whose members are all connected has no cell."""
+    members = written(members, "large_lists")
+    groups = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    block = list_rows // 2
+    sized = largest.filter("most < n").select(
         "key",
-        F.least("block", "beside").alias("i"),
-        F.greatest("block", "beside").alias("j"),
-        (F.col("block") > F.col("beside")).cast("int").alias("kind"),
-        "node",
-        "size",
-        "code",
+        "largest",
+        F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("askers"),
+        F.ceil(F.col("n") / block).cast("int").alias("blocks"),
     )
-
-
-def _whole_cells(members: DataFrame, refused: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
-    """Members and refused pairs in the columns of ``CELL``; of one component what ``found`` says."""
-    if found is not None:
-        known = found.select("node", "component")
-        members = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    else:
-        members = members.withColumn("component", F.col("node"))
-    nothing = F.lit(None).cast("binary")
-    rows = members.select("key", "i", "j", "kind", "node", nothing.alias("other"), "size", "code", "component")
-    if refused is None:
-        return rows
-    pairs = refused.select(
-        "key", "i", "j", F.lit(2).alias("kind"), F.col("a").alias("node"), F.col("b").alias("other"),
-        F.lit(0).cast("long").alias("size"), nothing.alias("code"), nothing.alias("component"),
-    )
-    return rows.unionByName(pairs)
+    dealt = members.join(written(sized, "blocks"), "key")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = [c for c in CELL if c not in ("i", "j", "side")]
+    asking = dealt.filter("component <> largest").withColumn("i", _block("askers")).select(*own, "i", every("blocks").alias("j"), F.lit(1).alias("side"))
+    asked = dealt.withColumn("j", _block("blocks")).select(*own, every("askers").alias("i"), "j", F.lit(0).alias("side"))
+    return asking.unionByName(asked)
 
 
 # Confirmation
@@ -328,52 +383,59 @@ def _verdicts(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str) -> Data
     return written(both.select("a", "b", _confirmed(rule)("left_text", "right_text").alias("linked")), name)
 
 
-def texts_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, text) of the named classes, saved; ``texts`` has one column, ``text``."""
-    keys = nodes.join(classes.select("node", "text_key"), "node")
+def texts_of(pairs: DataFrame, classes: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, text) of the classes in pairs, those ``known`` already included; each is saved once."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if known is not None:
+        nodes = nodes.join(known, "node", "left_anti")
+    keys = written(nodes.join(classes.select("node", "text_key"), "node"), "text_keys")
+    if known is not None and keys.isEmpty():
+        return known
     keyed = texts.select(text_key(F.col("text")).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = keyed.join(keys.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    return written(wanted.join(keys, "text_key").select("node", "text"), "texts")
+    wanted = keyed.join(small_side(keys.select("text_key"), keys.count()), "text_key", "left_semi")
+    wanted = wanted.groupBy("text_key").agg(F.first("text").alias("text"))
+    out = written(wanted.join(keys, "text_key").select("node", "text"), "texts")
+    return out if known is None else known.unionByName(out)
 
 
-def component_of(classes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def component_of(classes: DataFrame, keys: Column, texts: DataFrame, rule: Rule) -> DataFrame:
     """(node, component) of the classes that have a link.
 
-    ``classes`` is saved, with node, text_key, size (of the set), code and keys; ``texts`` holds the
-    texts themselves, those of every ``text_key``.
+    ``classes`` is saved, with node, text_key, size (of the set), code and what ``keys`` is made
+    of; ``texts`` holds the texts themselves, those of every ``text_key``.
     """
-    postings = classes.select(F.explode("keys").alias("key"), "node", "size", "code")
-    alone = (F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("kind"))
-    members = postings.select("key", *alone, "node", "size", "code")
-    found = _search(_whole_cells(members), 1, rule, "candidates")
-    large = found.filter("large").select("key")
-    if not large.isEmpty():
-        cells = written(_dealt(postings, large, rule.list_rows), "large_lists")
-        found = found.filter("not large").unionByName(_search(_whole_cells(cells), 1, rule, "large_candidates"))
-        members = members.join(large, "key", "left_anti").unionByName(cells)
-    pairs = found.select("a", "b").distinct()
-    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # whoever has a candidate is part of a forest, so later rounds ask for no other text
-    kept_texts = texts_of(named, classes, texts)
-    verdicts = _verdicts(pairs, kept_texts, rule, "verdicts")
-    refused, count = None, 1
-    joined = written(components(verdicts.filter("linked").select("a", "b")), "components")
+    shared = shared_keys(classes, keys)
+    found = _search(_undealt(_members(shared, classes)), None, rule, "candidates")
+    large = found.filter(F.col("what") == _LARGE).select("key")
+    has_large = not large.isEmpty()
+    if has_large:
+        blocks = _diagonal(_members(shared.join(large, "key"), classes), rule.list_rows)
+        found = found.unionByName(_search(blocks, None, rule, "large_candidates"))
+    kept_texts, verdicts, joined, most = None, None, None, 1
     while True:
-        missed = found.join(verdicts.filter("not linked"), ["a", "b"], "left_semi").select("key", "i", "j", "a", "b")
-        missed = written(missed, "refused")
-        if missed.isEmpty():
-            return joined
-        refused = missed if refused is None else refused.unionByName(missed)
-        unfinished = missed.select("key", "i", "j").distinct()
-        count *= MORE
-        asked = members.join(unfinished, ["key", "i", "j"], "left_semi")
-        barred = refused.join(unfinished, ["key", "i", "j"], "left_semi")
-        found = _search(_whole_cells(asked, barred, joined), count, rule, "candidates")
-        fresh = found.select("a", "b").distinct().join(verdicts, ["a", "b"], "left_anti")
+        pairs = found.filter(F.col("what") == _PAIR).select("a", "b").distinct()
+        fresh = pairs if verdicts is None else pairs.join(verdicts, ["a", "b"], "left_anti")
+        fresh = written(fresh, "pairs")
+        kept_texts = texts_of(fresh, classes, texts, kept_texts)
         answers = _verdicts(fresh, kept_texts, rule, "verdicts")
-        verdicts = verdicts.unionByName(answers)
-        if not answers.filter("linked").isEmpty():
+        verdicts = answers if verdicts is None else verdicts.unionByName(answers)
+        if joined is None or not answers.filter("linked").isEmpty():
             joined = written(components(verdicts.filter("linked").select("a", "b")), "components")
+        if most == 1:  # of the forests those with a refused pair are unfinished, and all large lists
+            missed = found.join(answers.filter("not linked"), ["a", "b"], "left_semi").select("key")
+            unfinished, again = missed.distinct().join(large, "key", "left_anti"), large if has_large else None
+        else:
+            more = found.filter(F.col("what") == _MORE).select("key").distinct()
+            unfinished, again = more.join(large, "key", "left_anti"), more.join(large, "key", "left_semi") if has_large else None
+        unfinished = written(unfinished, "unfinished")
+        if unfinished.isEmpty() and (again is None or again.isEmpty()):
+            return joined
+        most *= MORE
+        asked = _undealt(_members(shared.join(unfinished, "key", "left_semi"), classes, joined))
+        found = _search(asked, most, rule, "candidates")
+        if again is not None:
+            cells = _asked(_members(shared.join(again, "key", "left_semi"), classes, joined), rule.list_rows)
+            found = found.unionByName(_search(cells, most, rule, "large_candidates"))
 
 
 def with_class(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:

@@ -87,30 +87,65 @@ def test_groups_around_the_threshold(spark, list_rows):
     assert found(odd_sketch.near_duplicates(docs, list_rows=list_rows)) == want
 
 
-def test_forests_leave_no_candidate_out():
-    """Every refused forest is followed by others until no candidate between groups is left."""
+def some_members(groups=None, asks=None, asked=None):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 64, (1, 8), dtype=np.uint64)
     flips = rng.random((40, 512)) < 0.08
     words = base ^ np.packbits(flips, axis=1, bitorder="little").view(np.uint64)
-    sizes = rng.integers(80, 100, 40)
-    rule = verified.Rule(2, 90, 80)
-    wanted = {
-        (a, b)
+    return verified.Members(words, rng.integers(80, 100, 40), np.arange(40) if groups is None else groups, asks, asked)
+
+
+def candidates(m, rule):
+    """By definition: (distance, a, b) of all pairs that can be linked."""
+    return {
+        (int(np.bitwise_count(m.words[a] ^ m.words[b]).sum()), a, b)
         for a in range(40)
-        for b in range(a)
-        if np.bitwise_count(words[a] ^ words[b]).sum() <= 80 and 100 * min(sizes[a], sizes[b]) >= 90 * max(sizes[a], sizes[b])
+        for b in range(a + 1, 40)
+        if np.bitwise_count(m.words[a] ^ m.words[b]).sum() <= rule.most_bits
+        and 100 * min(m.sizes[a], m.sizes[b]) >= rule.percent * max(m.sizes[a], m.sizes[b])
+        and m.groups[a] != m.groups[b]
+        and (m.asks is None or m.asks[a] and m.asked[b] or m.asks[b] and m.asked[a])
     }
+
+
+@pytest.mark.parametrize("table_rows", [256, 4])
+def test_forest_spans_the_candidates(monkeypatch, table_rows):
+    monkeypatch.setattr(verified, "TABLE_ROWS", table_rows)
+    rule = verified.Rule(2, 90, 76)
+    m = some_members()
+    wanted = sorted(candidates(m, rule))
     assert 50 < len(wanted) < 780
-    asked = set()
-    while True:
-        edges = verified.forests(words, sizes, np.arange(40), None, np.array(sorted(asked)).reshape(-1, 2), 2, rule)
-        if not edges:
-            break
-        edges = {(max(e), min(e)) for e in edges}
-        assert not edges & asked and len(edges) < 80
-        asked |= edges
-    assert asked == wanted
+    parent = list(range(40))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    lengths = []  # Kruskal's rule gives forests of the same lengths as Prim's
+    for far, a, b in wanted:
+        if root(a) != root(b):
+            parent[root(a)] = root(b)
+            lengths.append(far)
+    edges = {(a, b) for a, b in verified.forest(m, rule).tolist()}
+    by_pair = {(a, b): far for far, a, b in wanted}
+    assert sorted(by_pair[e] for e in edges) == lengths
+
+
+@pytest.mark.parametrize("groups", [None, np.arange(40) % 3 // 2, np.zeros(40, int)])
+@pytest.mark.parametrize("sided", [False, True])
+def test_nearest_pairs(monkeypatch, groups, sided):
+    monkeypatch.setattr(verified, "CELLS_AT_ONCE", 100)
+    rule = verified.Rule(2, 90, 80)
+    m = some_members(groups, *(np.arange(40) % 2 == 1, np.arange(40) % 3 < 2) if sided else ())
+    wanted = sorted(candidates(m, rule))
+    far = {(a, b): d for d, a, b in wanted}
+    pairs, cut = verified.nearest_pairs(m, 1000, rule)
+    assert not cut and sorted(map(tuple, pairs.tolist())) == sorted(far)
+    if wanted:
+        pairs, cut = verified.nearest_pairs(m, 20, rule)
+        assert len(set(map(tuple, pairs.tolist()))) == 20
+        assert cut and sorted(far[tuple(x)] for x in pairs.tolist()) == [d for d, _, _ in wanted[:20]]
 
 
 @pytest.mark.parametrize(("size", "similar"), [(50, 0.8), (400, 0.8), (400, 0.9), (400, 0.3)])

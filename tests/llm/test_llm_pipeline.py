@@ -11,9 +11,8 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from test_llm_packing import PATH, expected_pieces, valid
 from test_llm_pii import base_by_definition
+from test_llm_odd_sketch import expected as similar_groups
 from test_llm_quality import by_definition as signals_by_definition
-from test_llm_simhash import by_definition as print_by_definition
-from test_llm_simhash import groups_by_definition
 from tokenizers import Tokenizer
 
 from quotewright.llm import pii, quality
@@ -52,14 +51,12 @@ def test_quality_rules(stages):
 
 
 def test_near_duplicates(stages):
+    """Five words, 80 percent, on full sets: documents 1 and 177 are such a pair."""
     before, after = stages[1].collect(), stages[2].collect()
-    prints = {r.doc_id: print_by_definition(r.text) for r in before}
-    root = groups_by_definition(prints.values())
-    groups = defaultdict(list)
-    for doc_id, value in prints.items():
-        groups[root[value]].append(doc_id)
-    assert sorted(r.doc_id for r in after) == sorted(map(min, groups.values()))
-    assert set(after) <= set(before)
+    groups = similar_groups([(r.doc_id, r.text) for r in before], 5, 80)
+    kept = {r.doc_id for r in after}
+    assert sorted(kept) == sorted({component for _, _, component, _ in groups})
+    assert set(after) <= set(before) and len({1, 177} & kept) == 1
 
 
 def test_personal_data(stages):
@@ -99,10 +96,10 @@ def test_stages_on_odd_documents(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             table = written(stage(spark, table, SMALL), name)
         assert set(table.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
-    clashing = docs.withColumns({"kept": F.lit("k"), "n_words": F.lit("w"), "own_print": F.lit("p"), "masked_text": F.lit("m")})
+    clashing = docs.withColumns({"kept": F.lit("k"), "n_words": F.lit("w"), "own_class": F.lit("p"), "masked_text": F.lit("m")})
     kept = corpus_pipeline.quality_rules(spark, clashing, SMALL)
     assert kept.count() == 5
     for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.personal_data):
         kept = stage(spark, written(kept, "kept"), SMALL)
     assert kept.columns == clashing.columns
-    assert {tuple(r) for r in kept.select("kept", "n_words", "own_print", "masked_text").collect()} == {("k", "w", "p", "m")}
+    assert {tuple(r) for r in kept.select("kept", "n_words", "own_class", "masked_text").collect()} == {("k", "w", "p", "m")}

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from conftest import SMALL
+from test_llm_odd_sketch import expected as similar_groups
 
 from quotewright.llm import registry, simhash
 from quotewright.llm.components import components, local_forest
@@ -153,3 +154,32 @@ def test_keep_one_row_of_each_group(spark):
     found = kept.collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in found) == [(False, 4), (False, 7), (True, 0)]
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_similar_texts_by_five_words(spark):
+    """Texts on both sides of the threshold: none goes that is linked to no other, and few stay that are."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(80, 400))]
+        for share in (0, 0.01, 0.015, 0.02, 0.03, 0.05):
+            rows.append(" ".join(f"n{rng.randrange(10**9)}" if rng.random() < share else w for w in base))
+        cut = len(base) // 12  # a whole passage replaced
+        rows.append(" ".join([f"n{rng.randrange(10**9)}" for _ in range(cut)] + base[cut:]))
+    rows = list(enumerate(rows))
+    want = {c for _, _, c, _ in similar_groups(rows, 5, 80)}
+    assert 12 < len(want) < 60
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert want <= kept and len(kept - want) <= 0.05 * (len(rows) - len(want))
+
+
+def test_keys_of_wide_fingerprints():
+    """Equal bytes at a list's positions give an equal key, and the list is part of the key."""
+    rng = np.random.default_rng(1)
+    code = rng.integers(0, 256, 64, dtype=np.uint8)
+    other = np.where(rng.random(64) < 0.5, code, rng.integers(0, 256, 64, dtype=np.uint8))
+    positions = simhash.wide_positions()
+    assert len({tuple(sorted(x)) for x in positions.tolist()}) == simhash.WIDE_LISTS
+    assert all(len(set(x)) == simhash.WIDE_KEY for x in positions.tolist())
+    same = (code[positions] == other[positions]).all(axis=1)
+    assert same.any() and not same.all()
