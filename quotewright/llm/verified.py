@@ -4,20 +4,19 @@ lists of compact codes, confirmed on the texts' whole shingle sets.
 A class is one distinct set of shingles with a code (a bitmap) and some keys.  Classes that
 share a key lie in one posting list.  In a list the codes are compared; pairs whose codes
 and sizes can still belong to linked sets are candidates.  No list writes out all of its
-candidates: it passes on a spanning forest of them, nearest codes first.  Those are
-confirmed on full sets.  A list of whose forest every pair is confirmed is done, as all
-its candidates are connected.  Of the others the nearest candidates between different
-components are asked for again, ``MORE`` a member, then ``MORE`` times as many, until a list has passed
-on all that it has.  So every candidate is confirmed, refused, or inside a component already.
-
-A list over ``LIST_ROWS`` is cut into blocks that pass on forests of their own; then the members
-outside its largest component are compared with all, block by block.
+candidates: it passes on a spanning forest of them, nearest codes first, whose pairs are
+confirmed on full sets.  So all candidates of all lists lie inside families, the components of what
+the forests connect, and most families are one component of confirmed links by then.  In the others
+the members outside the largest component are compared with all: codes first, then full sets
+by one product of matrices a block, of which again only a spanning forest of links is passed on.
+So every candidate is confirmed, refused, or inside a component already.
+
+A list over ``LIST_ROWS`` is cut into blocks that pass on forests of their own, and its members are one family.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -33,17 +32,20 @@ from quotewright.operators.chunks import small_side
 
 #: Classes compared with each other in one piece.
 LIST_ROWS = 2048
-#: Pairs a member that an unfinished list passes on, as a multiple of the round before.
-MORE = 8
+#: Members of a cell that ask at once, and hashes whose holders are counted at once.
+ASKING, HASHES_AT_ONCE = 256, 8192
+#: So many pairs of sets are compared one by one.
+FEW_PAIRS = 64
+#: Pairs that one copy of a text is sent for.
+HUB_PAIRS = 4096
 #: Distinct words whose hashes a worker keeps.
 WORDS_KEPT = 1 << 20
 #: From so many equal rows on, a key is joined by broadcast; there are at most rows / HOT_ROWS of these.
 HOT_ROWS = 100_000
 HOT_KEYS = 100_000
 
-#: Lists whose distances are held all at once, and distances held at once of longer ones.
+#: Lists whose distances are held all at once.
 TABLE_ROWS = 256
-CELLS_AT_ONCE = 1 << 18
 
 _FAR, _DONE = np.int32(1 << 30), np.int32((1 << 30) + 1)
 
@@ -122,9 +124,6 @@ class Members(NamedTuple):
     words: np.ndarray
     sizes: np.ndarray
     groups: np.ndarray
-    #: Who asks and who is asked; none where those outside the largest group ask all.
-    asks: np.ndarray | None = None
-    asked: np.ndarray | None = None
 
 
 def distances(m: Members, rows: np.ndarray, rule: Rule) -> np.ndarray:
@@ -163,35 +162,51 @@ def forest(m: Members, rule: Rule) -> np.ndarray:
     return np.sort(np.array(edges, np.int64).reshape(-1, 2), axis=1)
 
 
-def nearest_pairs(m: Members, most: int, rule: Rule) -> tuple[np.ndarray, bool]:
-    """The ``most`` nearest candidates between members of different groups; whether there are more.
-
-    In a whole list the members outside the largest group ask all: every such pair has one of them.
-    """
-    asks = m.groups != np.bincount(m.groups).argmax() if m.asks is None else m.asks
-    asked = np.ones(len(asks), bool) if m.asked is None else m.asked
-    asking = np.flatnonzero(asks)
-    pairs, far, cut = np.zeros((0, 2), np.int64), np.zeros(0, np.int32), False
-    step = max(1, CELLS_AT_ONCE // len(m.words))
-    for k in range(0, len(asking), step):
-        rows = asking[k : k + step]
-        bits = distances(m, rows, rule)
-        bits[m.groups[rows, None] == m.groups] = _FAR
-        other_way = asks & asked[rows, None] & (np.arange(len(asks)) < rows[:, None])
-        bits[~asked | other_way] = _FAR
-        a, b = np.nonzero(bits < _FAR)
-        pairs = np.concatenate([pairs, np.stack([rows[a], b], axis=1)])
-        far = np.concatenate([far, bits[a, b]])
-        if len(far) > most:
-            best = np.argpartition(far, most - 1)[:most]
-            pairs, far, cut = pairs[best], far[best], True
-    return np.sort(pairs, axis=1), cut
-
-
-CELL = ["key", "i", "j", "side", "node", "size", "code", "component"]
-#: what: 0 a pair, 1 a list too large for one piece, 2 a list with more candidates.
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set on the left shares with each on the right; the sets are sorted."""
+    if len(left) * len(right) <= FEW_PAIRS:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left]).reshape(len(left), -1)
+    found = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for k in range(0, len(found), HASHES_AT_ONCE):
+        part = found[k : k + HASHES_AT_ONCE]
+        sides = []
+        for sets in (left, right):
+            held = np.zeros((len(sets), len(part)), np.float32)
+            for row, x in enumerate(sets):
+                x = x[np.searchsorted(x, part[0]) : np.searchsorted(x, part[-1], "right")]
+                at = np.searchsorted(part, x)
+                held[row, at[part[at] == x]] = 1
+            sides.append(held)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def cross_links(m: Members, sets: list[np.ndarray], asks: np.ndarray, asked: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """Links between those who ask and those who are asked, of different groups: a spanning forest."""
+    group = m.groups.copy()
+    out: list[tuple[int, int]] = []
+    rows = np.flatnonzero(asks)
+    for k in range(0, len(rows), ASKING):
+        part = rows[k : k + ASKING]
+        near = (distances(m, part, rule) < _FAR) & asked & (group[part, None] != group)
+        who, whom = part[near.any(axis=1)], np.flatnonzero(near.any(axis=0))
+        if not len(who):
+            continue
+        both = shared_counts([sets[x] for x in who], [sets[x] for x in whom])
+        linked = 100 * both >= rule.percent * (m.sizes[who, None] + m.sizes[whom] - both)
+        linked &= near[np.ix_(near.any(axis=1), whom)]
+        for a, b in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+            a, b = int(who[a]), int(whom[b])
+            if group[a] != group[b]:
+                group[group == group[b]] = group[a]
+                out.append((a, b))
+    return out
+
+
+#: what: 0 a pair, 1 a list too large for one piece.
 FOUND = "key long, a binary, b binary, what int"
-_PAIR, _LARGE, _MORE = 0, 1, 2
+_PAIR, _LARGE = 0, 1
 
 
 def _found(keys: pa.Array, a: pa.Array, b: pa.Array, what: int) -> pa.RecordBatch:
@@ -199,39 +214,17 @@ def _found(keys: pa.Array, a: pa.Array, b: pa.Array, what: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([keys, a, b, kind], names=["key", "a", "b", "what"])
 
 
-def _marked(key: int, what: int) -> pa.RecordBatch:
-    nothing = pa.nulls(1, pa.binary())
-    return _found(pa.array([key], pa.int64()), nothing, nothing, what)
-
-
 def _codes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
 
 
-def _cell(cell: pa.Table, most: int | None, rule: Rule) -> Iterator[pa.RecordBatch]:
-    """What one list passes on: a forest, or its ``most`` nearest candidates a member."""
-    cell = cell.sort_by([("node", "ascending"), ("side", "ascending")])
-    sides = cell.column("side").to_numpy()
-    asks = asked = None
-    if sides.any():  # a member that asks and is asked is there twice
-        names = cell.column("node").to_pylist()
-        first = np.array([k for k in range(len(names)) if not k or names[k] != names[k - 1]])
-        asks, asked = np.maximum.reduceat(sides, first) == 1, sides[first] == 0
-        cell = cell.take(pa.array(first))
-    labels: dict[bytes, int] = {}
-    groups = np.array([labels.setdefault(x, len(labels)) for x in cell.column("component").to_pylist()])
-    if len(labels) < 2:
-        return
-    members = Members(_codes(cell.column("code")), cell.column("size").to_numpy(), groups, asks, asked)
-    key, nodes = cell.column("key")[0].as_py(), cell.column("node").combine_chunks()
-    if most is None:
-        pairs, cut = forest(members, rule), False
-    else:
-        pairs, cut = nearest_pairs(members, most * len(groups), rule)
+def _list(table: pa.Table, rule: Rule) -> pa.RecordBatch:
+    """The forest that one list passes on."""
+    table = table.sort_by("node")
+    members = Members(_codes(table.column("code")), table.column("size").to_numpy(), np.arange(table.num_rows))
+    pairs, nodes = forest(members, rule), table.column("node").combine_chunks()
     a, b = (nodes.take(pa.array(x)) for x in pairs.T)
-    yield _found(pa.array(np.full(len(pairs), key, np.int64)), a, b, _PAIR)
-    if cut:
-        yield _marked(key, _MORE)
+    return _found(pa.array(np.full(len(pairs), table.column("key")[0].as_py(), np.int64)), a, b, _PAIR)
 
 
 def _twos(table: pa.Table, at: np.ndarray, rule: Rule) -> pa.RecordBatch:
@@ -242,17 +235,15 @@ def _twos(table: pa.Table, at: np.ndarray, rule: Rule) -> pa.RecordBatch:
     near = np.bitwise_count(words).sum(axis=1, dtype=np.int32) <= rule.most_bits
     near &= (words.view(np.uint8) == 0).sum(axis=1) >= rule.shared_bytes
     near &= 100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m)
-    apart = pc.not_equal(first.column("component"), second.column("component"))
-    keep = pc.and_(pa.array(near), apart.combine_chunks() if isinstance(apart, pa.ChunkedArray) else apart)
-    first, second = (x.filter(keep).combine_chunks() for x in (first, second))
+    first, second = (x.filter(pa.array(near)).combine_chunks() for x in (first, second))
     a, b = first.column("node").combine_chunks(), second.column("node").combine_chunks()
     ahead = pc.less(a, b)
     return _found(first.column("key").combine_chunks(), pc.if_else(ahead, a, b), pc.if_else(ahead, b, a), _PAIR)
 
 
-def _lists(most: int | None, rule: Rule):
-    """Lists in order of their keys, one after another; of an undealt list that is too large
-    no more is held than shows that."""
+def _lists(rule: Rule):
+    """Lists in order of their keys, one after another; of one that is too large no more is
+    held than shows that, unless it is a block of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -261,39 +252,41 @@ def _lists(most: int | None, rule: Rule):
                 continue
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-            edges = _edges(table)
-            yield from _compared(table, edges[:-1], most, rule)
+            edges = _edges(table, ("key", "block"))
+            yield from _compared(table, edges[:-1], rule)
             rest = table.slice(edges[-2])
-            if rest.num_rows > rule.list_rows and rest.column("i")[0].as_py() < 0:
+            if rest.num_rows > rule.list_rows and rest.column("block")[0].as_py() < 0:
                 rest = rest.slice(0, rule.list_rows + 1)
         if rest is not None:
-            yield from _compared(rest, _edges(rest), most, rule)
+            yield from _compared(rest, _edges(rest, ("key", "block")), rule)
 
     return run
 
 
-def _edges(table: pa.Table) -> np.ndarray:
-    key, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-    new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+def _edges(table: pa.Table, columns: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(table.num_rows - 1, bool)
+    for c in columns:
+        new |= np.diff(table.column(c).to_numpy()) != 0
     return np.concatenate([[0], np.flatnonzero(new) + 1, [table.num_rows]])
 
 
-def _compared(table: pa.Table, edges: np.ndarray, most: int | None, rule: Rule) -> Iterator[pa.RecordBatch]:
+def _compared(table: pa.Table, edges: np.ndarray, rule: Rule) -> Iterator[pa.RecordBatch]:
     starts, sizes = edges[:-1], np.diff(edges)
-    undealt = table.column("i").to_numpy()[starts] < 0
-    two = (sizes == 2) & undealt
-    if two.any():
-        yield _twos(table, starts[two], rule)
-    for at, size, whole in zip(starts[~two].tolist(), sizes[~two].tolist(), undealt[~two].tolist(), strict=True):
-        if size > rule.list_rows and whole:
-            yield _marked(table.column("key")[at].as_py(), _LARGE)
-        elif size > 1:
-            yield from _cell(table.slice(at, size).combine_chunks(), most, rule)
+    whole = table.column("block").to_numpy()[starts] < 0
+    if (sizes == 2).any():
+        yield _twos(table, starts[sizes == 2], rule)
+    for at, size, undealt in zip(starts.tolist(), sizes.tolist(), whole.tolist(), strict=True):
+        if size > rule.list_rows and undealt:
+            nothing = pa.nulls(1, pa.binary())
+            yield _found(table.column("key").slice(at, 1).combine_chunks(), nothing, nothing, _LARGE)
+        elif size > 2:
+            yield _list(table.slice(at, size).combine_chunks(), rule)
 
 
-def _search(cells: DataFrame, most: int | None, rule: Rule, name: str) -> DataFrame:
-    together = cells.select(*CELL).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return written(together.mapInArrow(_lists(most, rule), FOUND), name)
+def _search(members: DataFrame, rule: Rule, name: str) -> DataFrame:
+    columns = members.select("key", "block", "node", "size", "code")
+    together = columns.repartition("key", "block").sortWithinPartitions("key", "block")
+    return written(together.mapInArrow(_lists(rule), FOUND), name)
 
 
 def shared_keys(classes: DataFrame, keys: Column) -> DataFrame:
@@ -308,94 +301,139 @@ def shared_keys(classes: DataFrame, keys: Column) -> DataFrame:
     return written(each.select("key", "short", *near).filter("before or behind").select("key", "short"), "shared_keys")
 
 
-def _members(shared: DataFrame, classes: DataFrame, joined: DataFrame | None = None) -> DataFrame:
-    """Members of lists with their component so far; two classes of one short name only make
-    members that no confirmation links."""
+def _members(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of lists; two classes of one short name only make members that no confirmation links."""
     coded = classes.select(F.xxhash64("node").alias("short"), "node", "size", "code")
-    members = shared.join(coded, "short").select("key", "node", "size", "code")
-    if joined is None:
-        return members.withColumn("component", F.col("node"))
-    members = members.join(joined.select("node", "component"), "node", "left")
-    return members.withColumn("component", F.coalesce("component", "node"))
+    return shared.join(coded, "short").select("key", "node", "size", "code")
 
 
-def _undealt(members: DataFrame) -> DataFrame:
-    return members.select("*", F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"))
+def _blocks(members: DataFrame, list_rows: int) -> DataFrame:
+    """Large lists cut into blocks."""
+    counted = members.groupBy("key").agg(F.ceil(F.count("*") / (list_rows // 2)).alias("blocks"))
+    dealt = members.join(written(counted, "blocks"), "key")
+    return dealt.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
 
 
-def _block(blocks: str) -> Column:
-    return F.pmod(F.xxhash64("node", "key"), F.col(blocks)).cast("int")
+# Confirmation
 
 
-def _diagonal(members: DataFrame, list_rows: int) -> DataFrame:
-    """Large lists cut into blocks, each a list of its own."""
-    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / (list_rows // 2)).cast("int").alias("blocks"))
-    dealt = members.join(written(blocks, "blocks"), "key")
-    return dealt.select("*", _block("blocks").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+def _judged(rule: Rule):
+    """Of rows (hub, salt, other, text), the hub's own text first, whether each other is linked to it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            hubs, others, linked = [], [], []
+            for h, other, text in zip(batch.column("hub").to_pylist(), batch.column("other").to_pylist(), batch.column("text"), strict=True):
+                hashes = shingle_set(text.as_py(), rule.shingle)
+                if other is None:
+                    hub, own = h, hashes
+                    continue
+                both = len(np.intersect1d(own, hashes, assume_unique=True))
+                hubs.append(hub)
+                others.append(other)
+                linked.append(100 * both >= rule.percent * (len(own) + len(hashes) - both))
+            a, b = pa.array(hubs, pa.binary()), pa.array(others, pa.binary())
+            ahead = pc.less(a, b)
+            columns = [pc.if_else(ahead, a, b), pc.if_else(ahead, b, a), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
 
-def _asked(members: DataFrame, list_rows: int) -> DataFrame:
-    """Large lists as cells: a block of the members outside the list's largest component (side 1)
-    with a block of all members.  A list whose members are all connected has no cell."""
-    members = written(members, "large_lists")
-    groups = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = groups.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"))
-    block = list_rows // 2
-    sized = largest.filter("most < n").select(
-        "key",
-        "largest",
-        F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("askers"),
-        F.ceil(F.col("n") / block).cast("int").alias("blocks"),
-    )
-    dealt = members.join(written(sized, "blocks"), "key")
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    own = [c for c in CELL if c not in ("i", "j", "side")]
-    asking = dealt.filter("component <> largest").withColumn("i", _block("askers")).select(*own, "i", every("blocks").alias("j"), F.lit(1).alias("side"))
-    asked = dealt.withColumn("j", _block("blocks")).select(*own, every("askers").alias("i"), "j", F.lit(0).alias("side"))
-    return asking.unionByName(asked)
+    return run
 
 
-# Confirmation
+def verdicts(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b, linked) of distinct pairs, saved.
+
+    A pair meets at the one of its classes that has more pairs, whose text is sent once for
+    ``HUB_PAIRS`` of them, so that a long text with many pairs is not repeated with each.
+    """
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("pairs"))
+    degree = written(degree, "degrees")
+    of = lambda c: degree.select(F.col("node").alias(c), F.struct("pairs", F.col("node").alias("name")).alias(f"{c}_rank"))
+    ranked = pairs.join(of("a"), "a").join(of("b"), "b")
+    hub, other = F.greatest("a_rank", "b_rank"), F.least("a_rank", "b_rank")
+    salt = F.pmod(F.xxhash64(other["name"]), F.ceil(hub["pairs"] / HUB_PAIRS)).cast("int")
+    met = written(ranked.select(hub["name"].alias("hub"), salt.alias("salt"), other["name"].alias("other")), "met")
+    nothing = F.lit(None).cast("binary")
+    first = met.select("hub", "salt").distinct().join(texts.withColumnRenamed("node", "hub"), "hub")
+    rest = met.join(texts.withColumnRenamed("node", "other"), "other")
+    rows = first.select("hub", "salt", nothing.alias("other"), "text").unionByName(rest.select("hub", "salt", "other", "text"))
+    ordered = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.asc_nulls_first("other"))
+    return written(ordered.select("hub", "other", "text").mapInArrow(_judged(rule), "a binary, b binary, linked boolean"), "verdicts")
+
+
+def texts_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, text) of some classes, saved; ``texts`` has one column, ``text``."""
+    keys = written(nodes.join(classes.select("node", "text_key"), "node"), "text_keys")
+    keyed = texts.select(text_key(F.col("text")).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = keyed.join(small_side(keys.select("text_key"), keys.count()), "text_key", "left_semi")
+    wanted = wanted.groupBy("text_key").agg(F.first("text").alias("text"))
+    return written(wanted.join(keys, "text_key").select("node", "text"), "texts")
+
 
+# Families
 
-@lru_cache(maxsize=64)
-def _cached_set(text: str, shingle: int) -> np.ndarray:
-    return shingle_set(text, shingle)
 
+def _in_cells(rule: Rule):
+    """Cells one after another: links between who asks and who is asked."""
 
-def _confirmed(rule: Rule):
-    @F.arrow_udf("boolean")
-    def confirmed(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for a, b in zip(left, right, strict=True):
-            x, y = _cached_set(a.as_py(), rule.shingle), _cached_set(b.as_py(), rule.shingle)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-        return pa.array(out, pa.bool_())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = _hashed(batch, rule)
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            edges = _edges(table, ("cell", "i", "j"))
+            for at, end in zip(edges[:-2].tolist(), edges[1:-1].tolist(), strict=True):
+                yield _cell_links(table.slice(at, end - at).combine_chunks(), rule)
+            rest = table.slice(edges[-2])
+        if rest is not None:
+            yield _cell_links(rest.combine_chunks(), rule)
 
-    return confirmed
+    return run
 
 
-def _verdicts(pairs: DataFrame, texts: DataFrame, rule: Rule, name: str) -> DataFrame:
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
-    both = pairs.join(left, "a").join(right, "b")
-    return written(both.select("a", "b", _confirmed(rule)("left_text", "right_text").alias("linked")), name)
+def _hashed(batch: pa.RecordBatch, rule: Rule) -> pa.Table:
+    """The rows with their shingle sets in place of their texts."""
+    sets = pa.array([shingle_set(x.as_py(), rule.shingle).tobytes() for x in batch.column("text")], pa.large_binary())
+    kept = [c for c in batch.schema.names if c != "text"]
+    return pa.Table.from_batches([batch]).select(kept).append_column("set", sets)
 
 
-def texts_of(pairs: DataFrame, classes: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(node, text) of the classes in pairs, those ``known`` already included; each is saved once."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    if known is not None:
-        nodes = nodes.join(known, "node", "left_anti")
-    keys = written(nodes.join(classes.select("node", "text_key"), "node"), "text_keys")
-    if known is not None and keys.isEmpty():
-        return known
-    keyed = texts.select(text_key(F.col("text")).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = keyed.join(small_side(keys.select("text_key"), keys.count()), "text_key", "left_semi")
-    wanted = wanted.groupBy("text_key").agg(F.first("text").alias("text"))
-    out = written(wanted.join(keys, "text_key").select("node", "text"), "texts")
-    return out if known is None else known.unionByName(out)
+def _cell_links(cell: pa.Table, rule: Rule) -> pa.RecordBatch:
+    cell = cell.sort_by([("node", "ascending"), ("side", "ascending")])
+    names, sides = cell.column("node").to_pylist(), cell.column("side").to_numpy()
+    first = np.array([k for k in range(len(names)) if not k or names[k] != names[k - 1]])
+    asks, asked = np.maximum.reduceat(sides, first) == 1, sides[first] == 0  # who does both is there twice
+    cell = cell.take(pa.array(first))
+    labels: dict[bytes, int] = {}
+    groups = np.array([labels.setdefault(x, len(labels)) for x in cell.column("component").to_pylist()])
+    members = Members(_codes(cell.column("code")), cell.column("size").to_numpy(), groups)
+    sets = [np.frombuffer(x, np.uint64) for x in cell.column("set").to_pylist()]
+    nodes = cell.column("node").combine_chunks()
+    pairs = np.sort(np.array(cross_links(members, sets, asks, asked, rule), np.int64).reshape(-1, 2), axis=1)
+    a, b = (nodes.take(pa.array(x)) for x in pairs.T)
+    return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+
+def _cells(families: DataFrame, rule: Rule) -> DataFrame:
+    """A block of the members outside their family's largest component (side 1) with a block of
+    all (side 0): (cell, i, j, side, node, size, code, component, text)."""
+    groups = families.groupBy("family", "component").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("family").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most")
+    )
+    blocks = lambda c: F.ceil(c / (rule.list_rows // 2)).cast("int")
+    sized = largest.select("family", "largest", blocks(F.col("n") - F.col("most")).alias("askers"), blocks(F.col("n")).alias("all"))
+    dealt = families.join(written(sized, "sized"), "family")
+    own = [F.xxhash64("family").alias("cell"), "node", "size", "code", "component", "text"]
+    block = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asking = dealt.filter("component <> largest").select(*own, block("askers").alias("i"), "all")
+    asking = asking.withColumn("j", every("all")).withColumn("side", F.lit(1)).drop("all")
+    asked = dealt.select(*own, block("all").alias("j"), "askers").withColumn("i", every("askers"))
+    return asking.unionByName(asked.withColumn("side", F.lit(0)).drop("askers"))
 
 
 def component_of(classes: DataFrame, keys: Column, texts: DataFrame, rule: Rule) -> DataFrame:
@@ -405,37 +443,31 @@ def component_of(classes: DataFrame, keys: Column, texts: DataFrame, rule: Rule)
     of; ``texts`` holds the texts themselves, those of every ``text_key``.
     """
     shared = shared_keys(classes, keys)
-    found = _search(_undealt(_members(shared, classes)), None, rule, "candidates")
+    found = _search(_members(shared, classes).withColumn("block", F.lit(-1)), rule, "candidates")
     large = found.filter(F.col("what") == _LARGE).select("key")
-    has_large = not large.isEmpty()
-    if has_large:
-        blocks = _diagonal(_members(shared.join(large, "key"), classes), rule.list_rows)
-        found = found.unionByName(_search(blocks, None, rule, "large_candidates"))
-    kept_texts, verdicts, joined, most = None, None, None, 1
-    while True:
-        pairs = found.filter(F.col("what") == _PAIR).select("a", "b").distinct()
-        fresh = pairs if verdicts is None else pairs.join(verdicts, ["a", "b"], "left_anti")
-        fresh = written(fresh, "pairs")
-        kept_texts = texts_of(fresh, classes, texts, kept_texts)
-        answers = _verdicts(fresh, kept_texts, rule, "verdicts")
-        verdicts = answers if verdicts is None else verdicts.unionByName(answers)
-        if joined is None or not answers.filter("linked").isEmpty():
-            joined = written(components(verdicts.filter("linked").select("a", "b")), "components")
-        if most == 1:  # of the forests those with a refused pair are unfinished, and all large lists
-            missed = found.join(answers.filter("not linked"), ["a", "b"], "left_semi").select("key")
-            unfinished, again = missed.distinct().join(large, "key", "left_anti"), large if has_large else None
-        else:
-            more = found.filter(F.col("what") == _MORE).select("key").distinct()
-            unfinished, again = more.join(large, "key", "left_anti"), more.join(large, "key", "left_semi") if has_large else None
-        unfinished = written(unfinished, "unfinished")
-        if unfinished.isEmpty() and (again is None or again.isEmpty()):
-            return joined
-        most *= MORE
-        asked = _undealt(_members(shared.join(unfinished, "key", "left_semi"), classes, joined))
-        found = _search(asked, most, rule, "candidates")
-        if again is not None:
-            cells = _asked(_members(shared.join(again, "key", "left_semi"), classes, joined), rule.list_rows)
-            found = found.unionByName(_search(cells, most, rule, "large_candidates"))
+    together = None
+    if not large.isEmpty():
+        members = written(_members(shared.join(large, "key"), classes), "large_lists")
+        found = found.unionByName(_search(_blocks(members, rule.list_rows), rule, "large_candidates"))
+        first = members.groupBy("key").agg(F.min("node").alias("a"))
+        together = members.join(first, "key").select("a", F.col("node").alias("b")).filter("a <> b")
+    pairs = written(found.filter(F.col("what") == _PAIR).select("a", "b").distinct(), "pairs")
+    connected = pairs if together is None else pairs.unionByName(together)
+    named = connected.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    kept_texts = texts_of(named, classes, texts)
+    answers = verdicts(pairs, kept_texts, rule)
+    links = answers.filter("linked").select("a", "b")
+    joined = written(components(links), "components")
+    if together is None and answers.filter("not linked").isEmpty():
+        return joined
+    families = components(connected).withColumnRenamed("component", "family").join(joined, "node", "left")
+    families = written(families.withColumn("component", F.coalesce("component", "node")), "families")
+    open_ = families.groupBy("family").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    unfinished = families.join(open_.filter("least <> most").select("family"), "family", "left_semi")
+    coded = unfinished.join(classes.select("node", "size", "code"), "node").join(kept_texts, "node")
+    cells = _cells(coded, rule).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    more = written(cells.mapInArrow(_in_cells(rule), "a binary, b binary"), "more_links")
+    return joined if more.isEmpty() else components(links.unionByName(more))
 
 
 def with_class(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:

@@ -87,12 +87,12 @@ def test_groups_around_the_threshold(spark, list_rows):
     assert found(odd_sketch.near_duplicates(docs, list_rows=list_rows)) == want
 
 
-def some_members(groups=None, asks=None, asked=None):
+def some_members():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 64, (1, 8), dtype=np.uint64)
     flips = rng.random((40, 512)) < 0.08
     words = base ^ np.packbits(flips, axis=1, bitorder="little").view(np.uint64)
-    return verified.Members(words, rng.integers(80, 100, 40), np.arange(40) if groups is None else groups, asks, asked)
+    return verified.Members(words, rng.integers(80, 100, 40), np.arange(40))
 
 
 def candidates(m, rule):
@@ -103,8 +103,6 @@ def candidates(m, rule):
         for b in range(a + 1, 40)
         if np.bitwise_count(m.words[a] ^ m.words[b]).sum() <= rule.most_bits
         and 100 * min(m.sizes[a], m.sizes[b]) >= rule.percent * max(m.sizes[a], m.sizes[b])
-        and m.groups[a] != m.groups[b]
-        and (m.asks is None or m.asks[a] and m.asked[b] or m.asks[b] and m.asked[a])
     }
 
 
@@ -132,20 +130,36 @@ def test_forest_spans_the_candidates(monkeypatch, table_rows):
     assert sorted(by_pair[e] for e in edges) == lengths
 
 
-@pytest.mark.parametrize("groups", [None, np.arange(40) % 3 // 2, np.zeros(40, int)])
-@pytest.mark.parametrize("sided", [False, True])
-def test_nearest_pairs(monkeypatch, groups, sided):
-    monkeypatch.setattr(verified, "CELLS_AT_ONCE", 100)
-    rule = verified.Rule(2, 90, 80)
-    m = some_members(groups, *(np.arange(40) % 2 == 1, np.arange(40) % 3 < 2) if sided else ())
-    wanted = sorted(candidates(m, rule))
-    far = {(a, b): d for d, a, b in wanted}
-    pairs, cut = verified.nearest_pairs(m, 1000, rule)
-    assert not cut and sorted(map(tuple, pairs.tolist())) == sorted(far)
-    if wanted:
-        pairs, cut = verified.nearest_pairs(m, 20, rule)
-        assert len(set(map(tuple, pairs.tolist()))) == 20
-        assert cut and sorted(far[tuple(x)] for x in pairs.tolist()) == [d for d, _, _ in wanted[:20]]
+@pytest.mark.parametrize("at_once", [8192, 16])
+def test_links_between_groups(monkeypatch, at_once):
+    """Links that a cell finds connect what all pairs of who asks and is asked connect."""
+    monkeypatch.setattr(verified, "HASHES_AT_ONCE", at_once)
+    monkeypatch.setattr(verified, "ASKING", 7)
+    rng = np.random.default_rng(at_once)
+    pools = rng.integers(0, 1 << 64, (4, 70), dtype=np.uint64)
+    sets = [np.unique(rng.choice(pools[k % 4], rng.integers(52, 66), replace=False)) for k in range(60)]
+    size = np.array([len(x) for x in sets])
+    groups, asks, asked = np.arange(60) // 3, rng.random(60) < 0.6, rng.random(60) < 0.8
+    rule = verified.Rule(2, 70, 512)
+    counts = verified.shared_counts(sets, sets)
+    assert counts.tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in sets] for x in sets]
+    members = verified.Members(np.zeros((60, 8), np.uint64), size, groups)
+    found = verified.cross_links(members, sets, asks, asked, rule)
+    wanted = [
+        (a, b)
+        for a in range(60)
+        for b in range(60)
+        if asks[a] and asked[b] and groups[a] != groups[b] and 100 * counts[a, b] >= 70 * (size[a] + size[b] - counts[a, b])
+    ]
+    assert set(found) <= set(wanted) and 0 < len(found) < 20
+
+    def joined(links):
+        label = groups.copy()
+        for a, b in links:
+            label[label == label[b]] = label[a]
+        return [frozenset(np.flatnonzero(label == x)) for x in label]
+
+    assert joined(found) == joined(wanted)
 
 
 @pytest.mark.parametrize(("size", "similar"), [(50, 0.8), (400, 0.8), (400, 0.9), (400, 0.3)])
