@@ -35,8 +35,9 @@ def technical_join(
     start: Bound = None,
     end: Bound = None,
     on: Sequence[str] = ("stock_id", "date"),
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Prices with all stored indicators, inner-joined on ``on``.
+    """Prices with all stored indicators, inner-joined on ``on``; ``extra`` price columns are kept.
 
     Where prices may hold several rows per stock and date, ``on=ROW_KEY`` pairs each with
     its own indicators only, and tables bucketed by that key still join in place.  The
@@ -51,9 +52,9 @@ def technical_join(
     ma = side(averages, [F.col(f"`{c}`").alias(w) for c, w in s.WIDE_MA.items()])
     bb = side(bands, [F.col(f"`{c}`").alias(w) for c, w in s.WIDE_BANDS.items()])
     ri = side(strength, [f"`{c}`" for c in s.RSI_COLUMNS])
-    base = prices.filter(within).select(*dict.fromkeys([*on, "stock_id", "ticker_symbol", "date", "close"]))
+    base = prices.filter(within).select(*dict.fromkeys([*on, "stock_id", "ticker_symbol", "date", "close", *extra]))
     joined = base.join(ma, on).join(bb, on).join(ri, on)
-    return joined.select(*[f"`{c}`" for c in s.VIEW_COLUMNS])
+    return joined.select(*[f"`{c}`" for c in [*extra, *s.VIEW_COLUMNS]])
 
 
 def view_range(as_of: Bound, days: int = s.VIEW_DAYS):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from quotewright import schemas as s
 
@@ -126,6 +126,31 @@ def upsert_by_year(df: DataFrame, path: str, key: str) -> int:
     return rows.count()
 
 
+def drop_years(spark: SparkSession, path: str, which: Column) -> list[str]:
+    """Remove the folders of some years of a table split by year: a condition on ``year``, null
+    for rows without a date.  The folders' names are returned."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [x.getPath().getName() for x in fs.listStatus(fs_path(path)) if x.isDirectory() and x.getPath().getName().startswith("year=")]
+    named = [(name, int(name[5:]) if name[5:].isdigit() else None) for name in folders]
+    rows = spark.createDataFrame(named, "folder string, year int").filter(which)
+    gone = [r["folder"] for r in rows.collect()]  # years
+    for name in gone:
+        fs.delete(fs_path(f"{path}/{name}"), True)
+    return gone
+
+
+def keep_in_year(stored: DataFrame, path: str, year: int, keep: Column) -> None:
+    """Write one year of a table split by year anew with only the rows to keep."""
+    spark = stored.sparkSession
+    kept = persisted(stored.filter((F.col("year") == year) & keep), "kept_in_year")
+    if kept.isEmpty():
+        drop_years(spark, path, F.col("year") == year)
+        return
+    ranged = kept.repartitionByRange("year", "stock_id", "date")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+
+
 def drop_view(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 

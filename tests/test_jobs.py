@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, same
 from quotewright import schemas as s
+from quotewright.functions.dates import as_date
+from quotewright.operators import changes, technical
 from quotewright.operators.indicators import lookback
 from quotewright.plans import refresh
 from quotewright.plans.batch import append_indicators
@@ -152,6 +154,93 @@ def test_refresh_job_computes_bars_without_a_key(spark, series, tmp_path):
         stored = landed
 
 
+STORED = ("prices", "averages", "bands", "strength", "view")
+
+
+def same_store(spark, left, right, names=STORED):
+    return [name for name in names if not same(left.read(spark, name), right.read(spark, name))]
+
+
+def test_a_refresh_reads_tails_instead_of_older_prices(spark, series, tmp_path):
+    """Bars of 2022 are refreshed although the folders of all earlier years are unreadable."""
+    full = series(a=values(900), b=values(890, 4), young=values(780, 5), new=values(0))
+    full = full.unionByName(series(new=values(900)).filter("date >= date'2022-02-01'"))
+    store = refresh.create_store(full.filter("date < date'2022-01-10'"), str(tmp_path / "store"))
+    whole = refresh.create_store(full, str(tmp_path / "whole"))
+    hidden = []
+    for name in STORED:
+        for year in (2020, 2021):
+            for file in (tmp_path / "store" / name / f"year={year}").glob("*.parquet"):
+                hidden.append((file, file.read_bytes()))
+                file.write_bytes(b"unreadable")
+                (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    new = full.filter("date >= date'2022-01-10'")
+    assert refresh.run_refresh(spark, store, new)["strength"] == new.count()
+    for file, content in hidden:
+        file.write_bytes(content)
+    assert same_store(spark, store, whole) == []
+
+
+@pytest.mark.parametrize("writes", [1, 3])
+def test_a_stopped_refresh_is_completed(spark, series, tmp_path, monkeypatch, writes):
+    """Whichever table it stopped before, the next run completes it, and adds what is new since."""
+    full = series(a=values(320), b=values(300, 4))
+    store = refresh.create_store(full.filter("date < date'2020-10-20'"), str(tmp_path / "store"))
+    append, left = writers.append_by_year, [writes]
+
+    def stopping(rows, path):
+        if not left[0]:
+            raise OSError("stopped")
+        left[0] -= 1
+        return append(rows, path)
+
+    monkeypatch.setattr(writers, "append_by_year", stopping)
+    with pytest.raises(OSError, match="stopped"):
+        refresh.run_refresh(spark, store, full.filter("date < date'2020-10-25'"))
+    monkeypatch.undo()
+    counts = refresh.run_refresh(spark, store, full)
+    assert counts["strength"] == full.filter("date >= date'2020-10-20'").count()
+    assert same_store(spark, store, refresh.create_store(full, str(tmp_path / "whole"))) == []
+    assert set(refresh.run_refresh(spark, store, full).values()) == {0}
+
+
+def test_the_view_slides_with_its_horizon(spark, series, tmp_path, monkeypatch):
+    """Forward inside a year and across years, with and without new bars, and back."""
+    monkeypatch.setattr(technical, "view_range", lambda as_of: (F.date_sub(as_date(as_of), 300), as_date(as_of)))
+    full = series(a=values(800), b=values(700, 4))
+    store = refresh.create_store(full.filter("date < date'2021-02-01'"), str(tmp_path / "store"), "2020-11-15")
+    steps = [("2020-12-20", "2021-02-01"), ("2021-03-10", "2021-04-01"), ("2021-12-01", "2022-03-20"), ("2021-06-01", "2022-03-20")]
+    for k, (as_of, until) in enumerate(steps):
+        landed = full.filter(f"date < date'{until}'")
+        refresh.run_refresh(spark, store, landed, as_of)
+        whole = refresh.create_store(landed, str(tmp_path / f"whole{k}"), as_of)
+        assert same_store(spark, store, whole) == []
+        covered = changes.coverage_of(changes.read_coverage(spark, store.coverage), refresh.STORED_VIEW).collect()
+        assert [str(r.end_date) for r in covered] == [as_of]
+        years = {int(x.name[5:]) for x in (tmp_path / "store" / "view").glob("year=2*")}
+        assert years == {r.y for r in whole.read(spark, "view").select(F.year("date").alias("y")).distinct().collect()}
+    # a late bar inside the horizon, and the horizon as it was
+    late = full.filter("stock_id = 'b' and date = date'2021-01-07'").withColumn("transaction_id", F.lit("late")).withColumn("close", F.lit(3.0))
+    landed = full.filter("date < date'2022-03-20'").unionByName(late)
+    refresh.run_refresh(spark, store, landed)
+    assert same_store(spark, store, refresh.create_store(landed, str(tmp_path / "late"), "2021-06-01")) == []
+
+
+def test_a_store_keeps_several_closes_a_day(spark, series, tmp_path):
+    bars = series(a=values(300), b=values(250, 4))
+    second = bars.withColumn("transaction_id", F.concat("transaction_id", F.lit("+"))).withColumn("close", F.col("close") + 1)
+    full = bars.unionByName(second)
+    copies = bars.withColumn("transaction_id", F.concat("transaction_id", F.lit("copy")))
+    store = refresh.create_store(full.filter("date < date'2020-08-01'").unionByName(copies.limit(50)), str(tmp_path / "store"))
+    assert refresh.run_refresh(spark, store, full.unionByName(copies))["prices"] == full.filter("date >= date'2020-08-01'").count()
+    wide = technical_frame(full)
+    assert same(store.read(spark, "view").select(*[f"`{c}`" for c in s.VIEW_COLUMNS]), wide.select(*[f"`{c}`" for c in s.VIEW_COLUMNS]))
+    # one more close on a day that is stored is a late bar
+    more = bars.filter("date = date'2020-05-05'").withColumn("transaction_id", F.lit("x")).withColumn("close", F.lit(9.5)).limit(1)
+    assert refresh.run_refresh(spark, store, full.unionByName(more))["prices"] == 1
+    assert same_store(spark, store, refresh.create_store(full.unionByName(more), str(tmp_path / "whole"))) == []
+
+
 def test_upsert_replaces_rows_without_a_date(spark, series, tmp_path):
     path = str(tmp_path / "p")
     undated = series(a=[1.0, 2.0]).withColumn("date", F.lit(None).cast("date"))
