@@ -14,6 +14,7 @@ START, END = "1998-01-01", "1999-12-31"
 AS_OF = "2001-11-04"
 STORED_BEFORE = "2001-01-01"
 LANDED_FROM = "2000-12-01"
+SLID_TO = "2007-08-20"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import AS_OF, END, LANDED_FROM, START, STORED_BEFORE
+from checks.fixtures import AS_OF, END, LANDED_FROM, SLID_TO, START, STORED_BEFORE
 from quotewright import schemas as s
 
 ORACLES: dict[str, str] = {}
@@ -217,13 +217,13 @@ for _name in ("technical_view", "batch_view"):
 oracle(
     "upsert_by_key",
     "bars",
-    f"""with busy as (select ticker_symbol as view_name, min(date) as start_date, max(date) as end_date
-                      from bars where {IN_RANGE} and volume > 120 group by 1),
-             every as (select ticker_symbol as view_name, min(date) as start_date, max(date) as end_date
-                       from bars group by 1)
-        select view_name, coalesce(busy.start_date, every.start_date) as start_date,
+    f"""with named as (select *, case when cast(stock_id as bigint) % 7 <> 0 then ticker_symbol end as view_name from bars),
+             busy as (select view_name, min(date) as start_date, max(date) as end_date
+                      from named where {IN_RANGE} and volume > 120 group by 1),
+             every as (select view_name, min(date) as start_date, max(date) as end_date from named group by 1)
+        select every.view_name, coalesce(busy.start_date, every.start_date) as start_date,
                coalesce(busy.end_date, every.end_date) as end_date
-        from every left join busy using (view_name)""",
+        from every left join busy on busy.view_name is not distinct from every.view_name""",
     "start_date end_date",
 )
 oracle(
@@ -291,7 +291,7 @@ oracle(
     "bars members companies",
     """with unrated as (select stock_id, ticker_symbol from companies where category_name is null)
        select 'price to rated company' as relation, stock_id || '|' || ticker_symbol as key_value, count(*) as rows
-       from bars join unrated using (stock_id, ticker_symbol) group by 1, 2
+       from bars join unrated using (stock_id, ticker_symbol) where cast(stock_id as bigint) % 7 <> 0 group by 1, 2
        union all
        select 'member to rated company', stock_id || '|' || ticker_symbol, count(*)
        from members join unrated using (stock_id, ticker_symbol) group by 1, 2""",
@@ -498,6 +498,33 @@ oracle(
     "date",
 )
 
+oracle(
+    "sliding_view",
+    "tech",
+    f"""select transaction_id, {VIEW}, date '{SLID_TO}' - {s.VIEW_DAYS} as start_date, date '{SLID_TO}' as end_date
+        from tech where date between date '{SLID_TO}' - {s.VIEW_DAYS} and date '{SLID_TO}'""",
+    "date start_date end_date",
+)
+oracle(
+    "store_of_ticks",
+    "tick_frames",
+    f"""select stock_id, ticker_symbol, date, close, {r2("sma_20")} as "ma_20_days_sma",
+               {r2(f"{r2(_ema(20))} + 2 * dev_20")} as "bb_20_upper_band", {r2(_rsi(20))} as "20_days_rsi"
+        from tick_frames""",
+    "date",
+)
+oracle(
+    "overlap_join",
+    "bars open_requests",
+    """select ticker_symbol, country, start_date, end_date, year, quarter,
+              greatest(coalesce(start_date, f), f) as overlap_start, least(coalesce(end_date, l), l) as overlap_end,
+              date_diff('day', greatest(coalesce(start_date, f), f), least(coalesce(end_date, l), l)) + 1 as days
+       from open_requests join (select ticker_symbol, year(date) as year, quarter(date) as quarter, min(date) as f, max(date) as l
+                                from bars group by 1, 2, 3) using (ticker_symbol)
+       where coalesce(start_date, f) <= l and coalesce(end_date, l) >= f""",
+    "start_date end_date overlap_start overlap_end",
+)
+
 _OPEN = "(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"
 oracle(
     "view_of_ticks",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,8 +14,10 @@ from quotewright.sources import writers
 
 
 def remove(table: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``table`` whose key is not listed."""
-    return table.join(keys.select(*on), list(on), "left_anti").select(*[f"`{c}`" for c in table.columns])
+    """Rows of ``table`` whose key is not listed; missing values of a key match each other."""
+    listed = keys.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(on)])
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(on)])
+    return table.join(listed, same, "left_anti").select(*[f"`{c}`" for c in table.columns])
 
 
 def one_each(rows: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -31,9 +31,10 @@ def foreign_key_violations(
 ) -> DataFrame:
     """Key values used by ``child`` that ``parent`` lacks, with the rows using them.
 
+    A key with a missing value refers to nothing, as in a database, and is no violation.
     Children are counted per key before the join, so a hot key joins as one row.
     """
-    used = child.groupBy(*keys).agg(F.count("*").alias("rows"))
+    used = child.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("rows"))
     orphans = used.join(parent.select(*keys), list(keys), "left_anti")
     values = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     return orphans.select(F.lit(relation).alias("relation"), values.alias("key_value"), "rows")

@@ -84,18 +84,19 @@ def explode_chart_json(documents: DataFrame, json_column: str = "chart_json") ->
 
     Epoch seconds become UTC dates and prices are rounded to cents.  A slot without
     a value stays NULL.  Sessions run in UTC, which is what makes the date a UTC date.
-    Every result and every quote of a document is read.  A document that isn't JSON fails
+    Every result and every quote of a document is read; timestamps without a quote are bars without values.  A document that isn't JSON fails
     the read; one without bars (``chart_rejects``) has none.
     """
     parsed = F.from_json(F.col(json_column), CHART_SCHEMA, {"mode": "FAILFAST"})
     results = documents.select("stock_id", "ticker_symbol", F.explode(parsed["chart"]["result"]).alias("_result"))
     result = F.col("_result")
     quotes = results.select(
-        "stock_id", "ticker_symbol", result["timestamp"].alias("_ts"), F.explode(result["indicators"]["quote"]).alias("_quote")
+        "stock_id", "ticker_symbol", result["timestamp"].alias("_ts"), F.explode_outer(result["indicators"]["quote"]).alias("_quote")
     )
+    nothing = F.array().cast("array<double>")
     slots = F.arrays_zip(
         F.col("_ts").alias("ts"),
-        *[F.col("_quote")[name].alias(name) for name in ("low", "open", "high", "volume", "close")],
+        *[F.coalesce(F.col("_quote")[name], nothing).alias(name) for name in ("low", "open", "high", "volume", "close")],
     )
     bars = quotes.select("stock_id", "ticker_symbol", F.inline(slots))
     day = F.timestamp_seconds("ts").cast("date")

@@ -109,3 +109,13 @@ def test_cascade_delete(spark):
     child = spark.createDataFrame([("t1", 1), ("t2", 2), (None, 3)], "transaction_id string, x int")
     gone = spark.createDataFrame([("t1",)], "transaction_id string")
     assert sorted(r.x for r in changes.cascade_delete(child, gone).collect()) == [2, 3]
+
+
+def test_missing_keys_match_each_other(spark):
+    """A key without a value is one key: replaced, kept and removed like any other."""
+    table = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    rows = spark.createDataFrame([(None, 5), ("b", 6)], "k string, v int")
+    seen = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert seen(changes.upsert(table, rows, ["k"])) == [("a", 2), ("b", 6), (None, 5)]
+    assert seen(changes.add_new(table, rows, ["k"])) == [("a", 2), ("b", 6), (None, 1)]
+    assert seen(changes.remove(table, rows, ["k"])) == [("a", 2)]
