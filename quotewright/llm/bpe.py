@@ -21,8 +21,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Words beyond this many bytes are merged exactly without speculation.
-LONG_WORD = 2048
+#: Words beyond this many bytes are merged in pieces, which are joined where that is proven right.
+LONG_WORD = 256
+#: Bytes of a piece, and tokens on either side of a border that are merged anew at first.
+PIECE, BESIDE = 32, 4
 #: Bytes of text that are encoded at once; a longer text is encoded alone.
 CHUNK_BYTES = 3 << 20
 #: Ids that are decoded at once; a longer sequence is decoded alone.
@@ -112,6 +114,7 @@ class ByteBpe:
         self.size = len(tokens)
         self._left, self._right = np.array(left, np.int32), np.array(right, np.int32)
         self._ids = np.array([names[t] for t in tokens], np.int32)
+        self._length = np.array([len(t) for t in tokens], np.int64)
         pairs = (self._left.astype(np.int64) << 32 | self._right)[256:]
         self._pairs = KeyTable(pairs, np.arange(256, self.size, dtype=np.int32))
         self.added = {x["content"].encode(): int(x["id"]) for x in spec.get("added_tokens") or []}
@@ -306,6 +309,56 @@ class ByteBpe:
         order = np.argsort(word, kind="stable")
         return np.bincount(word, minlength=len(start)), token[order].astype(np.int32)
 
+    def _merge_long(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of long words: short pieces at once, then neighbours joined level by
+        level, so that work grows with the length alone."""
+        cuts = [np.append(np.arange(a, b, PIECE), b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        if not cuts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        count, flat = self._merge(data, np.concatenate([c[:-1] for c in cuts]), np.concatenate([c[1:] for c in cuts]))
+        pieces = iter(np.split(flat, np.cumsum(count)[:-1]))
+        words = [[next(pieces) for _ in c[1:]] for c in cuts]
+        borders = [c[1:-1].tolist() for c in cuts]
+        while any(borders):
+            pairs, places = [], []
+            for word, between in zip(words, borders, strict=True):
+                pairs += zip(word[0::2], word[1::2], strict=False)
+                places += between[0::2]
+            joined = iter(self._joined(data, pairs, places))
+            words = [[next(joined) for _ in range(len(w) // 2)] + w[len(w) - len(w) % 2 :] for w in words]
+            borders = [between[1::2] for between in borders]
+        return np.array([len(w[0]) for w in words]), np.concatenate([w[0] for w in words])
+
+    def _joined(self, data: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], places: list[int]) -> list[np.ndarray]:
+        """The encoding of each pair of neighbouring encodings, which meet at a byte of ``data``.
+
+        Where the two tokens at the border are not compatible, some tokens on either side are
+        merged anew; that is right if what comes out is compatible with its neighbours.
+        """
+        out: list[np.ndarray] = [np.concatenate(pair) for pair in pairs]
+        fits = self._compatible(np.array([a[-1] for a, _ in pairs]), np.array([b[0] for _, b in pairs]))
+        left, reach = np.flatnonzero(~fits).tolist(), BESIDE
+        while left:
+            before = [pairs[k][0][-reach:] for k in left]
+            behind = [pairs[k][1][:reach] for k in left]
+            at = np.array([places[k] for k in left])
+            begin = at - np.array([self._length[x].sum() for x in before])
+            stop = at + np.array([self._length[x].sum() for x in behind])
+            count, flat = self._merge(data, begin, stop)
+            middle = np.split(flat, np.cumsum(count)[:-1])
+            rests = [(pairs[k][0][:-reach], pairs[k][1][reach:]) for k in left]
+            good = np.ones(len(left), bool)
+            for side, edges in ((0, [(r[0][-1:], m[:1]) for r, m in zip(rests, middle, strict=True)]), (1, [(m[-1:], r[1][:1]) for r, m in zip(rests, middle, strict=True)])):
+                has = np.array([len(r[side]) > 0 for r in rests])
+                if has.any():
+                    x, y = (np.concatenate([e[n] for e, h in zip(edges, has, strict=True) if h]) for n in (0, 1))
+                    good[has] &= self._compatible(x, y)
+            for k, (first, last), m, ok in zip(left, rests, middle, good, strict=True):
+                if ok:
+                    out[k] = np.concatenate([first, m, last])
+            left, reach = [k for k, ok in zip(left, good, strict=True) if not ok], 4 * reach
+        return out
+
     def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token counts and flat vocabulary ids of distinct words."""
         start, end = offsets[:-1].astype(np.int64), offsets[1:].astype(np.int64)
@@ -316,8 +369,10 @@ class ByteBpe:
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         bad = np.zeros(len(short), bool)
         bad[owner[inner[~self._compatible(flat[inner], flat[inner + 1])]]] = True
-        again = np.concatenate([short[bad], np.setdiff1d(np.arange(words), short, assume_unique=True)])
-        exact_count, exact = self._merge(data, start[again], end[again])
+        long = np.setdiff1d(np.arange(words), short, assume_unique=True)
+        again = np.concatenate([short[bad], long])
+        some = [self._merge(data, start[short[bad]], end[short[bad]]), self._merge_long(data, start[long], end[long])]
+        exact_count, exact = (np.concatenate(x) for x in zip(*some, strict=True))
         counts = np.zeros(words, np.int64)
         counts[short] = count
         counts[again] = exact_count

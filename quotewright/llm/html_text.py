@@ -65,6 +65,9 @@ ARTICLES = frozenset("article entry post story".split())
 LIKELY = frozenset("article body content entry main page post story text".split())
 PRIOR = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "td": 3.0, "ol": -3.0, "ul": -3.0, "dl": -3.0}
 
+#: Elements that an inline end tag in them leaves open.
+CLOSED_OUTSIDE = BLOCKS | {"td", "th"}
+
 _NEXT = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*+)|([!?/]))")
 _ATTRIBUTES = re.compile(r"""(?:[\s/]++(?:[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)?+)*+\s*+>""")
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
@@ -74,24 +77,48 @@ _COMMA = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("attributes", "children", "links", "parent", "points", "size", "tag")
+    __slots__ = ("attributes", "children", "holds", "links", "parent", "points", "size", "tag")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Node | str] = []
         self.points, self.size, self.links = 0.0, 0, 0
+        self.holds = tag in ("article", "h1", "main")  # and whoever holds one of these
+
+
+class Open:
+    """The open elements, and where those of each tag are: looking for the nearest one takes no
+    longer on a deep page."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def nearest(self, tags: frozenset[str] | set[str]) -> int:
+        """The innermost element of some tags; 0, where the root is, if there is none."""
+        return max((found[-1] for tag in tags if (found := self.places.get(tag))), default=0)
+
+    def cut(self, at: int) -> None:
+        """Close an element and all inside it."""
+        for node in self.nodes[at:]:
+            self.places[node.tag].pop()
+        del self.nodes[at:]
 
 
 def parse(page: str) -> Node:
     """The tree of a page; text is decoded."""
     root = Node("html", {}, None)
-    stack = [root]
+    stack = Open(root)
     at, end = 0, len(page)
     while at < end:
         found = _NEXT.search(page, at)
         begin = found.start() if found else end
         if begin > at:
-            stack[-1].children.append(html.unescape(page[at:begin]))
+            stack.nodes[-1].children.append(html.unescape(page[at:begin]))
         if not found:
             break
         comment, closing, name, other = found.groups()
@@ -118,8 +145,8 @@ def parse(page: str) -> Node:
     return root
 
 
-def _open(stack: list[Node], name: str, inside: str) -> None:
-    if name in ("html", "body") and any(x.tag == name for x in stack[:3]):
+def _open(stack: Open, name: str, inside: str) -> None:
+    if name in ("html", "body") and any(x.tag == name for x in stack.nodes[:3]):
         return
     if name in CLOSES_P:
         _close_up_to(stack, {"p"}, BLOCKS - {"p"})
@@ -131,35 +158,29 @@ def _open(stack: list[Node], name: str, inside: str) -> None:
     if inside and not inside.isspace():
         for key, value in _ATTRIBUTE.findall(inside):
             attributes.setdefault(key.lower(), html.unescape(value.strip("\"'")))
-    node = Node(name, attributes, stack[-1])
-    stack[-1].children.append(node)
+    node = Node(name, attributes, stack.nodes[-1])
+    stack.nodes[-1].children.append(node)
     if name not in VOID:
-        stack.append(node)
+        stack.push(node)
 
 
-def _close_up_to(stack: list[Node], kinds: set[str], border: frozenset[str] | set[str]) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in kinds:
-            del stack[k:]
-            return
-        if stack[k].tag in border:
-            return
+def _close_up_to(stack: Open, kinds: set[str], border: frozenset[str] | set[str]) -> None:
+    found = stack.nearest(kinds)
+    if found and found >= stack.nearest(border):
+        stack.cut(found)
 
 
-def _close(stack: list[Node], name: str) -> None:
-    block = name in BLOCKS or name in ("td", "th")
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == name:
-            del stack[k:]
-            return
-        if not block and (stack[k].tag in BLOCKS or stack[k].tag in ("td", "th")):
-            return  # an inline tag can't close the blocks above it
+def _close(stack: Open, name: str) -> None:
+    found = stack.nearest({name})
+    inline = name not in BLOCKS and name not in ("td", "th")
+    if found and not (inline and stack.nearest(CLOSED_OUTSIDE) > found):  # an inline tag can't close the blocks in it
+        stack.cut(found)
 
 
-def _raw(stack: list[Node], page: str, name: str, at: int) -> int:
+def _raw(stack: Open, page: str, name: str, at: int) -> int:
     """Skip text that isn't markup, up to its own end tag."""
     ended = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-    stack.pop()
+    stack.cut(len(stack.nodes) - 1)
     return ended.end() if ended else len(page)
 
 
@@ -186,12 +207,15 @@ def _unlikely(node: Node, in_article: bool) -> bool:
     words = _words(node)
     if tag in ("article", "main"):
         return bool(words & {"comment", "comments", "reply", "ad", "advert", "promo", "related"})
-    if words & WRAPPERS and any(x.tag in ("article", "h1", "main") for x in _in_order(node)):
+    if words & WRAPPERS and node.holds:
         return False
     return bool(words & UNLIKELY) or ("header" in words and not in_article and tag not in HEADINGS)
 
 
 def _prune(root: Node) -> None:
+    for node in reversed(_in_order(root)):
+        if node.holds and node.parent is not None:
+            node.parent.holds = True
     work = [(root, False)]
     while work:
         node, inside = work.pop()

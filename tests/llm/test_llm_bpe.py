@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -161,3 +162,21 @@ def test_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.decode(tokens.encode(docs, PATH), PATH).count() == 0
     assert token_counts.count_tokens(docs, str(tmp_path / "cache"), PATH).count() == 0
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "AbcXYZ", "etaoinshr", "a", "日本語のテキスト"])
+def test_long_words_in_pieces(letters):
+    """Words without a space of every length around the pieces' borders, against the library."""
+    rng = random.Random(len(letters))
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (255, 256, 257, 288, 289, 511, 1000, 4097, 20_000)]
+    texts.append(" ".join(texts))
+    found = [ids[a:b].tolist() for first, ids in bpe.load(PATH).encode(pa.array(texts)) for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert found == [Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_of_a_megabyte_takes_seconds():
+    rng = random.Random(4)
+    word = pa.array(["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))])
+    start = time.process_time()
+    assert bpe.load(PATH).counts(word).sum() > 100_000
+    assert time.process_time() - start < 20

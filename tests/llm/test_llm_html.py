@@ -109,3 +109,20 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, html string, raw string")
     assert [r.text for r in extract_text(pages).collect()] == ["", "x", "x"]
     assert extract_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 12_000 + "<li>x</li>" * 12_000,
+        "<b>" * 20_000 + "</i>" * 20_000,
+        '<div class="wrap">' * 6_000 + "<h1>a</h1>",
+        "<li><ul>" + "<div>" * 12_000 + "<li>x</li>" * 12_000,
+        "<p>" * 20_000 + "</div>" * 20_000,
+        "<table>" * 3_000 + "<td>x" * 9_000,
+    ],
+)
+def test_odd_pages_take_no_longer(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 5
