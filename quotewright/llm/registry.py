@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,29 +90,44 @@ def op8_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-#: What Python's ``split`` takes for white space, as extracted texts are made with it.
-_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+def text_digest(text: str | None) -> bytes | None:
+    """A digest of the whole text, whatever its white space; none if there is no text."""
+    plain = " ".join((text or "").split())
+    return hashlib.sha256(plain.encode()).digest() if plain else None
+
+
+def _digest_column(text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def digests(texts: pa.Array) -> pa.Array:
+        return pa.array([text_digest(x.as_py()) for x in texts], pa.binary())
+
+    return digests(text)
+
+
+def _shown_column(page: Column) -> Column:
+    """Digests of a page's main text with and without its title, struct<whole, body>."""
 
+    @F.arrow_udf("struct<whole:binary,body:binary>")
+    def digests(pages: pa.Array) -> pa.Array:
+        parts = [html_text.title_and_body(x.as_py()) for x in pages]
+        columns = [pa.array([text_digest(x) for x in texts], pa.binary()) for texts in (map(" ".join, parts), (b for _, b in parts))]
+        return pa.StructArray.from_arrays(columns, names=["whole", "body"])
 
-def _text_digest(text: Column) -> Column:
-    """A digest of the whole text, whatever its white space; null if there is no text."""
-    plain = F.trim(F.regexp_replace(text, _SPACE, " "))
-    return F.when(plain != "", F.sha2(plain, 256))
+    return digests(page)
 
 
 def page_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, n, bad) of every host: a page has the label of the documents whose whole text it shows.
 
-    A document may hold the page's title or not: the text with it comes first.
+    A document may hold the page's title or not: the text with it comes first.  Both tables
+    are read once, and digests are saved before anything looks at them.
     """
     host, _ = url_reputation.host_and_path(F.col("url"))
-    shown = pages.select(host.alias("host"), html_text.title_and_body_column(F.col("html")).alias("shown"))
-    whole, body = F.concat_ws(" ", "shown.title", "shown.body"), F.col("shown.body")
-    shown = shown.select("host", _text_digest(whole).alias("whole"), _text_digest(body).alias("body"))
-    shown = written(shown.groupBy("host", "whole", "body").agg(F.count("*").alias("times")), "shown")
+    shown = written(pages.select(host.alias("host"), _shown_column(F.col("html")).alias("shown")), "page_digests")
+    shown = written(shown.groupBy("host", "shown.whole", "shown.body").agg(F.count("*").alias("times")), "shown")
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
     rated = labels.filter(bad.isNotNull()).groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
-    texts = docs.select("doc_id", _text_digest(F.col("text")).alias("key")).filter("key is not null")
+    texts = written(docs.select("doc_id", _digest_column(F.col("text")).alias("key")), "text_digests").filter("key is not null")
     texts = written(texts.join(rated, "doc_id", "left").groupBy("key").agg(F.sum("bad").alias("bad"), F.count("bad").alias("n")), "texts")
     titled = texts.select(F.col("key").alias("whole"), F.lit(True).alias("titled"))
     key = F.when(F.col("titled"), F.col("whole")).otherwise(F.col("body"))

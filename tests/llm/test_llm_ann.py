@@ -55,6 +55,42 @@ def test_many_blocks(spark, monkeypatch):
     compare(ann.nearest_neighbours(rows, F.col("vec_id") % 20 == 0).collect(), exact(vectors), 0.97)
 
 
+def expected_rows(query_id, query, candidates, k=20):
+    scores = [(sum(a * b for a, b in zip(v, query, strict=True)), i) for i, v in candidates]  # every product rounded
+    ordered = sorted(((np.isnan(x), -x if not np.isnan(x) else 0, i) for x, i in scores))[:k]
+    return [(query_id, r, i, float("nan") if none else -x) for r, (none, x, i) in enumerate(ordered, 1)]
+
+
+def test_components_of_any_size(spark):
+    """Every finite vector is found, however large or small its components are."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(300):
+        vector = rng.standard_normal(8) * 10.0 ** rng.choice([-170, -60, 0, 0, 60, 120])
+        rows.append((k, vector.tolist()))
+    rows += [(1000 + k, (rng.standard_normal(8) * 1e200).tolist()) for k in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest_neighbours(table, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    right = total = 0
+    for query_id, query in rows:
+        if query_id % 20 == 0:
+            want = expected_rows(query_id, query, [x for x in rows if x[0] != query_id])
+            got = sorted(found[query_id])
+            assert [r for r, _, _ in got] == list(range(1, 21))
+            right, total = right + len({i for _, i, _ in got} & {i for _, _, i, _ in want}), total + 20
+    assert right >= 0.97 * total
+    small = spark.createDataFrame([(20, [1e60, 2.0]), (1, [1.0, 2.0]), (2, [1e-170, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r)[:3] for r in ann.nearest_neighbours(small, F.col("vec_id") == 20).collect()] == [(20, 1, 1), (20, 2, 2)]
+
+
+def test_rows_that_repeat_an_id_are_rows(spark):
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    found = ann.nearest_neighbours(table, F.col("vec_id") == 20).collect()
+    assert sorted(map(tuple, found)) == [(20, 1, 1, 4.0), (20, 2, 1, 3.0)]
+
+
 def test_unusable_ties_and_few(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
@@ -64,10 +100,9 @@ def test_unusable_ties_and_few(spark):
     ]
     table = spark.createDataFrame([(*r, 1.5, "x") for r in rows], "vec_id long, embedding array<float>, score double, code string")
     found = ann.nearest_neighbours(table, F.col("vec_id") % 20 == 0)
-    assert sorted(map(tuple, found.collect())) == [
-        (0, 1, 2, 3.0), (0, 2, 3, 3.0), (0, 3, 7, 3.0), (0, 4, 20, 0.0),
-        (20, 1, 0, 0.0), (20, 2, 2, -0.5), (20, 3, 3, -0.5), (20, 4, 7, -0.5),
-    ]
+    assert sorted(map(tuple, found.collect())) == sorted(row for asked, vector, n in (
+        (0, [1.0, 2.0], 0), (0, [1.0, 2.0], 1), (0, [9.0, 9.0], 2), (20, [-1.0, 0.5], 6),
+    ) for row in expected_rows(asked, vector, [(i, v) for k, (i, v) in enumerate(rows[:7]) if k != n]))
     assert ann.nearest_neighbours(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.nearest_neighbours(table.filter("vec_id = 3"), F.col("vec_id") % 20 == 0).count() == 0
 

@@ -9,7 +9,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from quotewright.llm import registry
+from quotewright.llm import html_text, registry
 from quotewright.llm import url_reputation as ur
 
 
@@ -103,6 +103,26 @@ def test_op9_whole_table(spark):
     assert all((h, True, "block") not in verdicts for h, free, v in verdicts if free and v == "allow")
 
 
+def test_outcomes_of_the_whole_table(spark):
+    """Every page's main text looked up among the labelled documents' whole texts."""
+    pages, docs, labels = (spark.read.parquet(f"{SMALL}/{x}.parquet") for x in ("pages", "documents", "labels"))
+    bad = {r.doc_id: int(r.toxic == 1 or r.quality == 0) for r in labels.collect()}
+    marks = {}
+    for r in docs.collect():
+        text = " ".join((r.text or "").split())
+        if text:
+            marks.setdefault(text, []).extend([bad[r.doc_id]] if r.doc_id in bad else [])
+    counts = {}
+    for r in pages.collect():
+        title, body = html_text.title_and_body(r.html)
+        whole, body = " ".join(f"{title} {body}".split()), " ".join(body.split())
+        found = marks.get(whole if whole in marks else body, [])
+        n, b = counts.get(parts(r.url)[0], (0, 0))
+        counts[parts(r.url)[0]] = (n + bool(found), b + (2 * sum(found) > len(found)))
+    assert {r.host: (r.n, r.bad) for r in registry.page_outcomes(pages, docs, labels).collect()} == counts
+    assert sum(n for n, _ in counts.values()) > 20 and sum(b for _, b in counts.values()) > 2
+
+
 def test_a_page_takes_the_label_of_its_whole_text_only(spark, tmp_path):
     """Texts that begin alike are different texts; a label of one says nothing about the others."""
     rest = " ".join(f"word{k}, said" for k in range(60))
