@@ -33,13 +33,13 @@ from quotewright.operators.chunks import small_side
 #: Classes compared with each other in one piece.
 LIST_ROWS = 2048
 #: Members of a cell that ask at once, and hashes whose holders are counted at once.
-ASKING, HASHES_AT_ONCE = 256, 8192
+ASKING, HASHES_AT_ONCE = 256, 2048
 #: So many pairs of sets are compared one by one.
 FEW_PAIRS = 64
 #: Pairs that one copy of a text is sent for.
 HUB_PAIRS = 4096
 #: Distinct words whose hashes a worker keeps.
-WORDS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 16
 #: From so many equal rows on, a key is joined by broadcast; there are at most rows / HOT_ROWS of these.
 HOT_ROWS = 100_000
 HOT_KEYS = 100_000
