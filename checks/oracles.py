@@ -200,6 +200,20 @@ ORACLES["request_symbols_split"] = """
            case when position = 0 then s_name else 'X' || cast(s_suppkey as varchar) end as ticker_symbol
     from supplier cross join (values (0), (1)) t(position)"""
 
+oracle(
+    "csv_rejects",
+    "bars",
+    """select case cast(stock_id as bigint) % 6 when 0 then 'good' when 1 then 'date' when 2 then 'volume' when 5 then 'no volume'
+                  else 'fields' end as cause, count(*) as rows,
+              case when min(cast(stock_id as bigint) % 6) in (0, 5) then cast(round(sum(close), 0) as bigint) end as closes
+       from bars group by 1""",
+)
+oracle(
+    "publish_batches",
+    "bars",
+    f"select {PRICES}, cast(year(date) as varchar) as batch from bars where year(date) not in (1996, 1997)",
+    "date",
+)
 oracle("append_prices", "stored landed", f"select {PRICES} from stored union all select {PRICES} from landed", "date")
 oracle("append_with_indicators", "tech", f"select {VIEW} from tech", "date")
 oracle("split_moving_averages", "tech", f"select {KEYS}, {NARROW_MA} from tech", "date")

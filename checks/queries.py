@@ -79,6 +79,44 @@ def csv_roundtrip(spark, sf_dir):
     return readers.read_price_csv(spark, path)
 
 
+@query
+def csv_rejects(spark, sf_dir):
+    """Price files of which some stocks' lines are damaged: rows by cause, those that parse included."""
+    path = fresh_path(spark, "price_csv")
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in s.BARS.fieldNames()}
+    kind = F.col("stock_id").cast("bigint") % 6
+    texts["date"] = F.when(kind == 1, F.concat(F.lit("on "), texts["date"])).otherwise(texts["date"])
+    texts["volume"] = F.when(kind == 2, F.lit("many")).when(kind == 5, F.lit("")).otherwise(texts["volume"])
+    line = F.concat_ws(",", *texts.values())
+    line = F.when(kind == 3, F.substring_index(line, ",", 4)).when(kind == 4, F.concat(line, F.lit(",7"))).otherwise(line)
+    fx.bars(spark, sf_dir).select(line.alias("line")).write.text(path)
+    rows, rejects = readers.split_price_csv(spark, path, header=False)
+    good = rows.groupBy(F.when(F.col("volume").isNull(), "no volume").otherwise("good").alias("cause"))
+    found = good.agg(F.count("*").alias("rows"), F.sum("close").alias("closes"))
+    bad = rejects.groupBy("cause").agg(F.count("*").alias("rows"), F.lit(None).cast("double").alias("closes"))
+    return found.unionByName(bad).withColumn("closes", F.round("closes", 0).cast("bigint"))
+
+
+@query
+def publish_batches(spark, sf_dir):
+    """A batch a year, one of which repeats bars and one of which lacks dates: what the table holds."""
+    path = fresh_path(spark, "batches")
+    bars = prices(spark, sf_dir)
+    years = [r["year"] for r in bars.select(F.year("date").alias("year")).distinct().orderBy("year").collect()]
+    for year in years:
+        batch = bars.filter(F.year("date") == year)
+        if year == 1996:
+            batch = batch.unionByName(batch.filter("stock_id = '1'"))
+        if year == 1997:
+            batch = batch.withColumn("date", F.when(F.col("stock_id") != "2", F.col("date")))
+        for _ in range(2):  # a replay
+            try:
+                writers.publish_batch(batch, path, str(year), s.PRICES, ["transaction_id"], ["transaction_id", "date"])
+            except writers.BadBatch:
+                pass
+    return writers.read_batches(spark, path, s.PRICES)
+
+
 @query
 def chart_json_explode(spark, sf_dir):
     """Chart documents taken apart into bars again."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quotewright import schemas as s
 from quotewright.functions.numeric import round2
+from quotewright.sources import writers
 
 
 def read_table(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
@@ -52,6 +53,29 @@ def read_price_csv(spark: SparkSession, path: str, schema: T.StructType = s.BARS
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def split_price_csv(
+    spark: SparkSession, path: str, schema: T.StructType = s.BARS, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Price files, read once: rows in the layout, and rejects.
+
+    A reject has its line and a cause: ``fields`` for too few or too many fields, else the first
+    column whose value doesn't parse.  An empty field is a missing value.  Rows and
+    rejects come from one saved table and add up to the lines read.
+    """
+    fields = [T.StructField(f"_{f.name}", s.STRING) for f in schema]
+    texts = spark.read.schema(T.StructType([*fields, T.StructField("_line", s.STRING)])).option("header", header)
+    lines = texts.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
+    cause = F.when(F.col("_line").isNotNull(), "fields")
+    for f in schema:
+        text = F.col(f"_{f.name}")
+        cause = cause.when(text.isNotNull() & text.try_cast(f.dataType).isNull(), f.name)
+    values = [F.col(f"_{f.name}").try_cast(f.dataType).alias(f.name) for f in schema]
+    whole = F.coalesce("_line", F.concat_ws(",", *[F.coalesce(f"_{f.name}", F.lit("")) for f in schema]))
+    saved = writers.persisted(lines.select(*values, whole.alias("_line"), cause.alias("_cause")), "csv_lines")
+    rejects = saved.filter("_cause is not null").select(F.col("_line").alias("line"), F.col("_cause").alias("cause"))
+    return saved.filter("_cause is null").select(*schema.fieldNames()), rejects
+
+
 def price_rows(
     spark: SparkSession, rows: Iterable, stock_id: str, ticker_symbol: str, text: bool = False
 ) -> DataFrame:

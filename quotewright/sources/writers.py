@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from quotewright import schemas as s
 
@@ -23,6 +25,54 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> int:
     return written.get["rows"]
 
 
+class BadBatch(ValueError):
+    """A batch that was not published, with what was measured."""
+
+    def __init__(self, batch: str, measured: Mapping[str, int]) -> None:
+        super().__init__(f"batch {batch} was not published: {dict(measured)}")
+        self.measured = dict(measured)
+
+
+def publish_batch(
+    df: DataFrame, path: str, batch: str, schema: T.StructType, unique: Sequence[str], required: Sequence[str] = ()
+) -> dict[str, int]:
+    """Add a batch to a table of folders ``batch=<name>`` if its rows are sound; what was measured.
+
+    Rows, rows that repeat the key ``unique`` and rows without a value of ``required`` (by default,
+    of the key) are counted by the job that writes the batch beside the table.  Only a
+    sound batch is moved into it, by renaming one folder; of another the table shows nothing.
+    A batch that is there already stays as it is, so a replay adds nothing.
+    """
+    spark = df.sparkSession
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    fs, target = of(path).getFileSystem(spark._jsc.hadoopConfiguration()), of(f"{path}/batch={batch}")
+    if fs.exists(target):
+        return {"rows": 0, "repeated": 0, "missing": 0}
+    measured = Observation("batch")
+    rank = F.row_number().over(Window.partitionBy(*unique).orderBy(F.lit(0)))
+    lacking = functools.reduce(Column.__or__, [F.col(c).isNull() for c in required or unique])
+    rows = s.conform(df, schema).withColumn("_rank", rank).observe(
+        measured,
+        F.count("*").alias("rows"),
+        F.count_if(F.col("_rank") > 1).alias("repeated"),
+        F.count_if(lacking).alias("missing"),
+    )
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"  # readers pass over names that begin so
+    rows.drop("_rank").write.parquet(staged)
+    found = dict(measured.get)
+    if found["repeated"] or found["missing"]:
+        fs.delete(of(staged), True)
+        raise BadBatch(batch, found)
+    if not fs.rename(of(staged), target):
+        raise OSError(f"batch {batch} could not be moved into {path}")
+    return found
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The published batches, with the column ``batch`` last."""
+    return spark.read.schema(T.StructType([*schema, T.StructField("batch", s.STRING)])).parquet(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append") -> None:
     df.write.jdbc(url, table, mode=mode, properties=dict(properties))
 

@@ -171,3 +171,37 @@ def test_bucketed_tables_join_without_a_shuffle(series, spark, tmp_path):
 def test_symbol_lists(spark):
     df = spark.createDataFrame([(1, " A ,B,  C")], "k int, ticker_symbols string")
     assert [tuple(r) for r in readers.split_symbols(df, keep=["k"]).collect()] == [(1, 0, "A"), (1, 1, "B"), (1, 2, "C")]
+
+
+def test_csv_rows_and_rejects_add_up(spark, tmp_path):
+    lines = [
+        "date,low,open,high,volume,close", "2020-01-02,1.0,2.0,3.0,4,5.0", "2020-13-45,1.0,2.0,3.0,4,5.0", "2020-01-03,,,,,",
+        "2020-01-04,1.0,2.0,3.0,4.5,5.0", "2020-01-05,1.0,2.0", "2020-01-06,1.0,2.0,3.0,4,5.0,6", "2020-01-07,1.0,x,3.0,4,5.0",
+        '"2020-01-08","1.0",2.0,3.0,4,5.0', "2020-01-09,1.0,2.0,3.0,99999999999999999999,5.0",
+    ]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    rows, rejects = readers.split_price_csv(spark, str(tmp_path / "a.csv"))
+    assert rows.schema == s.BARS
+    assert sorted(str(r.date) for r in rows.collect()) == ["2020-01-02", "2020-01-03", "2020-01-08"]
+    causes = sorted((r.cause, r.line[:10]) for r in rejects.collect())
+    assert causes == [
+        ("date", "2020-13-45"), ("fields", "2020-01-05"), ("fields", "2020-01-06"), ("open", "2020-01-07"),
+        ("volume", "2020-01-04"), ("volume", "2020-01-09"),
+    ]
+    assert rows.count() + rejects.count() == len(lines) - 1
+
+
+def test_a_bad_batch_is_not_published(spark, series, tmp_path):
+    path, bars = str(tmp_path / "t"), series(a=[1.0, 2.0, 3.0])
+    good = writers.publish_batch(bars, path, "one", s.PRICES, ["transaction_id"])
+    assert good == {"rows": 3, "repeated": 0, "missing": 0}
+    assert writers.publish_batch(bars, path, "one", s.PRICES, ["transaction_id"])["rows"] == 0
+    for bad, measured in (
+        (bars.unionByName(bars.limit(1)), {"rows": 4, "repeated": 1, "missing": 0}),
+        (bars.withColumn("transaction_id", F.lit(None)), {"rows": 3, "repeated": 2, "missing": 3}),
+    ):
+        with pytest.raises(writers.BadBatch, match="two") as error:
+            writers.publish_batch(bad, path, "two", s.PRICES, ["transaction_id"])
+        assert error.value.measured == measured
+    assert writers.read_batches(spark, path, s.PRICES).groupBy("batch").count().collect() == [("one", 3)]
+    assert sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=one"]
