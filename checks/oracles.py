@@ -200,6 +200,20 @@ ORACLES["request_symbols_split"] = """
            case when position = 0 then s_name else 'X' || cast(s_suppkey as varchar) end as ticker_symbol
     from supplier cross join (values (0), (1)) t(position)"""
 
+oracle(
+    "watchlist_changes",
+    "watchlists members home",
+    """with asked as (select watchlists.*, stock_id as home, case when stock_id is not null then user_id % 4 end as kind
+                      from watchlists left join home using (user_id)),
+            held as (select watchlist_id, stock_id from asked join members using (watchlist_id)
+                     where kind is null or kind = 0 or (kind = 3 and stock_id <> home)
+                     union all select watchlist_id, home from asked where kind = 2),
+            counted as (select watchlist_id, count(*) as n, min(stock_id) as least, max(stock_id) as most from held group by 1)
+       select watchlist_id, case when kind = 2 then user_id + 1 else user_id end as user_id,
+              watchlist_name || case kind when 0 then ' renamed' when 2 then ' anew' else '' end as watchlist_name,
+              coalesce(n, 0) as n, least, most
+       from asked left join counted using (watchlist_id) where kind is null or kind <> 1""",
+)
 oracle(
     "csv_rejects",
     "bars",

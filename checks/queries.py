@@ -16,7 +16,7 @@ from checks import fixtures as fx
 from quotewright import schemas as s
 from quotewright.functions.dates import as_date, in_range, overlaps
 from quotewright.functions.numeric import round2
-from quotewright.operators import changes, cleaning, history, indicators, quality, ranges, technical
+from quotewright.operators import changelog, changes, cleaning, history, indicators, quality, ranges, technical
 from quotewright.plans import batch, bootstrap, refresh as refreshing, resolve as resolving
 from quotewright.plans.indicators import technical_frame as wide_frame
 from quotewright.sources import readers, writers
@@ -667,6 +667,34 @@ def watchlist_replace(spark, sf_dir):
     return changes.replace_members(fx.members(spark, sf_dir), ids, replacement)
 
 
+@query
+def watchlist_changes(spark, sf_dir):
+    """Changes of every kind to every list in one batch, many of them without effect: what is left."""
+    lists, members = fx.watchlists(spark, sf_dir), writers.persisted(fx.members(spark, sf_dir), "members")
+    home = _home_stock(spark, sf_dir).select("user_id", "stock_id", "ticker_symbol")
+    known = writers.persisted(lists.join(home, "user_id"), "known_lists")
+    kind, stranger = F.col("user_id") % 4, F.col("user_id") + 1
+
+    def change(seq, of, op, user, name=None):
+        return known.filter(kind == of).select(
+            F.lit(seq).cast("long").alias("seq"), F.lit(op).alias("op"), "watchlist_id", user.alias("user_id"),
+            (F.lit(None).cast("string") if name is None else F.concat("watchlist_name", F.lit(name))).alias("watchlist_name"),
+            "stock_id", "ticker_symbol",
+        )
+
+    owner = F.col("user_id")
+    steps = [
+        change(1, 0, "rename", owner, " renamed"), change(2, 0, "delete", stranger), change(3, 0, "rename", stranger, " stolen"),
+        change(1, 1, "delete", owner), change(2, 1, "add", owner), change(3, 1, "rename", owner, " gone"),
+        change(1, 2, "delete", owner), change(2, 2, "create", stranger, " anew"), change(3, 2, "add", stranger),
+        change(4, 2, "drop", owner), change(5, 2, "create", owner, " twice"),
+        change(1, 3, "add", stranger), change(2, 3, "add", owner), change(3, 3, "drop", owner),
+    ]
+    after, held = changelog.apply_changes(lists, members, functools.reduce(DataFrame.unionByName, reversed(steps)))
+    counted = held.groupBy("watchlist_id").agg(F.count("*").alias("n"), F.min("stock_id").alias("least"), F.max("stock_id").alias("most"))
+    return after.join(counted, "watchlist_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 # --- jobs ---
 
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 
 from quotewright import schemas as s
 from quotewright.functions.dates import as_date
-from quotewright.operators import changes
+from quotewright.operators import changelog, changes
 
 
 @pytest.fixture
@@ -119,3 +120,43 @@ def test_missing_keys_match_each_other(spark):
     assert seen(changes.upsert(table, rows, ["k"])) == [("a", 2), ("b", 6), (None, 5)]
     assert seen(changes.add_new(table, rows, ["k"])) == [("a", 2), ("b", 6), (None, 1)]
     assert seen(changes.remove(table, rows, ["k"])) == [("a", 2)]
+
+
+def step_by_step(lists, members, feed):
+    lists, members = {w: (u, n) for w, u, n in lists}, {(w, x): t for w, x, t in members}
+    for _, op, w, u, n, x, t in sorted(feed, key=lambda r: r[0]):
+        if op == "create":
+            if w not in lists and u is not None:
+                lists[w] = (u, n)
+        elif w in lists and lists[w][0] == u:
+            if op == "rename":
+                lists[w] = (u, n)
+            elif op == "delete":
+                del lists[w]
+                members = {k: v for k, v in members.items() if k[0] != w}
+            elif op == "add":
+                members[w, x] = t
+            else:
+                members.pop((w, x), None)
+    return sorted((w, u, n) for w, (u, n) in lists.items()), sorted((w, x, t) for (w, x), t in members.items())
+
+
+def test_changes_of_all_kinds_in_their_order(spark):
+    rng = random.Random(8)
+    lists = [(f"w{k}", k % 3, f"n{k}") for k in range(6)]
+    members = [(f"w{k % 6}", f"s{k}", f"T{k}") for k in range(18)]
+    ops = ["create", "rename", "delete", "add", "add", "add", "drop"]
+    feed = [
+        (k, rng.choice(ops), f"w{rng.choice((0, 0, 0, 1, 2, 7, 8))}", rng.choice((0, 1, 2, None)), f"m{k}", f"s{rng.randrange(20)}", f"U{k}")
+        for k in range(400)
+    ]
+    rng.shuffle(feed)
+    tables = (
+        spark.createDataFrame(lists, "watchlist_id string, user_id long, watchlist_name string"),
+        spark.createDataFrame(members, "watchlist_id string, stock_id string, ticker_symbol string"),
+        spark.createDataFrame(feed, changelog.CHANGES).repartition(5),
+    )
+    after = [sorted(map(tuple, df.collect())) for df in changelog.apply_changes(*tables)]
+    assert tuple(after) == step_by_step(lists, members, feed)
+    empty = changelog.apply_changes(*tables[:2], tables[2].limit(0))
+    assert [sorted(map(tuple, df.collect())) for df in empty] == [sorted(lists), sorted(members)]
