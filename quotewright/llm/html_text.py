@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewright.llm.common import shipped
+
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 NEVER = frozenset(
@@ -392,4 +394,5 @@ def title_and_body_column(page: Column) -> Column:
 
 def extract_text(pages: DataFrame, html_column: str = "html", into: str = "text") -> DataFrame:
     """Add the main text of every page."""
+    shipped(pages.sparkSession)
     return pages.withColumn(into, text_column(pages[html_column]))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewright.llm import bpe
-from quotewright.llm.common import unused, written
+from quotewright.llm.common import shipped, unused, written
 
 CAPACITY = 2048
 #: Documents of a block; bounds the memory and time of a task, not the corpus.
@@ -69,6 +69,7 @@ def pieces_column(text: Column, vocabulary: str, capacity: int = CAPACITY, separ
 
 def cut_documents(docs: DataFrame, vocabulary: str, text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row for each piece: the other columns, then piece, start, length and ids."""
+    shipped(docs.sparkSession)
     (found,) = unused(docs, "found_piece")
     kept = [f"`{c}`" for c in docs.columns if c != text and c not in ("piece", "start", "length", "ids")]
     rows = docs.select(*kept, F.explode(pieces_column(docs[text], vocabulary, capacity)).alias(found))
@@ -262,6 +263,7 @@ def _bins(packed: DataFrame) -> int:
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to rows whose ``length`` is between 1 and ``capacity``."""
+    shipped(pieces.sparkSession)
     key, packed_key, sequence, place = unused(pieces, "piece_key", "packed_key", "packed_sequence", "packed_offset")
     placed = written(pieces.withColumn(key, F.monotonically_increasing_id()), "pieces")
     small = placed.filter(F.col(length) < capacity)

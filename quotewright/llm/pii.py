@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import unused
+from quotewright.llm.common import shipped, unused
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 BASE = KINDS[:4]
@@ -197,7 +197,8 @@ def spans_column(text: Column) -> Column:
 
 
 def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
-    """Add the spans of a text column."""
+    """Add the spans of a text column, in place of any column of that name."""
+    shipped(docs.sparkSession)
     return docs.withColumn(into, spans_column(docs[text]))
 
 
@@ -218,6 +219,7 @@ def mask(text: str, found: list[tuple[str, int, int, float]]) -> str:
 
 def mask_pii(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """Replace personal data in a text column; where a text changes, its length follows."""
+    shipped(docs.sparkSession)
 
     @F.arrow_udf("string")
     def masked(texts: pa.Array) -> pa.Array:

@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotewright.llm.common import unused, written
+from quotewright.llm.common import shipped, unused, written
 
 #: Consecutive rows of a file that are permuted together.
 BLOCK_ROWS = 1 << 16
@@ -134,6 +134,7 @@ def _placed(rows: DataFrame, file: str, row: str) -> DataFrame | None:
 def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 0, shard: str = "shard", slot: str = "slot") -> DataFrame:
     """All columns, then the shard from 0 and the slot in it from 0, without gaps; columns
     of those two names are replaced."""
+    shipped(rows.sparkSession)
     file, row, deal_to, cell, key, first, to, of = unused(
         rows, "file_", "row_", "deal_", "cell_", "key_", "first_", "to_", "of_"
     )

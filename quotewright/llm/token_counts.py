@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm import bpe
-from quotewright.llm.common import unused
+from quotewright.llm.common import shipped, unused
 
 CACHE = "content_digest string, tokenizer_digest string, n_tokens long"
 
@@ -73,6 +73,7 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text", count: str = "n_tokens") -> DataFrame:
     """Add the token count of every row, and append what was missing to the cache."""
     spark = docs.sparkSession
+    shipped(spark)
     version = tokenizer_digest(tokenizer)
     content = F.coalesce(docs[text].cast("string"), F.lit(""))
     digest = F.sha2(content, 256)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewright.llm import bpe
+from quotewright.llm.common import shipped
 
 
 def ids_column(text: Column, vocabulary: str) -> Column:
@@ -48,9 +49,11 @@ def text_column(ids: Column, vocabulary: str) -> Column:
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the token ids of a text column."""
+    shipped(docs.sparkSession)
     return docs.withColumn(ids, ids_column(docs[text], vocabulary))
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text of a column of token ids."""
+    shipped(docs.sparkSession)
     return docs.withColumn(text, text_column(docs[ids], vocabulary))

@@ -124,3 +124,15 @@ def test_masks_replace_spans_and_nothing_else(spark):
 
 def test_overlapping_spans_give_one_mark():
     assert pii.mask("0123456789", [("card", 2, 6, 1.0), ("phone", 4, 8, 1.0)]) == "01[CARD]89"
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    rows = [(1, "mail a@b.cc", "old", "x"), (2, None, "old", "y"), (None, "", "old", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pii string, masked_text string")
+    found = pii.find_pii(docs)
+    assert sorted(found.columns) == sorted(docs.columns)
+    spans = {r.doc_id: [(x["kind"], x["start"], x["end"]) for x in r.pii] for r in found.collect()}
+    assert spans == {1: [("email", 5, 11)], 2: [], None: []}
+    masked = {r.doc_id: (r.text, r.pii, r.masked_text) for r in pii.mask_pii(docs).collect()}
+    assert masked == {1: ("mail [EMAIL]", "old", "x"), 2: (None, "old", "y"), None: ("", "old", None)}
+    assert pii.find_pii(docs.limit(0)).count() == pii.mask_pii(docs.limit(0)).count() == 0
