@@ -38,6 +38,8 @@ ASKING, HASHES_AT_ONCE = 256, 2048
 FEW_PAIRS = 64
 #: Pairs that one copy of a text is sent for.
 HUB_PAIRS = 4096
+#: Classes whose connections a task holds.
+NODES_HELD = 1 << 18
 #: Distinct words whose hashes a worker keeps.
 WORDS_KEPT = 1 << 16
 #: From so many equal rows on, a key is joined by broadcast; there are at most rows / HOT_ROWS of these.
@@ -374,6 +376,36 @@ def texts_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
 # Families
 
 
+def spanning(pairs: DataFrame) -> DataFrame:
+    """Fewer (a, b) that connect the same: each task passes on what joins something new to it.
+
+    Lists of one family give many pairs between the same classes; their components need only
+    a forest of them.  A task that has met ``NODES_HELD`` classes forgets them and goes on.
+    """
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for batch in batches:
+            if len(parent) > NODES_HELD:
+                parent.clear()
+            kept = []
+            for k, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+                x, y = root(a), root(b)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    kept.append(k)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return pairs.select("a", "b").mapInArrow(thin, "a binary, b binary")
+
+
 def _in_cells(rule: Rule):
     """Cells one after another: links between who asks and who is asked."""
 
@@ -457,17 +489,17 @@ def component_of(classes: DataFrame, keys: Column, texts: DataFrame, rule: Rule)
     kept_texts = texts_of(named, classes, texts)
     answers = verdicts(pairs, kept_texts, rule)
     links = answers.filter("linked").select("a", "b")
-    joined = written(components(links), "components")
+    joined = written(components(spanning(links)), "components")
     if together is None and answers.filter("not linked").isEmpty():
         return joined
-    families = components(connected).withColumnRenamed("component", "family").join(joined, "node", "left")
+    families = components(spanning(connected)).withColumnRenamed("component", "family").join(joined, "node", "left")
     families = written(families.withColumn("component", F.coalesce("component", "node")), "families")
     open_ = families.groupBy("family").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     unfinished = families.join(open_.filter("least <> most").select("family"), "family", "left_semi")
     coded = unfinished.join(classes.select("node", "size", "code"), "node").join(kept_texts, "node")
     cells = _cells(coded, rule).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     more = written(cells.mapInArrow(_in_cells(rule), "a binary, b binary"), "more_links")
-    return joined if more.isEmpty() else components(links.unionByName(more))
+    return joined if more.isEmpty() else components(spanning(links.unionByName(more)))
 
 
 def with_class(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:

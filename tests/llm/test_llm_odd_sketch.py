@@ -11,6 +11,7 @@ import pytest
 from conftest import SMALL
 
 from quotewright.llm import odd_sketch, registry, verified
+from quotewright.llm.components import components
 
 
 def set_by_definition(text, size=2):
@@ -176,3 +177,15 @@ def test_sketches_estimate_similarity(size, similar):
         assert max(counts) <= odd_sketch.most_bits()
     else:
         assert min(counts) > odd_sketch.most_bits()
+
+
+def test_spanning_pairs_connect_the_same(spark):
+    rng = random.Random(3)
+    pairs = [(f"{rng.randrange(40)}".encode(), f"{rng.randrange(40)}".encode()) for _ in range(60)]
+    pairs += [(b"x%d" % rng.randrange(9), b"x%d" % rng.randrange(9)) for _ in range(300)]
+    rows = spark.createDataFrame(pairs, "a binary, b binary").repartition(2)
+    thin = verified.spanning(rows)
+    assert thin.count() <= 2 * (40 + 9)
+    whole, fewer = (sorted((bytes(r.node), bytes(r.component)) for r in components(x).collect()) for x in (rows, thin))
+    assert whole == fewer
+    assert verified.spanning(rows.limit(0)).count() == 0
