@@ -228,3 +228,20 @@ def test_rounding_has_no_ceiling(spark):
     found = [r.y for r in df.select(round2("x").alias("y")).collect()]
     assert found[:5] == [90000000.0, 90000000.13, -90000000.13, 1234567890123.38, 44999999999999.63]
     assert found[5:-1] == same_value and math.isnan(found[-1])
+
+
+def test_large_values_round_as_decimals_do(spark):
+    """Thousandths of large values and values where doubles are coarser than cents."""
+    import duckdb
+
+    from quotewright.functions.numeric import round2
+
+    rng = random.Random(11)
+    wide = [round(10 ** rng.uniform(7.9, 13.7), 3) for _ in range(4000)] + [rng.uniform(2e13, 5e13) for _ in range(2000)]
+    values = [(sign * x,) for x in wide for sign in (1.0, -1.0)]
+    rounded = spark.createDataFrame(values, "x double").select("x", round2("x").alias("y")).collect()
+    connection = duckdb.connect()
+    connection.execute("create table t (x double, y double)")
+    connection.executemany("insert into t values (?, ?)", [tuple(r) for r in rounded[::4]])
+    twin = "case when abs(x) >= 4.5e13 then x else cast(round(cast(if(abs(x) >= 4.5e13, 0, x) as decimal(28,8)), 2) as double) end"
+    assert connection.sql(f"select x, y, {twin} from t where y is distinct from {twin} limit 3").fetchall() == []
