@@ -234,12 +234,12 @@ def test_large_values_round_as_decimals_do(spark):
     """Thousandths of large values and values where doubles are coarser than cents."""
     import duckdb
 
-    from quotewright.functions.numeric import round2
+    from quotewright.functions.numeric import round2_decimal
 
     rng = random.Random(11)
     wide = [round(10 ** rng.uniform(7.9, 13.7), 3) for _ in range(4000)] + [rng.uniform(2e13, 5e13) for _ in range(2000)]
     values = [(sign * x,) for x in wide for sign in (1.0, -1.0)]
-    rounded = spark.createDataFrame(values, "x double").select("x", round2("x").alias("y")).collect()
+    rounded = spark.createDataFrame(values, "x double").select("x", round2_decimal("x").alias("y")).collect()
     connection = duckdb.connect()
     connection.execute("create table t (x double, y double)")
     connection.executemany("insert into t values (?, ?)", [tuple(r) for r in rounded[::4]])
