@@ -18,6 +18,7 @@ def technical_frame(
     max_rows: int = MAX_ROWS,
     sized_by: DataFrame | None = None,
     cleaned: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     """Clean, compute every indicator, then apply the closed date range.
 
@@ -28,8 +29,11 @@ def technical_frame(
     would idle most of the cores, and too few would outgrow a task.  Tickers too
     big for a task are deduplicated by their finer key and computed in pieces;
     ``sized_by`` may name a table that is cheaper to count and bounds ``prices``;
-    ``cleaned`` says that ``prices`` are clean already.
+    ``cleaned`` says that ``prices`` are clean already; ``placed`` that besides every ticker is in
+    one partition, none of them oversized, so that nothing is counted or shuffled.
     """
+    if placed:
+        return _presented(technical_columns(prices if cleaned else clean(prices), s.TICKER), start, end)
     tidy = (lambda rows: rows) if cleaned else clean
     split = split_oversized(prices, s.TICKER, max_rows, sized_by)
     configured = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -40,6 +44,10 @@ def technical_frame(
             tidy(split.hot), split.hot_rows, technical_columns, lookback(), max_rows=max_rows
         )
         wide = wide.unionByName(pieces)
+    return _presented(wide, start, end)
+
+
+def _presented(wide: DataFrame, start: Bound, end: Bound) -> DataFrame:
     wide = wide.withColumn("cal_id", F.col("transaction_id"))
     wide = wide.select(*s.KEYS, "close", *[f"`{c}`" for c in s.WIDE_COLUMNS])
     if start is None or end is None:

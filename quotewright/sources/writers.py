@@ -98,9 +98,9 @@ def save_bucketed(
 ) -> DataFrame:
     """Save as a table bucketed and sorted by the join keys.
 
-    Tables saved alike join on those keys without a shuffle.  The keys include the
+    Tables saved alike join on those keys without a shuffle.  The usual keys include the
     date, so a hot stock is spread over all buckets.  ``placed`` says that the rows
-    already come from a table with these buckets and need no shuffle.
+    are already dealt by these keys into as many partitions and need no shuffle.
     """
     rows = df if placed else df.repartition(buckets, *on)
     (
@@ -113,16 +113,18 @@ def save_bucketed(
     return df.sparkSession.table(table)
 
 
-def save_view(view: DataFrame, path: str) -> DataFrame:
+def save_view(view: DataFrame, path: str, placed: bool = False) -> DataFrame:
     """Save the technical view for lookups by stock and by date.
 
     Files are split by year for pruning by date; within a year rows are ranged by
-    stock, so the files' minima and maxima exclude most of them for one stock.  The
+    stock, so the files' minima and maxima exclude most of them for one stock.  ``placed`` says
+    that the rows come in buckets of stocks; they stay there, and the pages' minima and maxima
+    inside the sorted files do the same.  The
     result keeps the column ``year``: reads that also bound it open only those folders.
     """
     yearly = view.withColumn("year", F.year("date"))
     (
-        yearly.repartitionByRange("year", "stock_id", "date")
+        (yearly if placed else yearly.repartitionByRange("year", "stock_id", "date"))
         .sortWithinPartitions("year", "stock_id", "date")
         .write.mode("overwrite")
         .partitionBy("year")

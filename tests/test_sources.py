@@ -6,8 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import same
 from quotewright import schemas as s
-from quotewright.operators import history
+from quotewright.operators import history, technical
 from quotewright.plans.indicators import technical_frame
 from quotewright.sources import readers, writers
 
@@ -205,3 +206,32 @@ def test_a_bad_batch_is_not_published(spark, series, tmp_path):
         assert error.value.measured == measured
     assert writers.read_batches(spark, path, s.PRICES).groupBy("batch").count().collect() == [("one", 3)]
     assert sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=one"]
+
+
+def test_a_view_in_buckets_of_stocks_is_saved_without_a_shuffle(spark, series, tmp_path):
+    from quotewright.plans import batch
+
+    bars = series(**{f"s{i}": [float(i + j) for j in range(40)] for i in range(12)})
+    tables = batch.save_indicators(bars, buckets=3)
+    assert tables.by_stock
+    assert same(tables.averages, technical.moving_averages_of(technical_frame(bars)))
+    view = batch.build_view(tables, "2020-02-01", str(tmp_path / "v"))
+    assert view.count() == 12 * 32
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = technical.technical_view(tables.prices, tables.averages, tables.bands, tables.strength, "2020-02-01")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert same(joined, view.select(*joined.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stock_of_very_many_rows_is_spread_over_the_buckets(series):
+    from quotewright.plans import batch
+
+    bars = series(a=[float(j % 7) for j in range(900)], b=[1.0, 2.0])
+    tables = batch.save_indicators(bars, buckets=3, max_rows=300)
+    assert not tables.by_stock
+    expected = batch.technical_frame(bars)
+    assert same(tables.wide, expected)
+    assert tables.wide.filter("stock_id = 'a'").select(F.input_file_name()).distinct().count() >= 3
