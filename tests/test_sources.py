@@ -235,3 +235,8 @@ def test_a_stock_of_very_many_rows_is_spread_over_the_buckets(series):
     expected = batch.technical_frame(bars)
     assert same(tables.wide, expected)
     assert tables.wide.filter("stock_id = 'a'").select(F.input_file_name()).distinct().count() >= 3
+
+
+def test_rows_appended_by_year_are_not_shuffled(series):
+    rows = writers._by_year(series(a=[1.0, 2.0], b=[3.0]))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
