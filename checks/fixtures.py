@@ -5,8 +5,11 @@ Every view covers its whole source tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quotewright.operators.chunks import MAX_ROWS, split_oversized
 from quotewright.sources.readers import price_id
 
 # Fixed values shared with the SQL: request range, reference day, incremental cuts.
@@ -23,23 +26,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: line items of one supplier on one day; one row per stock and date."""
+    # Few lines share a bar, so the lines are shuffled as they are: partial results of each would be several times as wide.
+    return _bars_of(spark, sf_dir, lambda lines: lines.repartition("stock_id", "date"))
+
+
+def placed_bars(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS) -> tuple[DataFrame, int | None]:
+    """The bars, dealt by stock into as many partitions as the number says.
+
+    A stock has at most as many bars as lines, which are counted without making the bars.  Lines
+    shuffled by stock make bars by stock, so nothing after them is shuffled again.  Where a
+    stock has more than ``max_rows`` lines the bars are spread as in ``bars``, and there is no number.
+    """
+    stock = F.col("l_suppkey").cast("string").alias("stock_id")
+    lines = split_oversized(table(spark, sf_dir, "lineitem").select(stock), ["stock_id"], max_rows)
+    if lines.hot is not None:
+        return bars(spark, sf_dir), None
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.whole_rows // max_rows))
+    return _bars_of(spark, sf_dir, lambda items: items.repartition(parts, "stock_id")), parts
+
+
+def _bars_of(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
     line = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     day = F.col("l_shipdate").cast("date").alias("date")
-    items = table(spark, sf_dir, "lineitem").select("l_suppkey", day, "l_quantity", *line)
-    # Few lines share a bar, so the lines are shuffled as they are: partial results of each would be several times as wide.
-    daily = items.repartition("l_suppkey", "date").groupBy("l_suppkey", "date").agg(
+    stock = F.col("l_suppkey").cast("string").alias("stock_id")
+    items = table(spark, sf_dir, "lineitem").select(stock, day, "l_quantity", *line)
+    daily = deal(items).groupBy("stock_id", "date").agg(
         F.min("l_extendedprice").alias("low"),
         F.min(F.struct(*line))["l_extendedprice"].alias("open"),
         F.max("l_extendedprice").alias("high"),
         F.sum("l_quantity").cast("bigint").alias("volume"),
         F.max(F.struct(*line))["l_extendedprice"].alias("close"),
     )
-    stocks = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("ticker_symbol"))
-    named = daily.join(stocks, daily["l_suppkey"] == stocks["s_suppkey"])
-    stock = F.col("l_suppkey").cast("string")
-    return named.select(
-        price_id(stock, F.col("date")).alias("transaction_id"),
-        stock.alias("stock_id"),
+    stocks = table(spark, sf_dir, "supplier")
+    named = stocks.select(F.col("s_suppkey").cast("string").alias("stock_id"), F.col("s_name").alias("ticker_symbol"))
+    return daily.join(named, "stock_id").select(
+        price_id(F.col("stock_id"), F.col("date")).alias("transaction_id"),
+        "stock_id",
         "ticker_symbol",
         "date",
         "low",
