@@ -161,11 +161,19 @@ def per_ticker(
     return result.unionByName(compute_in_pieces(split.hot, split.hot_rows, compute, lookback, max_rows=max_rows))
 
 
-def pages(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
-    """Add ``page``: 0 for ordinary keys, consecutive numbers for oversized ones."""
+def pages(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int, task_rows: int = MAX_ROWS, bounded: bool = False
+) -> DataFrame:
+    """Add ``page``: a row's place in its key's order divided by ``max_rows``.
+
+    Keys of at most ``task_rows`` rows are numbered by one window, whose shuffle also serves a
+    grouping by key and page; only longer ones are cut by time first.  ``df`` is read once for
+    the count and once for the rows, so save it if it is costly; ``bounded`` says that no key is longer, and nothing is counted.
+    """
     keys, order = list(keys), list(order)
-    split = split_oversized(df, keys, max_rows)
-    whole = split.whole.withColumn("page", F.lit(0).cast("long"))
+    split = Split(df, 0) if bounded else split_oversized(df, keys, max(max_rows, task_rows))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    whole = split.whole.withColumn("page", F.floor(place / max_rows).cast("long"))
     if split.hot is None:
         return whole
     pieces = chunked(split.hot, split.hot_rows, keys, order, max_rows)

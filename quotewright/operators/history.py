@@ -127,13 +127,13 @@ def staleness(companies: DataFrame, prices: DataFrame, as_of: Bound) -> DataFram
     return joined.withColumn("days_stale", F.datediff(as_date(as_of), F.col("latest_date")))
 
 
-def nested_bars(prices: DataFrame, max_rows: int = 10_000) -> DataFrame:
+def nested_bars(prices: DataFrame, max_rows: int = 10_000, bounded: bool = False) -> DataFrame:
     """One row per ticker with its bars as a date-ordered array.
 
     ``page`` is part of the key: a bar's place in its ticker's order divided by
-    ``max_rows``, so no row grows without bound.
+    ``max_rows``, so no row grows without bound.  ``bounded`` says that no ticker is oversized.
     """
-    paged = pages(prices, s.TICKER, s.ORDER, max_rows)
+    paged = pages(prices, s.TICKER, s.ORDER, max_rows, bounded=bounded)
     bar = F.struct("date", "transaction_id", "low", "open", "high", "volume", "close")
     return paged.groupBy(*s.TICKER, "page").agg(F.sort_array(F.collect_list(bar)).alias("bars"))
 

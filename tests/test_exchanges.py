@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+
 from checks import fixtures as fx
 from checks.queries import QUERIES
 from conftest import SMALL, same
+from quotewright.operators.chunks import pages
 from quotewright.plans import batch
 from quotewright.plans.indicators import technical_frame
 
@@ -33,3 +36,20 @@ def test_bars_of_an_oversized_stock_are_spread(spark):
     rows, parts = fx.placed_bars(spark, SMALL, max_rows=400)
     assert parts is None and same(rows, fx.bars(spark, SMALL))
     assert same(technical_frame(rows, max_rows=400), technical_frame(fx.bars(spark, SMALL)))
+
+
+@pytest.mark.parametrize("task_rows", [1_000_000, 10])  # one window, or pieces of the longer keys
+def test_pages_are_places_in_the_order(spark, task_rows):
+    rows = spark.createDataFrame([(k, i) for k, n in (("a", 25), ("b", 3), (None, 8)) for i in reversed(range(n))], "k string, i int")
+    paged = pages(rows, ["k"], ["i"], 4, task_rows).collect()
+    assert sorted((str(r.k), r.i, r.page) for r in paged) == sorted((str(r.k), r.i, r.i // 4) for r in rows.collect())
+
+
+def test_pages_of_short_keys_are_shuffled_once(spark):
+    """Keys beyond a page but fit for a task were ranged by time, which read all rows several times."""
+    rows = spark.range(1000).selectExpr("id % 7 as k", "id as i")
+    assert len(exchanges(pages(rows, ["k"], ["i"], 10).groupBy("k", "page").count())) == 1
+
+
+def test_nested_pages_shuffle_the_lines_once(spark):
+    assert len(exchanges(QUERIES["bars_pages"](spark, SMALL))) == 1
