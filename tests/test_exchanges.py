@@ -8,8 +8,9 @@ from checks import fixtures as fx
 from checks.queries import QUERIES
 from conftest import SMALL, same
 from quotewright.operators.chunks import pages
-from quotewright.plans import batch
+from quotewright.plans import batch, refresh
 from quotewright.plans.indicators import technical_frame
+from quotewright.sources import writers
 
 
 def exchanges(df) -> list[str]:
@@ -53,3 +54,20 @@ def test_pages_of_short_keys_are_shuffled_once(spark):
 
 def test_nested_pages_shuffle_the_lines_once(spark):
     assert len(exchanges(QUERIES["bars_pages"](spark, SMALL))) == 1
+
+
+def test_refreshed_indicators_are_shuffled_before_the_frames_only(spark, series):
+    """The wide rows were joined with the new ids, and marks read the whole look-back for every row."""
+    full = series(a=[float(i % 9) for i in range(500)], b=[float(i % 7) for i in range(300)])
+    full = writers.persisted(full, "full")
+    for new in ("date >= date'2020-09-01'", "date in (date'2020-02-01', date'2020-02-10', date'2020-12-24')"):
+        found = refresh.tail_indicators(full, writers.persisted(full.filter(new), "new"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(exchanges(found)) == 1 and "RowFrame, -200, currentrow" not in plan
+
+
+def test_rows_reached_by_several_new_bars(spark, series):
+    full = series(a=[float(i % 9) for i in range(900)], b=[float(i % 7) for i in range(300)])
+    new = full.filter("stock_id = 'a' and date in (date'2020-02-01', date'2020-02-10', date'2021-09-01')")
+    reached = "stock_id = 'a' and (date between date'2020-02-01' and date'2020-08-28' or date between date'2021-09-01' and date'2022-03-20')"
+    assert same(refresh.tail_indicators(full, new), technical_frame(full).filter(reached))
