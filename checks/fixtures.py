@@ -41,6 +41,8 @@ def placed_bars(spark: SparkSession, sf_dir: str, max_rows: int = MAX_ROWS) -> t
     lines = split_oversized(table(spark, sf_dir, "lineitem").select(stock), ["stock_id"], max_rows)
     if lines.hot is not None:
         return bars(spark, sf_dir), None
+    # A join by stock and more may then use that all rows of a stock are in one partition.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.whole_rows // max_rows))
     return _bars_of(spark, sf_dir, lambda items: items.repartition(parts, "stock_id")), parts
 

@@ -163,31 +163,36 @@ def lookback(ma_periods=s.MA_PERIODS, band_periods=s.BAND_PERIODS, rsi_periods=s
     return max(max(ma_periods) - 1, max(band_periods) - 1, max(rsi_periods))
 
 
-def technical_columns(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All indicators in one pass over one sort, frames shared between them."""
+def technical_columns(rows: DataFrame, keys: Sequence[str], families: Sequence[str] = s.FAMILIES) -> DataFrame:
+    """All indicators of the families in one pass over one sort, frames shared between them."""
     w, seed = r.window_sql(keys), "newest"
+    periods = {"averages": s.MA_PERIODS, "bands": s.BAND_PERIODS, "strength": s.RSI_PERIODS}
+    ma, bb, ri = ([p for p in periods[f] if f in families] for f in s.FAMILIES)
     wanted: dict[int, dict[str, r.Measure]] = {}
-    for p in s.MA_PERIODS:
+    for p in ma:
         wanted[p] = r.count_and_sum("close") | r.weighted("close", p, seed)
-    for p in s.BAND_PERIODS:
-        wanted[p] = wanted.get(p, {}) | r.spread("close")
-    for p in s.RSI_PERIODS:
+    for p in bb:  # the bands lie around the exponential average
+        wanted[p] = wanted.get(p, {}) | r.weighted("close", p, seed) | r.spread("close")
+    for p in ri:
         wanted[p] = wanted.get(p, {}) | r.moves("_delta")
 
     def finish(part: DataFrame, p: int) -> DataFrame:
         raw, bands = {}, {}
-        if p in s.MA_PERIODS:
-            raw |= {f"ma_{s.sma_name(p)}": r.mean_sql(p), f"ma_{s.ema_name(p)}": r.ema_sql(p, seed)}
-        if p in s.RSI_PERIODS:
+        if p in ma:
+            raw[f"ma_{s.sma_name(p)}"] = r.mean_sql(p)
+        if p in ma or p in bb:
+            raw[f"ma_{s.ema_name(p)}"] = r.ema_sql(p, seed)
+        if p in ri:
             raw[s.rsi_name(p)] = r.rsi_sql(p)
         part = _rounded(part, raw)
-        if p in s.BAND_PERIODS:
+        if p in bb:
             names = f"bb_{s.upper_name(p)}", f"bb_{s.lower_name(p)}"
             bands = _bands(f"`ma_{s.ema_name(p)}`", r.stddev_sql(p), *names)
         return _rounded(part, bands)
 
-    framed = r.with_frames(_add(rows, {"_delta": r.change_sql("close", w)}), w, wanted, finish)
-    return _in_order(framed, s.WIDE_COLUMNS, rows.columns)
+    moving = _add(rows, {"_delta": r.change_sql("close", w)}) if ri else rows
+    framed = r.with_frames(moving, w, wanted, finish)
+    return _in_order(framed, s.columns_of(families), rows.columns)
 
 
 def rsi_zone(df: DataFrame, rsi_column: str, zone: str = "zone") -> DataFrame:

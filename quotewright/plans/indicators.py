@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,6 +22,7 @@ def technical_frame(
     cleaned: bool = False,
     placed: bool = False,
     wanted: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    families: Sequence[str] = s.FAMILIES,
 ) -> DataFrame:
     """Clean, compute every indicator, then apply the closed date range.
 
@@ -35,15 +36,16 @@ def technical_frame(
     ``cleaned`` says that ``prices`` are clean already; ``placed`` that besides every ticker is in
     one partition, none of them oversized, so that nothing is counted or shuffled.  ``wanted`` adds a
     column ``_wanted``, given the rows and the windows' keys: other rows serve the frames only.
+    Only the columns of ``families`` are computed.
     """
 
     def compute(rows: DataFrame, keys: list[str]) -> DataFrame:
         if wanted is None:
-            return technical_columns(rows, keys)
-        return technical_columns(wanted(rows, keys), keys).filter("_wanted")
+            return technical_columns(rows, keys, families)
+        return technical_columns(wanted(rows, keys), keys, families).filter("_wanted")
 
     if placed:
-        return _presented(compute(prices if cleaned else clean(prices), s.TICKER), start, end)
+        return _presented(compute(prices if cleaned else clean(prices), s.TICKER), start, end, families)
     tidy = (lambda rows: rows) if cleaned else clean
     split = split_oversized(prices, s.TICKER, max_rows, sized_by)
     configured = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -54,12 +56,12 @@ def technical_frame(
             tidy(split.hot), split.hot_rows, compute, lookback(), max_rows=max_rows
         )
         wide = wide.unionByName(pieces)
-    return _presented(wide, start, end)
+    return _presented(wide, start, end, families)
 
 
-def _presented(wide: DataFrame, start: Bound, end: Bound) -> DataFrame:
+def _presented(wide: DataFrame, start: Bound, end: Bound, families: Sequence[str]) -> DataFrame:
     wide = wide.withColumn("cal_id", F.col("transaction_id"))
-    wide = wide.select(*s.KEYS, "close", *[f"`{c}`" for c in s.WIDE_COLUMNS])
+    wide = wide.select(*s.KEYS, "close", *[f"`{c}`" for c in s.columns_of(families)])
     if start is None or end is None:
         return wide
     return wide.filter(in_range(F.col("date"), start, end))

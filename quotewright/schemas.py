@@ -91,6 +91,9 @@ RSI = _schema(*_KEY_FIELDS, *[(c, DOUBLE) for c in RSI_COLUMNS])
 WIDE_MA = {c: f"ma_{c}" for c in MA_COLUMNS}
 WIDE_BANDS = {c: f"bb_{c}" for c in BAND_COLUMNS}
 WIDE_COLUMNS = list(WIDE_MA.values()) + list(WIDE_BANDS.values()) + RSI_COLUMNS
+# The wide columns by family, in their order.
+_FAMILY_COLUMNS = {"averages": list(WIDE_MA.values()), "bands": list(WIDE_BANDS.values()), "strength": RSI_COLUMNS}
+FAMILIES = tuple(_FAMILY_COLUMNS)
 VIEW_COLUMNS = ["stock_id", "ticker_symbol", "date", "close", *WIDE_COLUMNS]
 # The stored view also has the row's id, by which late bars replace rows.
 VIEW = _schema(
@@ -99,6 +102,11 @@ VIEW = _schema(
 )
 
 
+def columns_of(families) -> list[str]:
+    """The wide columns of some families."""
+    return [c for family in FAMILIES if family in families for c in _FAMILY_COLUMNS[family]]
+
+
 def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Project to exactly ``schema`` by casting each column.
 

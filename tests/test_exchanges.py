@@ -7,6 +7,7 @@ import pytest
 from checks import fixtures as fx
 from checks.queries import QUERIES
 from conftest import SMALL, same
+from quotewright import schemas as s
 from quotewright.operators.chunks import pages
 from quotewright.plans import batch, refresh
 from quotewright.plans.indicators import technical_frame
@@ -100,3 +101,17 @@ def test_chart_documents_are_split_from_one_saved_table(spark):
 
 def test_chart_rejects_makes_the_documents_once(spark):
     assert not [x for x in exchanges(QUERIES["chart_rejects"](spark, SMALL)) if "year" in x or "l_suppkey" in x or "date" in x]
+
+
+def test_families_are_columns_of_the_wide_frame(spark):
+    bars = fx.bars(spark, SMALL)
+    wide = technical_frame(bars)
+    for family in s.FAMILIES:
+        alone = technical_frame(bars, families=[family])
+        assert set(alone.columns) < set(wide.columns)
+        assert same(alone, wide.select(*[f"`{c}`" for c in alone.columns]))
+
+
+def test_reads_of_one_family_compute_no_other(spark):
+    plan = QUERIES["read_bollinger"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "spread" in plan and "_delta" not in plan and "gain" not in plan
