@@ -115,6 +115,17 @@ def save_bucketed(
     return df.sparkSession.table(table)
 
 
+def append_bucketed(df: DataFrame, table: str, schema: T.StructType, buckets: int, on: Sequence[str]) -> int:
+    """Append rows that are dealt by ``on`` into as many partitions to a table of the session's
+    catalog, bucketed alike; the rows written.  A table that is not there is created in a new folder."""
+    spark, written = df.sparkSession, Observation("appended")
+    writer = s.conform(df, schema).observe(written, F.count("*").alias("rows")).write.mode("append")
+    if not spark.catalog.tableExists(table):
+        writer = writer.option("path", fresh_path(spark, table))
+    writer.bucketBy(buckets, *on).sortBy(*on).saveAsTable(table)
+    return written.get["rows"]
+
+
 def save_view(view: DataFrame, path: str, placed: bool = False) -> DataFrame:
     """Save the technical view for lookups by stock and by date.
 

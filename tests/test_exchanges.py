@@ -115,3 +115,19 @@ def test_families_are_columns_of_the_wide_frame(spark):
 def test_reads_of_one_family_compute_no_other(spark):
     plan = QUERIES["read_bollinger"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "spread" in plan and "_delta" not in plan and "gain" not in plan
+
+
+def test_appended_tables_join_in_place(spark):
+    assert exchanges(QUERIES["append_with_indicators"](spark, SMALL)) == []
+
+
+def test_rows_are_appended_to_tables_by_stock(spark):
+    rows, parts = fx.placed_bars(spark, SMALL)
+    tables = {name: f"twice_{name}" for name in ("prices", "averages", "bands", "strength")}
+    for part in ("date < date'1999-01-01'", "date >= date'1999-01-01'"):
+        given = writers.save_bucketed(rows.filter(part), "given", writers.fresh_path(spark, "given"), parts, ["stock_id"], placed=True)
+        assert batch.append_by_stock(given, tables, parts) == dict.fromkeys(tables, given.count())
+    assert same(readers.read_table(spark, "twice_prices", s.PRICES), rows)
+    assert spark.table("twice_strength").count() == rows.count()
+    for name in ["given", *tables.values()]:
+        writers.drop_view(spark, name)
