@@ -233,16 +233,19 @@ def drop_view(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def export_per_ticker(prices: DataFrame, path: str, max_rows_per_file: int = 1_000_000) -> None:
+def export_per_ticker(
+    prices: DataFrame, path: str, max_rows_per_file: int = 1_000_000, placed: bool = False
+) -> None:
     """CSV with header, one folder per ticker, rows by date.
 
     The range shuffle gathers a ticker into few files but may cut a very long one;
-    file names sort in date order within a folder.
+    file names sort in date order within a folder.  ``placed`` says that every ticker is in one
+    partition, none oversized: the rows stay there.
     """
     columns = ["ticker_symbol", "transaction_id", "date", "low", "open", "high", "volume", "close"]
+    rows = prices.select(*columns)
     (
-        prices.select(*columns)
-        .repartitionByRange("ticker_symbol", "date", "transaction_id")
+        (rows if placed else rows.repartitionByRange("ticker_symbol", "date", "transaction_id"))
         .sortWithinPartitions("ticker_symbol", "date", "transaction_id")
         .write.mode("overwrite")
         .partitionBy("ticker_symbol")

@@ -131,3 +131,13 @@ def test_rows_are_appended_to_tables_by_stock(spark):
     assert spark.table("twice_strength").count() == rows.count()
     for name in ["given", *tables.values()]:
         writers.drop_view(spark, name)
+
+
+def test_export_by_stock_keeps_rows_in_place_and_one_file_a_ticker(spark, tmp_path):
+    rows, parts = fx.placed_bars(spark, SMALL)
+    writers.export_per_ticker(rows, str(tmp_path / "each"), placed=parts is not None)
+    folders = list((tmp_path / "each").glob("ticker_symbol=*"))
+    assert len(folders) == rows.select("ticker_symbol").distinct().count()
+    assert all(len(list(folder.glob("*.csv"))) == 1 for folder in folders)
+    back = writers.read_export_per_ticker(spark, str(tmp_path / "each"))
+    assert same(back, rows.select(*[f"`{c}`" for c in back.columns]))
