@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from checks import fixtures as fx
@@ -141,3 +143,51 @@ def test_export_by_stock_keeps_rows_in_place_and_one_file_a_ticker(spark, tmp_pa
     assert all(len(list(folder.glob("*.csv"))) == 1 for folder in folders)
     back = writers.read_export_per_ticker(spark, str(tmp_path / "each"))
     assert same(back, rows.select(*[f"`{c}`" for c in back.columns]))
+
+
+def shuffled_bars(df) -> list[str]:
+    """The scans of line items or dated rows below an exchange of the plan, once per exchange."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if " Exchange " not in line:
+            continue
+        below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        found += [x for x in lines[i + 1 : below] if "FileScan" in x and re.search(r"l_shipdate|[\[,]date#", x)]
+    return found
+
+
+@pytest.mark.parametrize("name", ["resolve_requests", "resolve_new_prices", "resolve_open_requests"])
+def test_resolved_bars_are_shuffled_once(spark, name, monkeypatch):
+    """The bars were shuffled for the companies, the frames of two sources and the view, whose wide rows it moved."""
+    saved = {}
+
+    def kept(save):
+        def run(df, table, *args, **kwargs):
+            saved[table.split("_")[0]] = len(shuffled_bars(df))
+            return save(df, table, *args, **kwargs)
+
+        return run
+
+    monkeypatch.setattr(writers, "persisted", kept(writers.persisted))
+    monkeypatch.setattr(writers, "save_bucketed", kept(writers.save_bucketed))
+    answers = QUERIES[name](spark, SMALL)
+    assert (saved["located"], saved.get("joined", 0), saved["computed"]) == (1, 0, 0)
+    assert shuffled_bars(answers) == []
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no side were small
+    try:
+        answers = QUERIES[name](spark, SMALL)
+        assert (saved["located"], saved.get("joined", 0), saved["computed"]) == (1, 0, 0)
+        assert shuffled_bars(answers) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("name", ["resolve_requests", "resolve_new_prices", "resolve_open_requests"])
+def test_resolved_bars_of_an_oversized_stock(spark, name, monkeypatch):
+    """Bars that are not dealt by stock give the same rows."""
+    expected = QUERIES[name](spark, SMALL)
+    monkeypatch.setattr(fx, "placed_bars", lambda session, sf_dir: (fx.bars(session, sf_dir), None))
+    assert same(QUERIES[name](spark, SMALL), expected)
