@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from conftest import SMALL, same
 from quotewright import schemas as s
 from quotewright.operators import technical
-from quotewright.plans import refresh
+from quotewright.plans import refresh, resolve
 from quotewright.plans.indicators import technical_frame
 from quotewright.sources import writers
 from test_exchanges import exchanges
@@ -75,3 +77,21 @@ def test_days_that_the_horizon_reaches_are_written_once(spark, series, tmp_path,
     refresh.run_refresh(spark, store, full, "2021-01-20", saved=True)
     assert days() == ["2020-10-12", "2021-01-20", "101"]
     assert max(copies) <= 20  # the rows were saved beside the view and their ids shuffled
+
+
+def test_joined_tables_are_asked_for_undecided_stocks_only(spark, series):
+    bars = series(a=[1.0, 2.0, 3.0], b=[1.0, 2.0], c=[4.0])
+    wide = technical_frame(bars)
+    day = dt.date(2020, 1, 1)
+    fields = ["ticker_symbol", "country", "start_date", "end_date", "technical", "stock_id"]
+    known = spark.createDataFrame([(k.upper(), "USA", day, day, k != "c", k) for k in "abcd"], f"{fields[0]} string, country string, start_date date, end_date date, technical boolean, stock_id string")
+    view, asked = wide.filter("stock_id = 'a'"), []
+
+    def joined(stocks):
+        asked.append(sorted(r.stock_id for r in stocks.collect()))
+        return wide.join(stocks, "stock_id", "left_semi")
+
+    chosen = resolve.choose_sources(known, bars, joined, view)
+    assert asked == [["b"]]
+    assert {r.stock_id: r.source for r in chosen.collect()} == {"a": "view", "b": "joined", "c": "stored", "d": "computed"}
+    assert same(chosen, resolve.choose_sources(known, bars, wide, view))
